@@ -67,7 +67,7 @@ def emp_length_exact(c: ColumnOrName) -> Column:
 
 def parse_date(c: ColumnOrName, fmt: str = ISSUE_DATE_FORMAT) -> Column:
     """String -> date; unparseable -> null (``to_date`` would raise under ANSI)."""
-    return F.try_to_date(_c(c), F.lit(fmt))
+    return F.try_to_date(_c(c), fmt)
 
 
 def year_bucket(date: ColumnOrName, years: int = 1) -> Column:

@@ -83,13 +83,13 @@ def duplicate_rows(df: DataFrame, key: str, columns: Sequence[str] | None = None
     join back; a hot duplicate group is split by AQE's skew join, not funnelled
     through one window task."""
     cols = _cols(columns) or [c for c in df.columns if c != key]
-    first = df.groupBy(*cols).agg(F.min(key).alias("_first"))
+    first = df.groupBy(*cols).agg(F.min(key).alias("_first")).alias("f")
     cond = None
     for c in cols:
-        e = df[c].eqNullSafe(first[c])
+        e = F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}"))
         cond = e if cond is None else cond & e
-    j = df.join(first, cond)
-    return j.where(F.col(key) != F.col("_first")).select(*[df[c] for c in df.columns])
+    j = df.alias("d").join(first, cond)
+    return j.where(F.col(f"d.{key}") != F.col("f._first")).select(*[F.col(f"d.{c}") for c in df.columns])
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
