@@ -78,12 +78,15 @@ def clean_stream(spark: SparkSession, model: LoanPrepModel, messages: DataFrame,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if batch.where(F.col(EOF_COL)).limit(1).count() > 0:
-                flag.event.set()
+            seen_eof = batch.where(F.col(EOF_COL)).limit(1).count() > 0
             (batch.where(~F.col(EOF_COL)).drop(EOF_COL)
              .write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}"))
         finally:
             batch.unpersist()
+        # Only after this batch's rows are written: the driver then stops the
+        # query once the trigger is idle (offsets committed).
+        if seen_eof:
+            flag.event.set()
 
     w = cleaned.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": "2 seconds"}))
@@ -96,7 +99,7 @@ def run_until_eof(query: StreamingQuery, flag: _StopFlag, poll_seconds: float =
     (or when an ``availableNow`` query finishes by itself)."""
     waited = 0.0
     while query.isActive:
-        if flag.event.is_set():
+        if flag.event.is_set() and not query.status.get("isTriggerActive", False):
             query.stop()
             break
         query.awaitTermination(poll_seconds)
