@@ -22,6 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an under-partitioned scan.
+
+    A fact table stored as one file with one row group scans as a single
+    task, and everything narrow after it (joins to broadcast dimensions,
+    projections) would run on one core. If the scan has fewer partitions than
+    the cluster's default parallelism, round-robin it once; on a large table
+    (many files and row groups) the check is false and nothing changes."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def _case(key: Column, mapping: dict, default) -> Column:
     expr = None
     for k, v in mapping.items():
@@ -33,7 +47,7 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``loans`` view. Joins are left to Catalyst/AQE: ``nation`` is tiny and
     goes broadcast by its file size; ``customer`` grows with the data and is
     broadcast only while under the size threshold, else sort-merge joined."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)

@@ -6,12 +6,12 @@ maps), so the very same transform serves a batch DataFrame and a Structured
 Streaming one - a single record is never re-fitted. ``model.lookup(spark)``
 returns the lookup table (feature, original_value, encoded_value).
 
-Fit cost: a handful of jobs regardless of the number of statistics -
-one grouped aggregate (rate by status, min/max for scaling), one distinct
-over all category columns, one distributed exact-quantile pass over all
-numeric features at once (or one sketch pass with ``approx=True``), one
-grouped-mode pass over all string columns, and one for the group modes that
-depend on the income terciles. Every collected parameter has a size bound
+Fit cost: five passes over the (persisted, projected) input regardless of
+the number of statistics - one grouped aggregate (rate by status, min/max
+for scaling), one grouped count over all unpivoted string columns (category
+lists and global modes together), one distributed exact-quantile pass over
+all numeric features at once (or one sketch pass with ``approx=True``), and
+two small grouped-mode passes that depend on the income terciles. Every collected parameter has a size bound
 that is checked (category lists, group tables), never silently capped.
 """
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,13 +28,16 @@ from pyspark.sql import types as T
 from lendwise.functions import features as fx
 from lendwise.operators import encode as enc
 from lendwise.operators import ordered
-from lendwise.operators.impute import mode_values, mode_values_multi
+from lendwise.operators.impute import mode_values
 from lendwise.operators.outliers import iqr_fences
 from lendwise.schema import normalise_names
 
 # Canonical spellings of the loan type (fixed values of the reference).
 TYPE_CANON = {"INDIVIDUAL": "Individual", "JOINT": "Joint App"}
 TERCILE_LABELS = ["q1", "q2", "q3"]
+FIT_COLUMNS = ["loan_status", "int_rate", "loan_amount", "funded_amount", "home_ownership",
+               "verification_status", "type", "state", "addr_state", "term", "grade", "emp_length",
+               "emp_title", "annual_inc", "annual_inc_joint", "avg_cur_bal", "tot_cur_bal"]
 DROPPED = ["income_category", "emp_length_imputed", "annual_log_capped", "annual_inc_joint_handled",
            "avg_cur_bal_handled", "tot_cur_bal_capped", "loan_term"]
 
@@ -174,9 +178,7 @@ class LoanPrepModel:
         raw = store.load(fit_id)
         cfg = LoanPrepConfig(**json.loads(raw.pop("__config__")))
         cfg.feature_range = tuple(cfg.feature_range)
-        params = {k: json.loads(v) for k, v in raw.items()}
-        params["minmax"] = {k: tuple(v) for k, v in params["minmax"].items()}
-        return cls(cfg, params)
+        return cls(cfg, {k: json.loads(v) for k, v in raw.items()})
 
 
 def _map(d: dict) -> Column:
@@ -192,48 +194,82 @@ class LoanPrep:
     def fit(self, raw: DataFrame) -> LoanPrepModel:
         cfg = self.config
         df = normalise_names(raw) if any(c != c.lower() or " " in c for c in raw.columns) else raw
-        df = df.replace(TYPE_CANON, subset=["type"])
+        df = df.replace(TYPE_CANON, subset=["type"]).select(*FIT_COLUMNS)
+        # The fit reads its input several times: keep the projected columns
+        # (memory, spilling to disk) for the duration of the fit only. A lost
+        # executor's blocks are recomputed from lineage.
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return LoanPrepModel(cfg, self._fit(df))
+        finally:
+            df.unpersist()
+
+    def _fit(self, df: DataFrame) -> dict:
+        cfg = self.config
         p: dict = {}
 
-        # 1) rate by status (+ the overall mean of the filled column, algebraically)
+        # Pass 1: rate statistics by status and scaling ranges, one aggregate.
         by_status = df.groupBy("loan_status").agg(
             F.avg("int_rate").alias("m"), F.sum("int_rate").alias("s"), F.count("int_rate").alias("c"),
-            F.count(F.lit(1)).alias("n")).limit(cfg.max_categories + 1).collect()
+            F.count(F.lit(1)).alias("n"),
+            F.min("loan_amount").alias("la0"), F.max("loan_amount").alias("la1"),
+            F.min("funded_amount").alias("fa0"), F.max("funded_amount").alias("fa1"),
+        ).limit(cfg.max_categories + 1).collect()
         _check(len(by_status), cfg.max_categories, "loan_status")
         means = {r["loan_status"]: r["m"] for r in by_status if r["loan_status"] is not None and r["m"] is not None}
         p["rate_group_means"] = means
+        # Mean of the group-filled rate, from the same aggregate (no second pass).
         tot = sum(r["s"] or 0.0 for r in by_status)
+        cnt = sum(r["c"] for r in by_status)
         for r in by_status:
             if r["loan_status"] in means:
                 tot += (r["n"] - r["c"]) * means[r["loan_status"]]
-        filled = sum(r["c"] for r in by_status) + sum(r["n"] - r["c"] for r in by_status if r["loan_status"] in means)
-        p["mean_int_rate"] = tot / filled if filled else None
-
-        # 2) categories (one distinct over all category columns)
+                cnt += r["n"] - r["c"]
+        p["mean_int_rate"] = tot / cnt if cnt else None
+
+        def _ext(key, fn):
+            vals = [r[key] for r in by_status if r[key] is not None]
+            return fn(vals) if vals else None
+        p["minmax"] = {"loan_amount": [_ext("la0", min), _ext("la1", max)],
+                       "funded_amount": [_ext("fa0", min), _ext("fa1", max)]}
+
+        # Pass 2: category lists and global modes, one grouped pass over the
+        # unpivoted string columns. Category lists are bounded and checked;
+        # free-text columns (emp_title) only contribute their mode.
         cat_cols = {
             "home_ownership": F.lower("home_ownership"),
             "verification_status": fx.standardise_text("verification_status"),
             "type": F.lower("type"), "state": F.col("state"), "addr_state": F.col("addr_state"),
             "term": F.col("term"), "grade_category": fx.grade_letter("grade"),
         }
-        long = df.select(*[e.cast("string").alias(k) for k, e in cat_cols.items()]) \
-                 .unpivot([], list(cat_cols), "feature", "value").where(F.col("value").isNotNull()).distinct()
-        vals = long.limit(cfg.max_categories * len(cat_cols) + 1).collect()
-        cats: dict[str, list] = {k: [] for k in cat_cols}
-        for r in vals:
-            cats[r["feature"]].append(r["value"])
-        for k in cats:
-            _check(len(cats[k]), cfg.max_categories, k)
-            cats[k].sort()
+        mode_cols = {"emp_length": F.col("emp_length"), "emp_title": F.col("emp_title")}
+        allc = {**cat_cols, **mode_cols}
+        counts = (df.select(*[e.cast("string").alias(k) for k, e in allc.items()])
+                  .unpivot([], list(allc), "feature", "value").where(F.col("value").isNotNull())
+                  .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_n")))
+        is_cat = F.col("feature").isin(list(cat_cols))
+        per_feature = counts.groupBy("feature").agg(
+            F.min_by("value", F.struct((-F.col("_n")).alias("n"), F.col("value").alias("v"))).alias("mode"),
+            F.count(F.lit(1)).alias("n_values"),
+            F.sort_array(F.collect_list(F.when(is_cat, F.col("value")))).alias("values"),
+        ).collect()
+        got = {r["feature"]: r for r in per_feature}
+        cats: dict[str, list] = {}
+        for k in cat_cols:
+            r = got.get(k)
+            _check(r["n_values"] if r else 0, cfg.max_categories, k)
+            cats[k] = list(r["values"]) if r else []
         p["home_ownership_categories"] = cats["home_ownership"]
         p["verification_categories"] = cats["verification_status"]
         p["type_categories"] = cats["type"]
         p["state_codes"] = {v: i for i, v in enumerate(cats["state"])}
         p["addr_state_codes"] = {v: i for i, v in enumerate(cats["addr_state"])}
         p["grade_category_codes"] = {v: i for i, v in enumerate(cats["grade_category"])}
-        p["term_values"] = [(v, int(d)) for v in cats["term"] for d in [_digits(v)] if d is not None]
+        p["term_values"] = [[v, int(d)] for v in cats["term"] for d in [_digits(v)] if d is not None]
+        p["emp_length_mode"] = got["emp_length"]["mode"] if "emp_length" in got else None
 
-        # 3) quantiles of every numeric feature in one pass
+        # Pass 3: quantiles of every numeric feature at once (distributed exact,
+        # or one sketch pass with approx=True).
         joint = F.coalesce(F.col("annual_inc_joint"),
                            F.col("annual_inc") if cfg.joint_fill == "income" else F.lit(0.0))
         income_base = fx.safe_ln("annual_inc") if cfg.income_scale == "log" else F.col("annual_inc")
@@ -252,24 +288,16 @@ class LoanPrep:
         p["avg_cur_bal_caps"] = [q["log_avg_cur_bal"][4], q["log_avg_cur_bal"][5]]
         p["tot_cur_bal_lower"] = iqr_fences(q["log_tot_cur_bal"][2], q["log_tot_cur_bal"][3])[0]
 
-        # 4) modes (global, then per income tercile for emp_title)
-        modes = {r["feature"]: r["mode"] for r in mode_values_multi(df, ["emp_length", "emp_title"]).collect()}
-        p["emp_length_mode"] = modes.get("emp_length")
+        # Pass 4: emp_title mode per income tercile; pass 5: mode after that
+        # fill (fallback for rows without a tercile).
         inc = F.col("annual_inc")
         tercile = F.when(inc <= terciles[0], "q1").when(inc <= terciles[1], "q2").when(inc.isNotNull(), "q3")
         gm = mode_values(df.withColumn("income_category", tercile), "emp_title", ["income_category"]).collect()
         p["emp_title_group_modes"] = {r["income_category"]: r["mode"] for r in gm if r["income_category"]}
-
-        # 5) scaling ranges (one aggregate)
-        mm = df.agg(F.min("loan_amount"), F.max("loan_amount"), F.min("funded_amount"),
-                    F.max("funded_amount")).collect()[0]
-        p["minmax"] = {"loan_amount": (mm[0], mm[1]), "funded_amount": (mm[2], mm[3])}
-
-        # the emp_title mode after the group fill (fallback for unseen groups)
         filled_title = F.coalesce(F.col("emp_title"), _map(p["emp_title_group_modes"])[tercile])
-        p["emp_title_mode"] = mode_values(df.select(filled_title.alias("emp_title")), "emp_title") \
-            .collect()[0]["mode"]
-        return LoanPrepModel(cfg, p)
+        m = mode_values(df.select(filled_title.alias("emp_title")), "emp_title").collect()
+        p["emp_title_mode"] = m[0]["mode"] if m else None
+        return p
 
 
 def _digits(s: str):
