@@ -95,10 +95,14 @@ def bucket_expr(df: DataFrame, keys: Sequence[str], bounds: Sequence[tuple]) ->
 
 
 def range_buckets(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                  buckets: int | None = None) -> DataFrame:
-    """Rows tagged with a contiguous range bucket of (group, order)."""
+                  buckets: int | None = None, sample_from: DataFrame | None = None) -> DataFrame:
+    """Rows tagged with a contiguous range bucket of (group, order).
+
+    ``sample_from`` may name a cheaper DataFrame holding the same key values
+    (e.g. the input before an earlier window step) to take the bounds from."""
     keys = [*group, *order]
-    return df.withColumn(B, bucket_expr(df, keys, bucket_bounds(df, keys, buckets)))
+    bounds = bucket_bounds(sample_from if sample_from is not None else df, keys, buckets)
+    return df.withColumn(B, bucket_expr(df, keys, bounds))
 
 
 def positions(df: DataFrame, order: Sequence[str], group: Sequence[str] | str | None = None,
@@ -111,7 +115,9 @@ def positions(df: DataFrame, order: Sequence[str], group: Sequence[str] | str |
     r = range_buckets(df, group, order, buckets)
     local = r.withColumn(
         "_lp", F.row_number().over(Window.partitionBy(B, *group).orderBy(*_order_exprs(order))) - 1)
-    tails = r.groupBy(B, *group).agg(F.count(F.lit(1)).alias("_cnt"))
+    # Counts per (bucket, group) from the windowed rows: already partitioned
+    # by those keys, so no new exchange and the input is read only once.
+    tails = local.groupBy(B, *group).agg((F.max("_lp") + 1).alias("_cnt"))
     g_w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     tails = tails.select(
         B, *group,
@@ -125,18 +131,20 @@ def positions(df: DataFrame, order: Sequence[str], group: Sequence[str] | str |
 
 
 def ordered_lag(df: DataFrame, group: Sequence[str] | str, order: Sequence[str],
-                values: dict[str, str], buckets: int | None = None) -> DataFrame:
+                values: dict[str, str], buckets: int | None = None,
+                sample_from: DataFrame | None = None) -> DataFrame:
     """``lag(v).over(partitionBy(group).orderBy(order))`` for each ``v`` in
     ``values`` (source column -> output name), without one task per group."""
     group, order = _cols(group), _cols(order)
-    r = range_buckets(df, group, order, buckets)
+    r = range_buckets(df, group, order, buckets, sample_from)
     w = Window.partitionBy(B, *group).orderBy(*_order_exprs(order))
     local = r.select("*", *[F.lag(src).over(w).alias(f"_lag_{i}") for i, src in enumerate(values)],
-                     (F.row_number().over(w) == 1).alias("_first"))
-    # Last row of every (bucket, group), then the previous bucket's last row.
-    last = F.max_by(F.struct(*[F.col(s).alias(f"_v{i}") for i, s in enumerate(values)]),
-                    F.struct(*[F.col(o) for o in order]))
-    tails = r.groupBy(B, *group).agg(last.alias("_last"))
+                     (F.row_number().over(w) == 1).alias("_first"),
+                     F.lead(F.lit(1)).over(w).isNull().alias("_is_last"))
+    # Last row of every (bucket, group) - taken from the windowed rows, so the
+    # input is read once - then the previous bucket's last row per group.
+    tails = local.where(F.col("_is_last")).select(
+        B, *group, F.struct(*[F.col(s).alias(f"_v{i}") for i, s in enumerate(values)]).alias("_last"))
     g_w = (Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))).orderBy(B)
     tails = tails.select(B, *group, F.lag("_last").over(g_w).alias("_carry"))
     j = local.alias("l").join(tails.alias("t"), _on_keys([B, *group]), "left")

@@ -141,9 +141,11 @@ def with_previous_loans(prepared: DataFrame) -> DataFrame:
     ordered by (issue date, loan id); skew-safe (``ordered.ordered_lag``)."""
     w1 = ordered.ordered_lag(prepared, ["grade"], ["issue_date1", "loan_id"],
                              {"issue_date1": "prev_loan_date", "loan_amount": "prev_loan_amount"})
+    # Same rows and keys as ``prepared``: sample the bounds there rather than
+    # re-running w1's shuffles for the sample.
     return ordered.ordered_lag(w1, ["state", "grade"], ["issue_date1", "loan_id"],
                                {"loan_amount": "prev_amount_state_date",
-                                "issue_date1": "prev_date_state_date"})
+                                "issue_date1": "prev_date_state_date"}, sample_from=prepared)
 
 
 def day_gap_by_grade(with_prev: DataFrame) -> DataFrame:

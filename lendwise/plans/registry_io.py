@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendwise.fixtures import loans, raw_loans, table
+from lendwise.fixtures import loans, raw_loans, spread, table
 from lendwise.plans import analytics as an
 from lendwise.plans import sql as sqlf
 from lendwise.plans.oracle import grade_case, with_loans
@@ -257,7 +257,7 @@ def _s8(spark, sf):
   SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS h,
          regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS t FROM pages)""")
 def _s10(spark, sf):
-    return list_links(table(spark, sf, "pages"))
+    return list_links(spread(table(spark, sf, "pages")))
 
 
 @register("s11_preview", with_loans(
