@@ -60,6 +60,10 @@ class LoanPrepModel:
 
     # -------------------------------------------------------------- transform
     def transform(self, df: DataFrame) -> DataFrame:
+        return self.transform_features(self.transform_clean(df))
+
+    def transform_clean(self, df: DataFrame) -> DataFrame:
+        """Stage 1: names, canonical values, missing values, outlier caps."""
         p, cfg = self.params, self.config
         if any(c != c.lower() or " " in c for c in df.columns):
             df = normalise_names(df)
@@ -101,8 +105,12 @@ class LoanPrepModel:
             "avg_cur_bal_capped": fx.cap("log_avg_cur_bal", v_lo, v_hi),
             "tot_cur_bal_capped": fx.cap("log_tot_cur_bal", lower=p["tot_cur_bal_lower"]),
         })
-        df = df.withColumns({"annual_inc_joint_handled": F.col("annualjoint_log_capped"),
-                             "avg_cur_bal_handled": F.col("avg_cur_bal_capped")})
+        return df.withColumns({"annual_inc_joint_handled": F.col("annualjoint_log_capped"),
+                               "avg_cur_bal_handled": F.col("avg_cur_bal_capped")})
+
+    def transform_features(self, df: DataFrame) -> DataFrame:
+        """Stage 2: features, encodings, recompose, scaling, drop."""
+        p, cfg = self.params, self.config
         # -- features (on raw income / amount: recompose and scaling come later)
         issue = F.col("issue_date")
         if isinstance(df.schema["issue_date"].dataType, T.StringType):

@@ -12,6 +12,7 @@ from lendwise.plans import analytics as an
 from lendwise.plans import sql as sqlf
 from lendwise.plans.oracle import grade_case, with_loans
 from lendwise.plans.pipeline import LoanPrep
+from lendwise.plans.reports import run_etl
 from lendwise.plans.registry import A8_SQL, A9_SQL, A10_SQL, A11_SQL, A12_SQL, prepared, register
 from lendwise.sources import files
 from lendwise.sources.html import list_links
@@ -51,12 +52,17 @@ def _fence(q1: str, q3: str, side: str) -> str:
     return f"({q1} - 1.5 * ({q3} - {q1}))" if side == "lo" else f"({q3} + 1.5 * ({q3} - {q1}))"
 
 
-C1_CTES = [
+def clean_ctes(income_scale: str = "log") -> list[str]:
+    inc = _LN.format(x="annual_inc") if income_scale == "log" else "annual_inc"
+    return [c.replace("@INC@", inc) for c in _C1_CTES]
+
+
+_C1_CTES = [
     """l AS (SELECT * REPLACE (CASE type WHEN 'INDIVIDUAL' THEN 'Individual' WHEN 'JOINT' THEN 'Joint App'
   ELSE type END AS type) FROM loans)""",
     "rg AS (SELECT loan_status, avg(int_rate) AS gmean FROM l WHERE loan_status IS NOT NULL GROUP BY 1)",
     f"""qs AS (SELECT quantile_cont(annual_inc, 1/3) AS t1, quantile_cont(annual_inc, 2/3) AS t2,
-  quantile_cont({_LN.format(x='annual_inc')}, 0.25) AS a1, quantile_cont({_LN.format(x='annual_inc')}, 0.75) AS a3,
+  quantile_cont(@INC@, 0.25) AS a1, quantile_cont(@INC@, 0.75) AS a3,
   quantile_cont({_LN.format(x=_JOINT)}, 0.25) AS j1, quantile_cont({_LN.format(x=_JOINT)}, 0.75) AS j3,
   quantile_cont({_LN1P.format(x='avg_cur_bal')}, 0.05) AS v05,
   quantile_cont({_LN1P.format(x='avg_cur_bal')}, 0.95) AS v95,
@@ -76,7 +82,7 @@ C1_CTES = [
   coalesce(lab.emp_title, gm.gmode) AS emp_title_f,
   coalesce(emp_length, (SELECT m FROM elm)) AS emp_length_imputed,
   TRY_CAST(regexp_extract(term, '([0-9]+)', 1) AS INTEGER) AS loan_term,
-  {_LN.format(x='annual_inc')} AS annual_log,
+  @INC@ AS annual_log,
   coalesce({_LN.format(x=_JOINT)}, 0.0) AS annual_logj,
   {_LN1P.format(x='avg_cur_bal')} AS log_avg_cur_bal,
   {_LN1P.format(x='tot_cur_bal')} AS log_tot_cur_bal,
@@ -90,9 +96,7 @@ C1_CTES = [
   la0, la1, fa0, fa1 FROM b, qs)""",
 ]
 
-C1_SELECT = f"""SELECT loan_id, customer_id, issue_date,
-  round((loan_amount - la0) / (la1 - la0) * 15.0 + 0.0, 6) AS loan_amount,
-  round((funded_amount - fa0) / (fa1 - fa0) * 15.0 + 0.0, 6) AS funded_amount,
+_C1_SELECT = f"""SELECT loan_id, customer_id, issue_date, @AMOUNTS@,
   round(annual_log_capped, 6) AS annual_inc, round(annualjoint_log_capped, 6) AS annual_inc_joint,
   round(rate_imputed, 6) AS int_rate, grade, loan_term AS term,
   CASE WHEN contains({_EMP}, '10+') THEN 11.0::DOUBLE WHEN contains({_EMP}, '< 1') THEN 0.0::DOUBLE
@@ -117,7 +121,19 @@ C1_SELECT = f"""SELECT loan_id, customer_id, issue_date,
 FROM c LEFT JOIN gc ON c.grade_category = gc.v LEFT JOIN st ON c.state = st.v
 LEFT JOIN ast ON c.addr_state = ast.v"""
 
+SCALED = ("round((loan_amount - la0) / (la1 - la0) * 15.0 + 0.0, 6) AS loan_amount, "
+          "round((funded_amount - fa0) / (fa1 - fa0) * 15.0 + 0.0, 6) AS funded_amount")
+RAW_AMOUNTS = "round(loan_amount, 6) AS loan_amount, round(funded_amount, 6) AS funded_amount"
+
+
+def clean_select(scale: bool = True) -> str:
+    return _C1_SELECT.replace("@AMOUNTS@", SCALED if scale else RAW_AMOUNTS)
+
+
+C1_CTES = clean_ctes("log")
+C1_SELECT = clean_select(True)
 C1_SQL = with_loans(C1_SELECT, *C1_CTES)
+ETL_SQL = with_loans(clean_select(False), *clean_ctes("raw"))
 
 
 @register("c1_clean_batch", C1_SQL)
@@ -264,3 +280,49 @@ def _s10(spark, sf):
     "SELECT loan_id, loan_amount, issue_date, grade FROM loans ORDER BY loan_id LIMIT 20"))
 def _s11(spark, sf):
     return files.preview(loans(spark, sf).select("loan_id", "loan_amount", "issue_date", "grade"), ["loan_id"], 20)
+
+
+# ------------------------------------------- C4 / T6 / Q15 / S12 compositions
+
+
+@register("c4_etl_pipeline", ETL_SQL)
+def _c4(spark, sf):
+    """extract_clean -> transform -> load, each stage a Parquet table."""
+    paths = run_etl(spark, loans(spark, sf))
+    return round_doubles(spark.read.parquet(paths.loaded))
+
+
+@register("t6_batch_then_stream", with_loans(C1_SELECT + "\nUNION ALL\n" + C1_SELECT, *C1_CTES))
+def _t6(spark, sf):
+    """Batch-clean the table first, then stream the producer's messages into
+    the same table."""
+    df = loans(spark, sf)
+    model = LoanPrep().fit(df)
+    src = _messages_dir(spark, sf)
+    schema = stream.message_schema(raw_name_map(spark, sf))
+    sink = files.scratch_path(spark, "t6-sink")
+    out = stream.load_batch_then_stream(spark, model, df, stream.read_messages(spark, f"{src}/*"), schema,
+                                        sink, files.scratch_path(spark, "t6-ckpt"), {"availableNow": True})
+    return round_doubles(out)
+
+
+IMPUTED = ["int_rate", "emp_title", "emp_length", "description", "annual_inc_joint"]
+
+
+@register("q15_post_impute_check", with_loans(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM cleaned"
+    for c in IMPUTED), *C1_CTES, f"cleaned AS ({C1_SELECT})"))
+def _q15(spark, sf):
+    from lendwise.operators.profile import null_counts
+    df = loans(spark, sf)
+    return null_counts(LoanPrep().fit(df).transform(df), IMPUTED)
+
+
+@register("s12_coalesced_lookup", N8_SQL)
+def _s12(spark, sf):
+    """Lookup coalesced to one partition before the write (the only place a
+    single partition is wanted), read back."""
+    lk = files.with_partitions(LoanPrep().fit(loans(spark, sf)).lookup(spark), coalesce_to=1)
+    d = files.scratch_path(spark, "lookup")
+    files.write_parquet(lk, d)
+    return files.read_parquet(spark, d)
