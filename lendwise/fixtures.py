@@ -30,7 +30,10 @@ def spread(df: DataFrame) -> DataFrame:
     projections) would run on one core. If the scan has fewer partitions than
     the cluster's default parallelism, round-robin it once; on a large table
     (many files and row groups) the check is false and nothing changes."""
-    target = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    if spark.conf.get("spark.lendwise.spreadScans", "true").lower() != "true":
+        return df
+    target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df

@@ -1,9 +1,9 @@
 """Imputation.
 
 Fitting returns small DataFrames or scalars; applying is a projection plus,
-for per-group values, a join to a table with one row per group. That table's
-size is bounded by the number of groups; ``join_small`` broadcasts it only
-after checking its row count, otherwise it is an ordinary shuffle join.
+for per-group values, a join to a table with one row per group (never a
+window over few groups). ``join_small`` leaves the broadcast decision to
+AQE, which measures that table at runtime.
 """
 
 from __future__ import annotations

@@ -26,6 +26,13 @@ def _p1(spark, sf):
                                                         "addr_state", "issue_date")
 
 
+@register("p2_key_uniqueness", with_loans(
+    "SELECT customer_id, count(*) AS count FROM loans GROUP BY customer_id HAVING count(*) > 1"))
+def _p2(spark, sf):
+    from lendwise.schema import check_unique
+    return check_unique(loans(spark, sf), "customer_id")
+
+
 TYPE_CANON = {"INDIVIDUAL": "Individual", "JOINT": "Joint App"}
 
 
