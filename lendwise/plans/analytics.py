@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lendwise.functions import features as fx
 from lendwise.functions.agg import money_avg, money_sum
 from lendwise.operators import ordered, profile
-from lendwise.operators.impute import fill_constant, mode_values_multi
+from lendwise.operators.impute import fill_constant, mode_values
 from lendwise.operators.joins import rows_equal_group_max, top_n
 from lendwise.operators.outliers import category_labels, fit_quantiles, qcut_expr
 
@@ -90,9 +90,13 @@ def notebook_prepare(loans: DataFrame, modes: dict | None = None) -> DataFrame:
     as a number (exact match), letter grade, parsed issue date."""
     cols = ["emp_length", "emp_title", "description"]
     if modes is None:
-        modes = {r["feature"]: r["mode"] for r in mode_values_multi(loans, cols).collect()}
+        # Lazy: each mode is a scalar subquery, evaluated once and only if
+        # the query uses that column (Catalyst prunes the rest).
+        fills = {c: mode_values(loans, c).select("mode").scalar() for c in cols}
+    else:
+        fills = {c: F.lit(modes.get(c)) for c in cols}
     df = fill_constant(loans, {"annual_inc_joint": 0.0, "int_rate": 0.0})
-    df = df.withColumns({c: F.coalesce(F.col(c), F.lit(modes.get(c))) for c in cols})
+    df = df.withColumns({c: F.coalesce(F.col(c), fills[c]) for c in cols})
     return df.withColumns({
         "emp_length": fx.emp_length_exact("emp_length"),
         "grade_encoded": fx.grade_letter("grade"),
@@ -136,16 +140,25 @@ def verified_amount_by_state(loans: DataFrame) -> DataFrame:
             .orderBy("addr_state", "verification_status"))
 
 
-def with_previous_loans(prepared: DataFrame) -> DataFrame:
-    """W1 + W2: previous loan date/amount per grade and per (state, grade),
-    ordered by (issue date, loan id); skew-safe (``ordered.ordered_lag``)."""
-    w1 = ordered.ordered_lag(prepared, ["grade"], ["issue_date1", "loan_id"],
-                             {"issue_date1": "prev_loan_date", "loan_amount": "prev_loan_amount"})
-    # Same rows and keys as ``prepared``: sample the bounds there rather than
-    # re-running w1's shuffles for the sample.
-    return ordered.ordered_lag(w1, ["state", "grade"], ["issue_date1", "loan_id"],
+def previous_by_grade(prepared: DataFrame) -> DataFrame:
+    """Previous loan date and amount of the same numeric grade, ordered by
+    (issue date, loan id); skew-safe (``ordered.ordered_lag``)."""
+    return ordered.ordered_lag(prepared, ["grade"], ["issue_date1", "loan_id"],
+                               {"issue_date1": "prev_loan_date", "loan_amount": "prev_loan_amount"})
+
+
+def previous_by_state_grade(df: DataFrame, sample_from: DataFrame | None = None) -> DataFrame:
+    """The same per (state, grade)."""
+    return ordered.ordered_lag(df, ["state", "grade"], ["issue_date1", "loan_id"],
                                {"loan_amount": "prev_amount_state_date",
-                                "issue_date1": "prev_date_state_date"}, sample_from=prepared)
+                                "issue_date1": "prev_date_state_date"}, sample_from=sample_from)
+
+
+def with_previous_loans(prepared: DataFrame) -> DataFrame:
+    """W1 + W2 as columns of one table (the notebook's view). The second
+    lag samples its bounds from ``prepared`` (same rows and keys) instead of
+    re-running the first lag's shuffles for the sample."""
+    return previous_by_state_grade(previous_by_grade(prepared), sample_from=prepared)
 
 
 def day_gap_by_grade(with_prev: DataFrame) -> DataFrame:

@@ -152,7 +152,7 @@ WHERE prev_loan_date IS NOT NULL AND issue_date1 IS NOT NULL GROUP BY 1""", LAG_
 
 @register("a11_day_gap_by_grade", A11_SQL)
 def _a11(spark, sf):
-    return an.day_gap_by_grade(with_prev(spark, sf))
+    return an.day_gap_by_grade(an.previous_by_grade(prepared(spark, sf)))
 
 
 A12_SQL = with_prep(
@@ -162,19 +162,20 @@ FROM w WHERE prev_amount_state_date IS NOT NULL GROUP BY 1, 2""", LAG_CTE)
 
 @register("a12_amount_change_by_grade_state", A12_SQL)
 def _a12(spark, sf):
-    return an.amount_change_by_grade_state(with_prev(spark, sf))
+    return an.amount_change_by_grade_state(an.previous_by_state_grade(prepared(spark, sf)))
 
 
 @register("w1_prev_loan_by_grade", with_prep(
     "SELECT loan_id, prev_loan_date, prev_loan_amount FROM w", LAG_CTE))
 def _w1(spark, sf):
-    return with_prev(spark, sf).select("loan_id", "prev_loan_date", "prev_loan_amount")
+    return an.previous_by_grade(prepared(spark, sf)).select("loan_id", "prev_loan_date", "prev_loan_amount")
 
 
 @register("w2_prev_loan_by_state_grade", with_prep(
     "SELECT loan_id, prev_amount_state_date, prev_date_state_date FROM w", LAG_CTE))
 def _w2(spark, sf):
-    return with_prev(spark, sf).select("loan_id", "prev_amount_state_date", "prev_date_state_date")
+    return an.previous_by_state_grade(prepared(spark, sf)) \
+        .select("loan_id", "prev_amount_state_date", "prev_date_state_date")
 
 
 @register("a13_grade_share", with_loans(

@@ -203,13 +203,11 @@ def _t4(spark, sf):
 
 
 # ----------------------------------------------------------- S9: SQL surface
-def _sql_analyses(spark, sf):
-    return sqlf.analyses(spark, an.with_previous_loans(prepared(spark, sf)))
-
-
 @register("s9_a8_sql", A8_SQL)
 def _s9a8(spark, sf):
-    return _sql_analyses(spark, sf)["a8"]
+    p = prepared(spark, sf)
+    q1, q3 = an.income_range_edges(p)
+    return sqlf.run(spark, sqlf.A8, sqlf.register_view(p), q1=q1, q3=q3, status="Default")
 
 
 @register("s9_a9_sql", A9_SQL)
@@ -226,12 +224,14 @@ def _s9a10(spark, sf):
 
 @register("s9_a11_sql", A11_SQL)
 def _s9a11(spark, sf):
-    return _sql_analyses(spark, sf)["a11"]
+    v = sqlf.register_view(an.previous_by_grade(prepared(spark, sf)))
+    return sqlf.run(spark, sqlf.A11, v)
 
 
 @register("s9_a12_sql", A12_SQL)
 def _s9a12(spark, sf):
-    return _sql_analyses(spark, sf)["a12"]
+    v = sqlf.register_view(an.previous_by_state_grade(prepared(spark, sf)))
+    return sqlf.run(spark, sqlf.A12, v)
 
 
 # ------------------------------------------------------- S: sources / sinks
