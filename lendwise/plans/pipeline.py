@@ -6,13 +6,15 @@ maps), so the very same transform serves a batch DataFrame and a Structured
 Streaming one - a single record is never re-fitted. ``model.lookup(spark)``
 returns the lookup table (feature, original_value, encoded_value).
 
-Fit cost: five passes over the (persisted, projected) input regardless of
-the number of statistics - one grouped aggregate (rate by status, min/max
-for scaling), one grouped count over all unpivoted string columns (category
-lists and global modes together), one distributed exact-quantile pass over
-all numeric features at once (or one sketch pass with ``approx=True``), and
-two small grouped-mode passes that depend on the income terciles. Every collected parameter has a size bound
-that is checked (category lists, group tables), never silently capped.
+Fit cost: a fixed number of passes over the (persisted, projected) input,
+whatever the number of statistics - one grouped aggregate (rate by status,
+min/max for scaling), one grouped count over all unpivoted string columns
+(distinct-value counts and global modes; the bounded category values are
+collected only after their size check), one distributed exact-quantile pass
+over all numeric features at once (or one sketch pass with
+``approx=True``), and two small grouped-mode passes that depend on the
+income terciles. Every collected parameter has a size bound that is checked
+(category lists, group tables), never silently capped.
 """
 
 from __future__ import annotations
@@ -255,18 +257,20 @@ class LoanPrep:
         counts = (df.select(*[e.cast("string").alias(k) for k, e in allc.items()])
                   .unpivot([], list(allc), "feature", "value").where(F.col("value").isNotNull())
                   .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_n")))
-        is_cat = F.col("feature").isin(list(cat_cols))
         per_feature = counts.groupBy("feature").agg(
             F.min_by("value", F.struct((-F.col("_n")).alias("n"), F.col("value").alias("v"))).alias("mode"),
             F.count(F.lit(1)).alias("n_values"),
-            F.sort_array(F.collect_list(F.when(is_cat, F.col("value")))).alias("values"),
         ).collect()
         got = {r["feature"]: r for r in per_feature}
-        cats: dict[str, list] = {}
         for k in cat_cols:
-            r = got.get(k)
-            _check(r["n_values"] if r else 0, cfg.max_categories, k)
-            cats[k] = list(r["values"]) if r else []
+            _check(got[k]["n_values"] if k in got else 0, cfg.max_categories, k)
+        # Only after the size check: the (bounded) category values themselves.
+        vals = counts.where(F.col("feature").isin(list(cat_cols))).select("feature", "value").collect()
+        cats: dict[str, list] = {k: [] for k in cat_cols}
+        for r in vals:
+            cats[r["feature"]].append(r["value"])
+        for k in cats:
+            cats[k].sort()
         p["home_ownership_categories"] = cats["home_ownership"]
         p["verification_categories"] = cats["verification_status"]
         p["type_categories"] = cats["type"]
