@@ -59,3 +59,19 @@ def test_dense_and_frequency_codes(spark):
     assert codes == {"a": 0, "b": 1, "c": 2}
     freq = {r["x"]: r["code"] for r in ordered.frequency_codes(df, "x").collect()}
     assert freq == {"a": 0, "b": 1, "c": 2}  # b and c tie on 2 -> alphabetical
+
+
+def test_hot_key_is_split_across_buckets(spark):
+    """One grade holds a third of all rows; its rows must spread over many
+    buckets, with no bucket far above the average."""
+    from pyspark.sql import functions as F
+    n, buckets = 30000, 8
+    df = spark.range(n).select(
+        F.col("id").alias("loan_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 37).alias("grade"),
+        (F.col("id") % 400).alias("day"))
+    r = ordered.range_buckets(df, ["grade"], ["day", "loan_id"], buckets=buckets)
+    sizes = [row["count"] for row in r.groupBy(ordered.B).count().collect()]
+    assert max(sizes) <= 2 * n / buckets
+    hot = r.where(F.col("grade") == 7).select(ordered.B).distinct().count()
+    assert hot >= 3                          # the hot group spans several tasks
