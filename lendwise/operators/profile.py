@@ -134,18 +134,17 @@ def first_token_match(df: DataFrame, text: str, reference: str, constant: float
 
 
 def spread_report(df: DataFrame, column: str, lo: float = 0.25, hi: float = 0.75) -> DataFrame:
-    """Q10: low/high quantile, their spread, min and max."""
-    q = ordered.exact_quantiles(df, column, [lo, hi])
-    qs = q.agg(F.max(F.when(F.col("prob") == lo, F.col("value"))).alias("q_low"),
-               F.max(F.when(F.col("prob") == hi, F.col("value"))).alias("q_high"))
-    mm = df.agg(F.min(column).alias("min"), F.max(column).alias("max"))
-    # Both sides are single-row aggregates: zip them as scalar subqueries.
-    return mm.select(
-        F.lit(column).alias("column"),
-        F.round(qs.select("q_low").scalar(), 6).alias("q_low"),
-        F.round(qs.select("q_high").scalar(), 6).alias("q_high"),
-        F.round(qs.select(F.col("q_high") - F.col("q_low")).scalar(), 6).alias("spread"),
-        "min", "max")
+    """Q10: low/high quantile, their spread, min and max (one small row;
+    the parameters are collected once, not re-planned per use)."""
+    q = {round(r["prob"], 12): r["value"] for r in ordered.exact_quantiles(df, column, [lo, hi]).collect()}
+    mn, mx = df.agg(F.min(column), F.max(column)).collect()[0]
+    q_lo, q_hi = q.get(round(lo, 12)), q.get(round(hi, 12))
+    spread = None if q_lo is None or q_hi is None else q_hi - q_lo
+    t = df.schema[column].dataType.simpleString()
+    return df.sparkSession.createDataFrame(
+        [(column, q_lo, q_hi, spread, mn, mx)],
+        f"column string, q_low double, q_high double, spread double, min {t}, max {t}") \
+        .select("column", *[F.round(c, 6).alias(c) for c in ["q_low", "q_high", "spread"]], "min", "max")
 
 
 def zscore_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.0) -> DataFrame:
@@ -160,10 +159,9 @@ def zscore_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.
 
 def zscores(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
     """Q11 row form: |z| column from the column's mean and sample std
-    (scalar subqueries, evaluated once)."""
-    st = df.agg(F.avg(column).alias("m"), F.stddev_samp(column).alias("s"))
-    return df.withColumn(out or f"z_{column}",
-                         fx.abs_zscore(column, st.select("m").scalar(), st.select("s").scalar()))
+    (one aggregate, collected)."""
+    m, sd = df.agg(F.avg(column), F.stddev_samp(column)).collect()[0]
+    return df.withColumn(out or f"z_{column}", fx.abs_zscore(column, m, sd))
 
 
 def _bin_expr(x, mn, mx, bins: int):
@@ -175,8 +173,10 @@ def _bin_expr(x, mn, mx, bins: int):
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Q12: equal-width histogram between min and max; the last bin is closed
     (x = max falls in bin ``bins``)."""
-    rng = df.agg(F.min(column).alias("mn"), F.max(column).alias("mx"))
-    mn, mx = rng.select("mn").scalar(), rng.select("mx").scalar()
+    mn, mx = df.agg(F.min(column), F.max(column)).collect()[0]
+    if mn is None:
+        return df.sparkSession.createDataFrame([], "bin int, bin_start double, count bigint")
+    mn, mx = F.lit(float(mn)), F.lit(float(mx))
     x = F.col(column)
     b = _bin_expr(x, mn, mx, bins)
     h = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -189,9 +189,11 @@ def kde(df: DataFrame, column: str, grid_points: int = 64, fine_bins: int = 512)
     even grid from min to max, evaluated over a fine histogram of the data
     (bin centres weighted by counts) so the cost is one pass + a table of
     ``fine_bins`` rows, whatever the data size."""
-    st = df.agg(F.min(column).alias("mn"), F.max(column).alias("mx"),
-                F.stddev_samp(column).alias("sd"), F.count(column).alias("n"))
-    mn, mx, sd, n = (st.select(c).scalar() for c in ("mn", "mx", "sd", "n"))
+    mn_, mx_, sd_, n_ = df.agg(F.min(column), F.max(column), F.stddev_samp(column),
+                               F.count(column)).collect()[0]
+    if not n_:
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
+    mn, mx, sd, n = F.lit(float(mn_)), F.lit(float(mx_)), F.lit(sd_).cast("double"), F.lit(n_)
     x = F.col(column)
     fine = (df.where(x.isNotNull()).groupBy(_bin_expr(x, mn, mx, fine_bins).alias("fb"))
             .agg(F.count(F.lit(1)).alias("w")))
