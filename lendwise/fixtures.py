@@ -35,7 +35,7 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     try:
         target = spark.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()   # plans the scan, runs no job
+        parts = df.rdd.getNumPartitions()   # a bare scan: plans it, runs no job
     except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
         return df
     return df.repartition(target) if parts < target else df

@@ -43,21 +43,21 @@ def _cols(xs) -> list[str]:
 
 
 def _buckets(df: DataFrame, buckets: int | None) -> int:
-    """Number of range buckets: explicit, else sized like the input - its
-    partition count (files / row groups, i.e. bytes / maxPartitionBytes, known
-    from planning alone) clamped between the default parallelism and
-    ``spark.sql.shuffle.partitions``. Small inputs get few buckets, large
-    inputs as many as the shuffle is configured for."""
+    """Number of range buckets: explicit, else sized like the input - the
+    number of input files (planning only; nothing is executed) clamped
+    between the default parallelism and ``spark.sql.shuffle.partitions``.
+    Small inputs get few buckets, large ones as many as the shuffle is
+    configured for."""
     if buckets:
         return int(buckets)
     spark = df.sparkSession
     cap = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     try:
         floor = spark.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access: use the configured count
+        files = len(df.inputFiles())
+    except Exception:  # noqa: BLE001 - no file listing available: configured count
         return cap
-    return max(1, min(cap, max(floor, parts)))
+    return max(1, min(cap, max(floor, files)))
 
 
 def _on_keys(keys: Sequence[str]) -> Column:

@@ -96,6 +96,8 @@ def with_partitions(df: DataFrame, n: int | None = None, coalesce_to: int | None
 
 
 def partition_count(df: DataFrame) -> int:
+    """S12's "report count". Note: on a plan with shuffles, AQE runs those
+    stages to know the final partitioning - call it on scans or written data."""
     return df.rdd.getNumPartitions()
 
 
