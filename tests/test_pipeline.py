@@ -83,3 +83,14 @@ def test_sentinel_in_middle_of_batch_is_dropped(spark, fitted):
     assert flag.event.is_set()
     got = stream.read_sink(spark, sink)
     assert sorted(r["loan_id"] for r in got.collect()) == [1, 2]
+
+
+def test_replayed_batch_overwrites_itself(spark, fitted):
+    """T5: a micro-batch written twice under the same batch id (a replay after
+    a failure) leaves one copy, because each batch owns batch_id=N."""
+    df, model = fitted
+    sink = files.scratch_path(spark, "t-replay")
+    part = model.transform(df.limit(50))
+    for _ in range(2):
+        part.write.mode("overwrite").parquet(f"{sink}/batch_id=3")
+    assert stream.read_sink(spark, sink).count() == 50
