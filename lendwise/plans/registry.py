@@ -141,10 +141,6 @@ LAG_CTE = """w AS (SELECT *,
 FROM prep)"""
 
 
-def with_prev(spark, sf):
-    return an.with_previous_loans(prepared(spark, sf))
-
-
 A11_SQL = with_prep(
     """SELECT grade_encoded, avg(datediff('day', prev_loan_date, issue_date1)) AS avg_diff FROM w
 WHERE prev_loan_date IS NOT NULL AND issue_date1 IS NOT NULL GROUP BY 1""", LAG_CTE)

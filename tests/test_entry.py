@@ -45,3 +45,19 @@ def test_oracle_parity_sf0001(spark, sf, key):
     idx = [names.index(c) for c in cols]
     exp = sorted(tuple(_norm(r[i]) for i in idx) for r in cur.fetchall())
     assert got == exp
+
+
+def test_sql_and_dataframe_forms_agree(spark, sf):
+    """The notebook answered each question twice (SQL and DataFrame)."""
+    from lendwise.fixtures import loans
+    from lendwise.plans import analytics as an
+    from lendwise.plans import sql as sqlf
+    prep = an.with_previous_loans(an.notebook_prepare(loans(spark, sf)))
+    sql = sqlf.analyses(spark, prep)
+    frames = {"a8": an.default_by_income(prep), "a9": an.avg_gap_by_grade(prep),
+              "a10": an.verified_amount_by_state(prep), "a11": an.day_gap_by_grade(prep),
+              "a12": an.amount_change_by_grade_state(prep)}
+    for k, df in frames.items():
+        a = sorted(tuple(r) for r in sql[k].select(*df.columns).collect())
+        b = sorted(tuple(r) for r in df.collect())
+        assert a == b, k
