@@ -34,6 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 B = "_lw_bucket"
+# Default ceiling on range buckets: the bucket search below is a nested CASE
+# of struct comparisons, which stays within whole-stage codegen up to about
+# this many bounds (beyond it Spark falls back to interpreted code: still
+# correct, much slower). An explicit ``buckets`` argument is not capped.
+MAX_DEFAULT_BUCKETS = 512
 
 
 def _cols(xs) -> list[str]:
@@ -57,7 +62,7 @@ def _buckets(df: DataFrame, buckets: int | None) -> int:
         files = len(df.inputFiles())
     except Exception:  # noqa: BLE001 - no file listing available: configured count
         return cap
-    return max(1, min(cap, max(floor, files)))
+    return max(1, min(cap, MAX_DEFAULT_BUCKETS, max(floor, files)))
 
 
 def _on_keys(keys: Sequence[str]) -> Column:
