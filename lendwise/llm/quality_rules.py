@@ -1,17 +1,17 @@
 """Quality rules (native): a short-circuit cascade ordered by rejection per cost.
 
 Each rule is a condition under which a document is rejected. On a hashed sample of
-the documents the cascade estimates what each rule costs (its
-declared work per character, word or line, times what the sample holds) and
+the documents the cascade estimates what each rule costs (the
+characters that its declared work reads in the sample) and
 which documents it rejects. It then orders the rules greedily by
 documents rejected (among those that no earlier rule rejected) per cost. The order
 becomes one CASE expression, so a rule's work is done only on documents that
 all earlier rules passed. The order never changes the verdict, only the work
 and the name of the first failed rule.
 
-Windows of words repeated within a text are found inside the row: sorted window
-hashes, neighbours compared, covered words counted. Nothing is exploded or
-shuffled, however long a text.
+Windows of words repeated within a text are found inside the row: 64-bit window
+hashes are sorted, neighbours compared, covered words counted. Nothing is
+exploded or shuffled, however long a text.
 
 Defined results: null and empty texts have no words and fail the base; repeated
 rows and ids are judged alike; an empty table gives an empty result; extra
@@ -30,7 +30,9 @@ from lendwise.llm.common import WHITE_SPACE, word_array
 #: Fixed values of the base: symbols, fewest words, largest share of repeated words.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PCT = 50, 50
-SAMPLE_ROWS, SAMPLE_GRAIN = 20_000, 1 << 20
+SAMPLE_ROWS, SAMPLE_GRAIN = 5_000, 1 << 20
+#: Up to so many repeated windows their places are found by lookup, above by sorting (the result is the same).
+FEW = 16
 
 
 @dataclass(frozen=True)
@@ -54,8 +56,8 @@ def default_rules() -> list[Rule]:
         Rule("symbols", c("n_symbols") * 10 > c("n_words"), nothing),
         Rule("repeated_lines", c("n_dup_lines") * 10 > c("n_lines") * 6, nothing),
         Rule("repeated_windows", c("n_repeat_words") * 100 > c("n_words") * 45, nothing),
-        Rule("shouting", count(r"\p{Lu}") * 2 > count(r"\p{L}"), 2 * chars),
-        Rule("letters", count(rf"(?<![^{WHITE_SPACE}])[^\p{{L}}{WHITE_SPACE}]+(?![^{WHITE_SPACE}])") * 10 > c("n_words") * 3, 2 * chars),
+        Rule("shouting", count(r"\p{Lu}") * 2 > c("word_chars"), chars),
+        Rule("digits", count(r"\p{N}") * 2 > c("word_chars"), chars),
         Rule("exclamations", count("[!?]{2,}") * 5 > c("n_words"), chars),
         Rule("ellipses", count(r"(\.\.\.|…)[ \t]*(\n|$)") * 10 > c("n_lines") * 3, chars),
         Rule("bullets", count(r"(^|\n)[ \t]*[-*•●]") * 10 > c("n_lines") * 9, chars),
@@ -64,7 +66,9 @@ def default_rules() -> list[Rule]:
 
 def removed_length(text: Column, characters: str) -> Column:
     """Code points of ``text`` without the given characters."""
-    return F.length(F.translate(text, characters, ""))
+    for x in characters:
+        text = F.replace(text, F.lit(x), F.lit(""))
+    return F.length(text)
 
 
 def covered_words(starts: Column) -> Column:
@@ -90,13 +94,16 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                    F.size("lines").cast("long").alias("n_lines"),
                    (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
                    window.alias("windows"))
-    ordered = F.when(F.size(F.array_distinct("windows")) < F.size("windows"),
-                     F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    df = df.withColumn("ordered", ordered)
-    twice = F.filter("ordered", lambda x, k: (
-        F.coalesce(F.get("ordered", k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get("ordered", k + 1)["h"] == x["h"], F.lit(False))))
-    starts = F.sort_array(F.transform(twice, lambda x: x["i"]))
-    df = df.withColumn("n_repeat_words", F.when(F.col("ordered").isNull(), F.lit(0).cast("long")).otherwise(covered_words(starts)))
+    # Hashes of windows found twice or more (each later find once); most texts have none or a few.
+    df = df.withColumn("sorted", F.sort_array("windows"))
+    df = df.withColumn("again", F.filter("sorted", lambda h, k: F.get("sorted", k - 1) == h))
+    few = F.filter(F.transform("windows", lambda h, i: F.when(F.array_contains("again", h), i)), lambda i: i.isNotNull())
+    pairs = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    df = df.withColumn("pairs", F.when(F.size("again") > FEW, pairs))
+    same = lambda x, k: F.coalesce(F.get("pairs", k)["h"] == x["h"], F.lit(False))
+    many = F.transform(F.filter("pairs", lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"])
+    df = df.withColumn("n_repeat_words", F.when(F.size("again") == 0, F.lit(0).cast("long"))
+                       .when(F.size("again") <= FEW, covered_words(few)).otherwise(covered_words(F.sort_array(many))))
     base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED_PCT)
     # The (always true) condition keeps the optimizer from pushing a caller's filter below the measures,
     # which would write their expressions into one another and evaluate them again for every window.
