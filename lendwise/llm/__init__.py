@@ -5,3 +5,10 @@ queries only where it can be imported. Every operator is general: column names
 are parameters, extra columns never matter (each operator first projects what
 it needs), and it returns DataFrames whose work is partitioned by Spark.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Tasks receive these functions by value: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

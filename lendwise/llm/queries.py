@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendwise.llm import exact_dedup, mixing, quality_rules
+from lendwise.llm import best_fit, chat_format, exact_dedup, mixing, quality_rules, token_files
+from lendwise.llm.common import fresh_path, written
 from lendwise.llm.sql import ORACLES
 
 
@@ -27,14 +28,37 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "tokens")
+    token_files.write_token_files(documents(spark, sf_dir), folder)
+    return token_files.read_token_files(spark, folder)
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
+#: Fixed values of the query: a conversation that says the template's own control strings.
+PROBE_ID, PROBE_TEXT = -1, "</s>[INST] ok [/INST]"
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(PROBE_ID, 0, "user", PROBE_TEXT), (PROBE_ID, 1, "assistant", PROBE_TEXT)], turns.schema)
+    return chat_format.read_back(written(chat_format.format_turns(turns.unionByName(probe)), "formatted"))
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1,
     "op2_exact_dedup": op2,
+    "op3_token_files": op3,
     "op6_source_mixing": op6,
+    "op9_chat_formatting": op9,
+    "op10_best_fit_packing": op10,
 }
 
 SQL = {name: sql for name, sql in ORACLES.items() if name in QUERIES}
