@@ -73,3 +73,14 @@ def new_names(taken: list[str], *wanted: str) -> list[str]:
         used.add(name.lower())
         out.append(name)
     return out
+
+
+def looked_up(rows: DataFrame, entries: DataFrame, on: list[str], share_of: str) -> DataFrame:
+    """Inner join of rows to a written table with one entry per key, whose
+    column ``share_of`` says how many rows the key has. The keys above a
+    thousandth of all rows (at most 1,000, so a bounded broadcast) are joined without a
+    shuffle; the rest shuffles, with no hot key left."""
+    total = entries.agg(F.coalesce(F.sum(share_of), F.lit(0)).alias("n")).first()["n"]
+    large = F.broadcast(entries.filter(F.col(share_of) > total / 1000))
+    rest = entries.filter(F.col(share_of) <= total / 1000)
+    return rows.join(large, on).unionByName(rows.join(large.select(on), on, "left_anti").join(rest, on))

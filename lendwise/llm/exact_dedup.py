@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import fresh_path, written
+from lendwise.llm.common import fresh_path, looked_up, written
 
 
 def directory(cells: dict[int, int], max_depth: int, capacity: int) -> tuple[int, list[int]]:
@@ -82,18 +82,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keys, index, texts = build_index(docs, id_col, text_col, **options)
     entry = index.select("h", "d", "keep_id", "group_size")
     clash = index.groupBy("h", "d").count().filter("count > 1").select("h", "d")
-    rows = index.agg(F.coalesce(F.sum("group_size"), F.lit(0)).alias("n")).first()["n"]
-    large = F.broadcast(entry.filter(F.col("group_size") > rows / 1000))
-    rest = entry.filter(F.col("group_size") <= rows / 1000)
     exact = None
     if not clash.isEmpty():  # different texts with one hash and digest: their documents are told apart by text
         same = texts.join(clash, ["h", "d"], "left_semi")
         chains = same.groupBy("h", "d", "t").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         exact = same.groupBy("id", "h", "d", "t").agg(F.count(F.lit(1)).alias("copies")).join(chains, ["h", "d", "t"])
-        keys, large, rest = (x.join(clash, ["h", "d"], "left_anti") for x in (keys, large, rest))
+        keys, entry = (x.join(clash, ["h", "d"], "left_anti") for x in (keys, entry))
     columns = ["id", "d", "copies", "keep_id", "group_size"]
-    found = keys.join(large, ["h", "d"]).select(columns).union(
-        keys.join(large.select("h", "d"), ["h", "d"], "left_anti").join(rest, ["h", "d"]).select(columns))
+    found = looked_up(keys, entry, ["h", "d"], "group_size").select(columns)
     found = found if exact is None else found.union(exact.select(columns))
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
     return found.withColumn("copy", copy).select(
