@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendwise.llm import best_fit, chat_format, exact_dedup, mixing, quality_rules, simhash, token_files
+from lendwise.llm import best_fit, chat_format, exact_dedup, mixing, quality_classifier, quality_rules, simhash, token_files
 from lendwise.llm.common import fresh_path, written
 from lendwise.llm.sql import ORACLES
 
@@ -42,6 +42,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.resample(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 #: Fixed values of the query: a conversation that says the template's own control strings.
 PROBE_ID, PROBE_TEXT = -1, "</s>[INST] ok [/INST]"
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3,
     "op5_simhash_dedup": op5,
     "op6_source_mixing": op6,
+    "op8_quality_classifier": op8,
     "op9_chat_formatting": op9,
     "op10_best_fit_packing": op10,
 }
