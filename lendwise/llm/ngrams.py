@@ -49,7 +49,9 @@ class TokenHasher:
                                           for b in (np.uint64(BASE), self.inverse))
 
     def tokens(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(hash of each token, first token of each text and the end)."""
+        """(hash of each token, first token of each text and the end); ``starts``
+        then has the tokens' first bytes."""
+        self.starts = np.zeros(0, np.int64)
         if not len(data):
             return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
         self._room(len(data) + 1)
@@ -62,6 +64,7 @@ class TokenHasher:
         ends = np.append(starts[1:], len(data))
         word = kinds[starts] > 0
         starts, ends = starts[word], ends[word]
+        self.starts = starts
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((self.lower[data] + np.uint64(1)) * self.powers[:len(data)], out=sums[1:])
         h = mixed((sums[ends] - sums[starts]) * self.inverses[starts])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendwise.llm import best_fit, chat_format, exact_dedup, mixing, quality_classifier, quality_rules, simhash, token_files
+from lendwise.llm import best_fit, chat_format, exact_dedup, line_dedup, mixing, quality_classifier, quality_rules, simhash, token_files
 from lendwise.llm.common import fresh_path, written
 from lendwise.llm.sql import ORACLES
 
@@ -34,6 +34,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(documents(spark, sf_dir))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir)).drop("text_hash")
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1,
     "op2_exact_dedup": op2,
     "op3_token_files": op3,
+    "op4_line_dedup": op4,
     "op5_simhash_dedup": op5,
     "op6_source_mixing": op6,
     "op8_quality_classifier": op8,
