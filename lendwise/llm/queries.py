@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendwise.llm import best_fit, chat_format, exact_dedup, line_dedup, mixing, quality_classifier, quality_rules, simhash, token_files
+from lendwise.llm import best_fit, chat_format, class_lm, exact_dedup, line_dedup, mixing, quality_classifier, quality_rules, simhash, token_files
 from lendwise.llm.common import fresh_path, written
 from lendwise.llm.sql import ORACLES
 
@@ -46,6 +46,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(documents(spark, sf_dir))
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.resample(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4,
     "op5_simhash_dedup": op5,
     "op6_source_mixing": op6,
+    "op7_lm_scoring": op7,
     "op8_quality_classifier": op8,
     "op9_chat_formatting": op9,
     "op10_best_fit_packing": op10,
