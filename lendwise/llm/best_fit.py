@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendwise.llm.common import written
-from lendwise.llm.tokenization import END_ID, WordEncoder, tokenizer_path
+from lendwise.llm.tokenization import END_ID, tokenizer_path, worker_encoder
 
 CAPACITY, GROUP_DOCS = 4096, 32_768
 
@@ -92,7 +92,7 @@ def cut(path: str, end_id: int, capacity: int, keep_ids: bool) -> Callable[[Iter
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
-        encoder, made = WordEncoder(path), TaskContext.get().partitionId() << 36
+        encoder, made = worker_encoder(path), TaskContext.get().partitionId() << 36
         for batch in batches:
             rows, out = [], {k: [] for k in ("piece", "start", "length", "ids_crc32", "whole", "ids")}
             for row, text in enumerate(batch.column(1)):

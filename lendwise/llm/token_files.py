@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendwise.llm.tokenization import END_ID, VOCABULARY, WordEncoder, tokenizer_path
+from lendwise.llm.tokenization import END_ID, VOCABULARY, tokenizer_path, worker_encoder
 
 MAGIC, BLOCK = b"LWTOKEN1", 1 << 16
 #: Text bytes per shard; above SHARDS shards they grow instead, so the manifest stays bounded.
@@ -166,7 +166,7 @@ def shard_writer(uri: str, tokenizer: str, end_id: int, bits: int, block: int) -
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if writer is None:
-                    encoder = WordEncoder(tokenizer)
+                    encoder = worker_encoder(tokenizer)
                     out = store.open_output_stream(temporary)
                     writer = ShardWriter(out, bits, block)
                 writer.add(doc_id, np.frombuffer(encoder.encode(text.as_py()) + end, "<u4"))

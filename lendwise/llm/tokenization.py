@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
+from types import ModuleType
 
 from lendwise.llm.common import WORD
 
@@ -28,20 +30,26 @@ BYTE_LEVEL = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in
 
 
 class Recent(dict):
-    """A memory of at most ``2 * keep`` entries: the older half is forgotten at once."""
+    """A memory of about ``2 * keep`` entries in two generations: what is not
+    used while ``keep`` others come is forgotten."""
 
     def __init__(self, keep: int):
         super().__init__()
         self.keep, self.old = keep, {}
 
-    def __missing__(self, key):
-        return self.old.get(key)
-
-    def make_room(self, n: int) -> None:
-        if len(self) + n > self.keep:
+    def age(self) -> None:
+        if len(self) > self.keep:
             self.old = dict(self)
             self.clear()
 
+    def unknown(self, keys: set) -> list:
+        """The keys that are in neither generation; the others are made young."""
+        missing, old = [k for k in keys if k not in self], self.old
+        if old:
+            self.update((k, old[k]) for k in missing if k in old)
+            missing = [k for k in missing if k not in old]
+        return missing
+
 
 class WordEncoder:
     """Encodes texts with a tokenizer that lower-cases, drops white space and
@@ -51,7 +59,7 @@ class WordEncoder:
     against whole-text encoding in the tests). Only bounded memories of recent
     words are kept, however many there are."""
 
-    def __init__(self, path: str, keep: int = 250_000, longest: int = 64):
+    def __init__(self, path: str, keep: int = 400_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -68,34 +76,39 @@ class WordEncoder:
             return letters.lower(), mark
         return word, ""
 
-    def _ids(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of parts, from memory or else from the tokenizer."""
-        found = {p: self.parts[p] for p in parts}
-        new = [p for p, ids in found.items() if ids is None]
+    def _learn_parts(self, parts: set[str]) -> None:
         other = []
-        for p in new:
+        for p in self.parts.unknown(parts):
             if p.isalpha() and (p.isascii() or max(p) < "\u0100"):  # split() made it: lower case, one piece of letters
                 ids = [x.id for x in self.merge(p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_LEVEL))]
-                found[p] = struct.pack(f"<{len(ids)}I", *ids)
+                self.parts[p] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 other.append(p)
         for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            found[p] = struct.pack(f"<{len(e)}I", *e.ids)
-        new = [p for p in new if len(p) <= self.longest]
-        self.parts.make_room(len(new))
-        self.parts.update((p, found[p]) for p in new)
-        return found
+            self.parts[p] = struct.pack(f"<{len(e)}I", *e.ids)
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids of the whole text."""
-        words = self.words(text or "")
-        out = list(map(self.known.__getitem__, words))
-        if None in out:
-            new = {w: self.split(w) for w, ids in zip(words, out, strict=True) if ids is None}
-            ids = self._ids(list({p for split in new.values() for p in split if p}))
-            made = {w: ids[part] + (ids[mark] if mark else b"") for w, (part, mark) in new.items()}
-            out = [made[w] if ids is None else ids for w, ids in zip(words, out, strict=True)]
-            made = {w: v for w, v in made.items() if len(w) <= self.longest}
-            self.known.make_room(len(made))
-            self.known.update(made)
-        return b"".join(out)
+        words, known, parts = self.words(text or ""), self.known, self.parts
+        known.age()
+        new = known.unknown(set(words))
+        if new:
+            parts.age()
+            split = {w: self.split(w) for w in new}
+            self._learn_parts({p for s in split.values() for p in s if p})
+            known.update((w, parts[p] + parts[mark] if mark else parts[p]) for w, (p, mark) in split.items())
+        ids = b"".join(map(known.__getitem__, words))
+        for w in new:
+            if len(w) > self.longest:  # rare, and large: not kept
+                del known[w]
+                parts.pop(split[w][0], None)
+        return ids
+
+
+def worker_encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker, which runs many tasks: what it has
+    learned serves the next task."""
+    held = sys.modules.setdefault("lendwise_worker_encoders", ModuleType("lendwise_worker_encoders"))
+    if path not in vars(held):
+        setattr(held, path, WordEncoder(path))
+    return getattr(held, path)
