@@ -27,11 +27,12 @@ def spread(df: DataFrame) -> DataFrame:
 
     A fact table stored as one file with one row group scans as a single
     task, and everything narrow after it (joins to broadcast dimensions,
-    projections) would run on one core. If the scan has fewer partitions than
+    projections) would run on one core. Off unless ``spark.lendwise.spreadScans``
+    is true. If the scan has fewer partitions than
     the cluster's default parallelism, round-robin it once; on a large table
     (many files and row groups) the check is false and nothing changes."""
     spark = df.sparkSession
-    if spark.conf.get("spark.lendwise.spreadScans", "true").lower() != "true":
+    if spark.conf.get("spark.lendwise.spreadScans", "false").lower() != "true":
         return df
     try:
         target = spark.sparkContext.defaultParallelism

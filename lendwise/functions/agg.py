@@ -27,6 +27,11 @@ def money_avg(c: ColumnOrName) -> Column:
     return F.try_divide(money_sum(x), F.count(x).cast("double"))
 
 
+def rate_avg(c: ColumnOrName) -> Column:
+    """Mean of rates: a plain average, no rounding of the values."""
+    return F.avg(_c(c))
+
+
 def round6(c: Column) -> Column:
     return F.round(c, 6)
 

@@ -70,6 +70,15 @@ def parse_date(c: ColumnOrName, fmt: str = ISSUE_DATE_FORMAT) -> Column:
     return F.try_to_date(_c(c), fmt)
 
 
+def as_date(column: str, df) -> Column:
+    """A date column of ``df``: text is parsed in the declared form (E1), or
+    as an ISO date; dates and timestamps are cast."""
+    c = F.col(column)
+    if dict(df.dtypes)[column] != "string":
+        return c.cast("date")
+    return F.coalesce(parse_date(c), F.try_to_date(c, "yyyy-MM-dd"))
+
+
 def year_bucket(date: ColumnOrName, years: int = 1) -> Column:
     """``year // n * n``."""
     return (F.floor(F.year(_c(date)) / years) * years).cast("int")

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from lendwise.functions import features as fx
 from lendwise.operators import ordered
-from lendwise.operators.joins import join_small
+from lendwise.operators.joins import join_fitted
 from lendwise.operators.outliers import category_labels
 
 LOOKUP_SCHEMA = T.StructType([
@@ -26,7 +26,6 @@ LOOKUP_SCHEMA = T.StructType([
     T.StructField("original_value", T.StringType()),
     T.StructField("encoded_value", T.StringType()),
 ])
-INLINE_MAP_LIMIT = 10_000
 
 
 def lookup_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
@@ -85,15 +84,10 @@ def fit_frequency_codes(df: DataFrame, column: str) -> DataFrame:
 
 def apply_codes(df: DataFrame, column: str, codes: DataFrame, out: str,
                 cast: str | None = None) -> DataFrame:
-    """Encode ``column`` with a fitted ``(column, code)`` table: inline map
-    while it has at most ``INLINE_MAP_LIMIT`` rows (one bounded collect), else
-    an equi-join that AQE sizes at runtime."""
-    rows = codes.select(column, "code").limit(INLINE_MAP_LIMIT + 1).collect()
-    if len(rows) <= INLINE_MAP_LIMIT:
-        e = code_map_expr(column, {r[0]: r[1] for r in rows})
-        return df.withColumn(out, e.cast(cast) if cast else e)
+    """Encode ``column`` with a fitted ``(column, code)`` table: a left
+    equi-join, broadcast behind a check of the table's size."""
     c = codes.select(F.col(column), (F.col("code").cast(cast) if cast else F.col("code")).alias(out))
-    return join_small(df, c, [column], "left")
+    return join_fitted(df, c, [column], "left")
 
 
 def label_encode(df: DataFrame, column: str, out: str | None = None,
@@ -107,9 +101,12 @@ def label_encode(df: DataFrame, column: str, out: str | None = None,
 
 def lookup_codes(lookup: DataFrame, feature: str, column: str) -> DataFrame:
     """The ``(column, code)`` table for one feature of a lookup table;
-    a repeated original value keeps its last stored row, like a dict."""
-    lk = lookup.where(F.col("feature") == feature).withColumn("_i", F.monotonically_increasing_id())
-    last = lk.groupBy("original_value").agg(F.max_by("encoded_value", "_i").alias("code"))
+    a repeated original value keeps the row with the highest ``seq`` where the
+    table stores that column, else the greatest code (rows of a stored table
+    have no order of their own)."""
+    lk = lookup.where(F.col("feature") == feature)
+    rank = F.struct("seq", "encoded_value") if "seq" in lookup.columns else F.col("encoded_value")
+    last = lk.groupBy("original_value").agg(F.max_by("encoded_value", rank).alias("code"))
     return last.select(F.col("original_value").alias(column), "code")
 
 

@@ -1,9 +1,8 @@
 """Imputation.
 
 Fitting returns small DataFrames or scalars; applying is a projection plus,
-for per-group values, a join to a table with one row per group (never a
-window over few groups). ``join_small`` leaves the broadcast decision to
-AQE, which measures that table at runtime.
+for per-group values, a join to a fitted table with one row per group (never a
+window over few groups, and no shuffle of the rows by their group).
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.operators.joins import join_small
+from lendwise.operators.joins import join_fitted
 
 
 def _cols(xs) -> list[str]:
@@ -47,9 +46,10 @@ def fill_group_mean(df: DataFrame, value: str, group: Sequence[str] | str,
     ``groupby().transform(fillna(mean))``). Aggregate + join, not a window: a
     window over few groups funnels every row of a group into one task."""
     group = _cols(group)
-    means = group_means(df, value, group, "_gm").where(
-        F.lit(True) if not group else F.coalesce(*[F.col(g).isNotNull() for g in group]))
-    j = join_small(df, means, group, how="left")
+    whole = F.lit(True)  # a group with any null key is no group, as in pandas
+    for g in group:
+        whole = whole & F.col(g).isNotNull()
+    j = join_fitted(df, group_means(df, value, group, "_gm").where(whole), group, how="left")
     return j.withColumn(out or value, F.coalesce(F.col(value), F.col("_gm"))).drop("_gm")
 
 
@@ -84,7 +84,7 @@ def fill_group_mode(df: DataFrame, value: str, group: Sequence[str] | str,
     mode (or a null group) fall back to ``fallback``."""
     group = _cols(group)
     modes = mode_values(df, value, group, "_gmode")
-    j = join_small(df, modes, group, how="left")
+    j = join_fitted(df, modes, group, how="left")
     fill = F.coalesce(F.col("_gmode"), F.lit(fallback)) if fallback is not None else F.col("_gmode")
     return j.withColumn(out or value, F.coalesce(F.col(value), fill)).drop("_gmode")
 
@@ -92,10 +92,3 @@ def fill_group_mode(df: DataFrame, value: str, group: Sequence[str] | str,
 def missing_flag(df: DataFrame, value: str, out: str | None = None) -> DataFrame:
     """Q16."""
     return df.withColumn(out or f"{value}_missing", F.col(value).isNull())
-
-
-def mode_values_multi(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Non-null modes of several string columns in one job: ``(feature, mode)``."""
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]) \
-             .unpivot([], list(columns), "feature", "value")
-    return mode_values(long, "value", ["feature"], "mode")

@@ -1,10 +1,8 @@
 """Joins and set operations.
 
-``join_small`` is the one place that decides to broadcast: only a side whose
-row count is known and under a limit gets a hint; anything else is a normal
-equi-join that AQE converts to a broadcast join after measuring the side at
-runtime, or keeps as sort-merge (with skew splitting). Nothing is broadcast
-on faith.
+``join_fitted`` is the one place that broadcasts: a fitted table (one row per
+group) is collected behind a check of its size and joined without moving the
+rows; a larger one is an equi-join, whose skewed keys AQE splits.
 """
 
 from __future__ import annotations
@@ -14,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 1_000_000
+# A fitted table is collected and broadcast up to these sizes.
+FITTED_ROWS, FITTED_BYTES = 20_000, 8 << 20
 
 
 def _cols(xs) -> list[str]:
@@ -24,31 +23,39 @@ def _cols(xs) -> list[str]:
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left",
-               known_rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS,
                null_safe: bool = True) -> DataFrame:
-    """Equi-join ``big`` to ``small`` on ``on``.
-
-    ``small`` is broadcast explicitly only when its row count is already known
-    (fit steps collect it) and under ``max_rows``. Otherwise no hint is given:
-    counting it here would re-run the scan it was aggregated from, and AQE
-    makes the same check for free at runtime - it measures the materialised
-    small side and switches the sort-merge join to a broadcast join only under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
-    With ``null_safe`` a null key matches a null key (group tables keep a null
-    group)."""
+    """Equi-join ``big`` to ``small`` on ``on``, without a hint. With
+    ``null_safe`` a null key matches a null key (group tables keep a null group)."""
     on = _cols(on)
     if not on:
         raise ValueError("join_small needs at least one key (no cross joins)")
-    right = F.broadcast(small) if known_rows is not None and known_rows <= max_rows else small
     if null_safe:
-        r = right.select(*[F.col(k).alias(f"_r_{k}") for k in on],
+        r = small.select(*[F.col(k).alias(f"_r_{k}") for k in on],
                          *[c for c in small.columns if c not in on])
         cond = None
         for k in on:
             c = big[k].eqNullSafe(r[f"_r_{k}"])
             cond = c if cond is None else cond & c
         return big.join(r, cond, how).drop(*[f"_r_{k}" for k in on])
-    return big.join(right, on, how)
+    return big.join(small, on, how)
+
+
+def join_fitted(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
+                max_rows: int = FITTED_ROWS, max_bytes: int = FITTED_BYTES) -> DataFrame:
+    """Join rows to a table of fitted values, one row per group (null groups
+    match). The table is computed now; up to ``max_rows`` rows and
+    ``max_bytes`` it is broadcast, so ``big`` is not shuffled by its few
+    groups. Without keys it is the one row of a global fit, added as literals."""
+    on = _cols(on)
+    rows = small.limit(max_rows + 1).collect()
+    if not on:
+        if not rows:
+            return big.limit(0).join(small, F.lit(False), "left") if how == "inner" else big
+        one = big.sparkSession.createDataFrame(rows[:1], small.schema)
+        return big.select("*", *[one.select(c).scalar().alias(c) for c in small.columns])
+    if len(rows) > max_rows or sum(len(str(r)) for r in rows) > max_bytes:
+        return join_small(big, small, on, how)
+    return join_small(big, F.broadcast(big.sparkSession.createDataFrame(rows, small.schema)), on, how)
 
 
 def dedupe_dim(dim: DataFrame, key: Sequence[str] | str, order: Sequence[str] | str,
@@ -65,12 +72,11 @@ def dedupe_dim(dim: DataFrame, key: Sequence[str] | str, order: Sequence[str] |
                                                                          for c in others])
 
 
-def map_values(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, out: str,
-               known_rows: int | None = None) -> DataFrame:
+def map_values(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, out: str) -> DataFrame:
     """``df[key].map(dict(dim))`` as a left join; unmatched -> null.
     ``dim`` must be unique on ``dim_key`` (use ``dedupe_dim``)."""
     d = dim.select(F.col(dim_key).alias(key), F.col(value).alias(out))
-    return join_small(df, d, [key], "left", known_rows)
+    return join_fitted(df, d, [key], "left")
 
 
 def assign_aligned(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

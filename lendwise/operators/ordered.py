@@ -6,20 +6,20 @@ the rows that is one task per group over the whole table. The operators here
 split each group across range partitions instead:
 
 1. Cut points for ``n`` contiguous, similar-sized ranges of the sort key
-   ``(group, order)`` come from Spark's range-partition sampling of the key
-   columns alone; each row's bucket is then a deterministic expression. A hot
-   group spans many buckets.
+   ``(group, order)`` come from a bounded sample of the keys (they affect
+   balance only, never results); each row's bucket is then a deterministic
+   expression. A hot group spans many buckets.
 2. A window over ``(bucket, *group)`` does the local work; every task holds at
-   most one range.
-3. A tail table with one row per ``(bucket, group)`` - at most
-   ``n + #groups`` rows - carries counts / last rows across bucket boundaries
-   with a window over ``group`` (each group has at most ``n`` tail rows).
-4. The tail table is joined back on ``(bucket, group)``; the big side is
-   already hash-partitioned on those keys by step 2, so only the small side
-   moves (and AQE turns it into a broadcast when it is small).
+   most a few ranges. Group keys are made null-free first, so that
+3. the tail table - one row per ``(bucket, group)``, at most ``n + #groups``
+   rows, carrying counts / last rows across bucket boundaries - joins back by plain
+   equality on the keys the rows are already partitioned by: full rows are
+   shuffled once, only the tail table moves again.
 
-Keys must be orderable columns (struct comparison); only the key columns go
-through the sampling shuffle.
+Quantiles need no order of the rows at all: a sketch brackets each target
+rank, one pass counts the values below and inside the brackets (map-side, so
+a value held by a third of the rows is one row per task), and only the counted values inside
+the narrow brackets are ranked.
 
 Built on these: global/grouped positions, exact quantiles, lag, dense codes.
 """
@@ -27,18 +27,16 @@ Built on these: global/grouped positions, exact quantiles, lag, dense codes.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 B = "_lw_bucket"
-# Default ceiling on range buckets: the bucket search below is a nested CASE
-# of struct comparisons, which stays within whole-stage codegen up to about
-# this many bounds (beyond it Spark falls back to interpreted code: still
-# correct, much slower). An explicit ``buckets`` argument is not capped.
-MAX_DEFAULT_BUCKETS = 512
+# Keys sampled for cut points, and bounds searched as one nested CASE (more
+# bounds are searched inside the CASE's leaf, so any number of buckets works).
+SAMPLE_KEYS = 100_000
+CASE_BOUNDS = 256
 
 
 def _cols(xs) -> list[str]:
@@ -48,26 +46,33 @@ def _cols(xs) -> list[str]:
 
 
 def _buckets(df: DataFrame, buckets: int | None) -> int:
-    """Number of range buckets: explicit, else sized like the input - the
-    number of input files (planning only; nothing is executed) clamped
-    between the default parallelism and ``spark.sql.shuffle.partitions``.
-    Small inputs get few buckets, large ones as many as the shuffle is
-    configured for."""
+    """Number of range buckets: explicit, else as many as the input has files
+    (planning only; nothing is executed), at least the default parallelism.
+    The default stops where the sample of keys could not tell buckets apart."""
     if buckets:
         return int(buckets)
     spark = df.sparkSession
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     try:
-        floor = spark.sparkContext.defaultParallelism
-        files = len(df.inputFiles())
+        return max(1, min(SAMPLE_KEYS // 10, max(spark.sparkContext.defaultParallelism, len(df.inputFiles()))))
     except Exception:  # noqa: BLE001 - no file listing available: configured count
-        return cap
-    return max(1, min(cap, MAX_DEFAULT_BUCKETS, max(floor, files)))
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _on_keys(keys: Sequence[str]) -> Column:
-    """Null-safe equality of ``l.k`` and ``t.k`` for every key."""
-    return reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys])
+NULL_FREE = {"string": "", "boolean": False}
+
+
+def null_free(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with two null-free columns per group key (its value or a default,
+    and whether it is null): keys for windows and plain equi-joins."""
+    types, added = dict(df.dtypes), {}
+    for i, g in enumerate(group):
+        default = F.lit(NULL_FREE.get(types[g], 0)) if types[g] != "date" else F.lit("1970-01-01")
+        if types[g].startswith(("timestamp", "struct", "array", "binary")):
+            added[f"_lw_g{i}"] = F.coalesce(F.to_json(F.struct(g)), F.lit(""))
+        else:
+            added[f"_lw_g{i}"] = F.coalesce(F.col(g), default.cast(types[g]))
+        added[f"_lw_n{i}"] = F.col(g).isNull()
+    return df.withColumns(added) if added else df, list(added)
 
 
 def _order_exprs(order: Sequence[str | Column]) -> list[Column]:
@@ -77,38 +82,51 @@ def _order_exprs(order: Sequence[str | Column]) -> list[Column]:
 def bucket_bounds(df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> list:
     """Lower key bound of each range bucket after the first.
 
-    Only the key columns are range-partitioned (Spark samples them to pick
-    the cut points); the per-bucket minimum keys - ``n`` small rows - are the
-    bounds. Collected once, they make the bucket of a row a deterministic
-    expression, so every branch that uses the buckets agrees and the full
-    rows are shuffled only once, by the window that follows."""
+    From a sample of about ``SAMPLE_KEYS`` keys, collected and sorted: a
+    bounded number of values whatever the input. Collected once, the bounds
+    make the bucket of a row a deterministic expression, so every branch that
+    uses the buckets agrees and rows are shuffled only by the window that follows."""
     n = _buckets(df, buckets)
-    key = F.struct(*[F.col(k) for k in keys])
-    mins = (df.select(*keys).repartitionByRange(n, *[F.col(k) for k in keys])
-            .select(F.spark_partition_id().alias(B), key.alias("_k"))
-            .groupBy(B).agg(F.min("_k").alias("_k")).orderBy(B).collect())
+    if n == 1:
+        return []
+    rows = df.select(*keys)
+    total = rows.count()
+    if total > SAMPLE_KEYS:
+        rows = rows.sample(False, SAMPLE_KEYS / total, 17)
+    sampled = [tuple(r) for r in rows.limit(2 * SAMPLE_KEYS).collect()]
+    sampled.sort(key=lambda t: [(v is not None, v if v is not None else 0) for v in t])
     bounds = []
-    for r in mins[1:]:
-        b = tuple(r["_k"])
-        if not bounds or b != bounds[-1]:
+    for i in range(1, n):
+        b = sampled[i * len(sampled) // n] if sampled else None
+        if b is not None and (not bounds or b != bounds[-1]):
             bounds.append(b)
     return bounds
 
 
 def bucket_expr(df: DataFrame, keys: Sequence[str], bounds: Sequence[tuple]) -> Column:
-    """Bucket number of a row: how many bounds its key is >= (binary search
-    as nested CASE, so ~log2(n) struct comparisons per row)."""
+    """Bucket number of a row: how many bounds its key is >=. A binary search
+    as nested CASE over every ``step``-th bound (about log2 struct comparisons per row,
+    small enough for whole-stage codegen), then a count within the step."""
     types = {f.name: f.dataType for f in df.schema.fields}
     key = F.struct(*[F.col(k).alias(k) for k in keys])
     lits = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, b)]) for b in bounds]
+    step = -(-len(lits) // CASE_BOUNDS) if lits else 1
+    coarse = lits[::step]
+
+    def leaf(i: int) -> Column:
+        """``i`` coarse bounds are at or below the key."""
+        inner = lits[(i - 1) * step + 1:i * step] if i else []
+        if not inner:
+            return F.lit((i - 1) * step + 1 if i else 0)
+        return F.lit((i - 1) * step + 1) + F.size(F.filter(F.array(*inner), lambda b: b <= key))
 
     def build(lo: int, hi: int) -> Column:
         if lo == hi:
-            return F.lit(lo)
+            return leaf(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(key >= lits[mid - 1], build(mid, hi)).otherwise(build(lo, mid - 1))
+        return F.when(key >= coarse[mid - 1], build(mid, hi)).otherwise(build(lo, mid - 1))
 
-    return build(0, len(lits))
+    return build(0, len(coarse))
 
 
 def range_buckets(df: DataFrame, group: Sequence[str], order: Sequence[str],
@@ -129,22 +147,21 @@ def positions(df: DataFrame, order: Sequence[str], group: Sequence[str] | str |
     first), plus the group size. ``order`` must make the order total if the
     caller needs deterministic positions for tied rows."""
     group, order = _cols(group), _cols(order)
-    r = range_buckets(df, group, order, buckets)
+    r, keys = null_free(range_buckets(df, group, order, buckets), group)
+    keys = [B, *keys]
     local = r.withColumn(
-        "_lp", F.row_number().over(Window.partitionBy(B, *group).orderBy(*_order_exprs(order))) - 1)
+        "_lp", F.row_number().over(Window.partitionBy(*keys).orderBy(*_order_exprs(order))) - 1)
     # Counts per (bucket, group) from the windowed rows: already partitioned
     # by those keys, so no new exchange and the input is read only once.
-    tails = local.groupBy(B, *group).agg((F.max("_lp") + 1).alias("_cnt"))
-    g_w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    tails = local.groupBy(*keys).agg((F.max("_lp") + 1).alias("_cnt"))
+    g_w = Window.partitionBy(*keys[1:]) if group else Window.partitionBy(F.lit(0))
     tails = tails.select(
-        B, *group,
+        *keys,
         F.coalesce(F.sum("_cnt").over(g_w.orderBy(B).rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"),
         F.sum("_cnt").over(g_w).alias(count_col),
     )
-    j = local.alias("l").join(tails.alias("t"), _on_keys([B, *group]))
-    keep = [F.col(f"l.{c}") for c in df.columns]
-    return j.select(*keep, (F.col("l._lp") + F.col("t._off")).alias(pos_col), F.col(f"t.{count_col}"))
+    return local.join(tails, keys).select(*df.columns, (F.col("_lp") + F.col("_off")).alias(pos_col), count_col)
 
 
 def ordered_lag(df: DataFrame, group: Sequence[str] | str, order: Sequence[str],
@@ -153,49 +170,69 @@ def ordered_lag(df: DataFrame, group: Sequence[str] | str, order: Sequence[str],
     """``lag(v).over(partitionBy(group).orderBy(order))`` for each ``v`` in
     ``values`` (source column -> output name), without one task per group."""
     group, order = _cols(group), _cols(order)
-    r = range_buckets(df, group, order, buckets, sample_from)
-    w = Window.partitionBy(B, *group).orderBy(*_order_exprs(order))
+    r, keys = null_free(range_buckets(df, group, order, buckets, sample_from), group)
+    keys = [B, *keys]
+    w = Window.partitionBy(*keys).orderBy(*_order_exprs(order))
     local = r.select("*", *[F.lag(src).over(w).alias(f"_lag_{i}") for i, src in enumerate(values)],
                      (F.row_number().over(w) == 1).alias("_first"),
                      F.lead(F.lit(1)).over(w).isNull().alias("_is_last"))
     # Last row of every (bucket, group) - taken from the windowed rows, so the
     # input is read once - then the previous bucket's last row per group.
     tails = local.where(F.col("_is_last")).select(
-        B, *group, F.struct(*[F.col(s).alias(f"_v{i}") for i, s in enumerate(values)]).alias("_last"))
-    g_w = (Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))).orderBy(B)
-    tails = tails.select(B, *group, F.lag("_last").over(g_w).alias("_carry"))
-    j = local.alias("l").join(tails.alias("t"), _on_keys([B, *group]), "left")
-    outs = []
-    for i, name in enumerate(values.values()):
-        outs.append(F.when(F.col("l._first"), F.col(f"t._carry._v{i}"))
-                    .otherwise(F.col(f"l._lag_{i}")).alias(name))
-    return j.select(*[F.col(f"l.{c}") for c in df.columns], *outs)
+        *keys, F.struct(*[F.col(s).alias(f"_v{i}") for i, s in enumerate(values)]).alias("_last"))
+    g_w = (Window.partitionBy(*keys[1:]) if group else Window.partitionBy(F.lit(0))).orderBy(B)
+    tails = tails.select(*keys, F.lag("_last").over(g_w).alias("_carry"))
+    outs = [F.when(F.col("_first"), F.col(f"_carry._v{i}")).otherwise(F.col(f"_lag_{i}")).alias(name)
+            for i, name in enumerate(values.values())]
+    return local.join(tails, keys, "left").select(*df.columns, *outs)
+
+
+# Accuracy of the bracketing sketch: a group of n rows has at most about
+# 8 n / ACCURACY values inside a bracket (all of them while n <= ACCURACY).
+ACCURACY = 10_000
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     group: Sequence[str] | str | None = None,
-                    buckets: int | None = None) -> DataFrame:
+                    accuracy: int = ACCURACY) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas ``quantile`` default,
-    SQL ``percentile_cont``), nulls ignored. Distributed: only the (at most 2
-    per quantile and group) rows at the target positions are aggregated.
+    SQL ``percentile_cont``); nulls and NaN are ignored.
+
+    Two passes, no sort of the rows: (1) per group the count and a mergeable
+    sketch whose rank error (1/accuracy) gives a value bracket around every
+    target rank; (2) per group and bracket, the count of values below it and of each
+    value inside, both combined map-side. Only those counted values are ranked, by a
+    window over (group, prob) of at most about 8 n / accuracy rows.
 
     Returns ``(*group, prob, value)``."""
-    group = _cols(group)
-    d = df.select(*group, F.col(value).alias("_x")).where(F.col("_x").isNotNull())
-    p = positions(d, ["_x"], group, buckets=buckets)
-    ps = F.array(*[F.lit(float(q)) for q in probs])
-    k = lambda q: q * (F.col("_n") - 1)
-    hit = F.exists(ps, lambda q: (F.col("_pos") == F.floor(k(q))) | (F.col("_pos") == F.ceil(k(q))))
-    cand = p.where(hit).select(*group, "_x", "_pos", "_n", F.explode(ps).alias("prob"))
-    kk = F.col("prob") * (F.col("_n") - 1)
-    lo_pos, hi_pos = F.floor(kk), F.ceil(kk)
-    agg = cand.where((F.col("_pos") == lo_pos) | (F.col("_pos") == hi_pos)).groupBy(*group, "prob").agg(
-        F.max(F.when(F.col("_pos") == lo_pos, F.col("_x"))).alias("_lo"),
-        F.max(F.when(F.col("_pos") == hi_pos, F.col("_x"))).alias("_hi"),
-        F.first(kk - lo_pos).alias("_frac"),
-    )
-    return agg.select(*group, "prob",
-                      (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("value"))
+    from lendwise.operators.joins import join_fitted
+
+    group, ps = _cols(group), [float(q) for q in probs]
+    x = F.col(value).cast("double")
+    d = df.select(*group, F.when(~F.isnan(x), x).alias("_x")).where(F.col("_x").isNotNull())
+    margin = 3.0 / accuracy
+    at = [min(1.0, max(0.0, q + m)) for q in ps for m in (-margin, margin)]
+    sketch = F.percentile_approx("_x", F.array(*[F.lit(q) for q in at]), accuracy)
+    fit = d.groupBy(*group).agg(F.count("_x").alias("_n"), F.min("_x").alias("_least"), F.max("_x").alias("_most"), sketch.alias("_s"))
+    small = F.col("_n") <= accuracy
+    low = [F.when(small | F.lit(q - margin <= 0), F.col("_least")).otherwise(F.col("_s")[2 * i]) for i, q in enumerate(ps)]
+    high = [F.when(small | F.lit(q + margin >= 1), F.col("_most")).otherwise(F.col("_s")[2 * i + 1]) for i, q in enumerate(ps)]
+    brackets = F.array(*[F.struct(F.lit(q).alias("prob"), lo.alias("lo"), hi.alias("hi"))
+                         for q, lo, hi in zip(ps, low, high, strict=True)])
+    fit = fit.select(*group, "_n", brackets.alias("_b"))
+    j = join_fitted(d, fit, group)
+    inside = F.filter("_b", lambda b: F.col("_x") <= b["hi"])
+    seen = j.select(*group, "_n", "_x", F.explode(inside).alias("_b"))
+    seen = seen.select(*group, "_n", F.col("_b.prob").alias("prob"), F.when(F.col("_x") >= F.col("_b.lo"), F.col("_x")).alias("_v"))
+    counted = seen.groupBy(*group, "_n", "prob", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*group, "_n", "prob").orderBy(F.col("_v").asc_nulls_first())
+    k = F.col("prob") * (F.col("_n") - 1)
+    end = F.sum("_c").over(w)
+    ranked = counted.select(*group, "_n", "prob", "_v", (end - F.col("_c")).alias("_a"), end.alias("_e"))
+    holds = lambda pos: (F.col("_a") <= pos) & (pos < F.col("_e"))
+    agg = ranked.groupBy(*group, "_n", "prob").agg(
+        F.max(F.when(holds(F.floor(k)), F.col("_v"))).alias("_lo"), F.max(F.when(holds(F.ceil(k)), F.col("_v"))).alias("_hi"))
+    return agg.select(*group, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (k - F.floor(k))).alias("value"))
 
 
 def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float],
@@ -232,7 +269,7 @@ def dense_codes(values: DataFrame, value: str, order: Sequence[str | Column] | N
                 code_col: str = "code") -> DataFrame:
     """Code 0..k-1 for each distinct ``value`` in ``order`` (default: the value
     ascending). Distributed global ranking - the distinct set may be large."""
-    d = values.select(value).where(F.col(value).isNotNull()).distinct()
+    d = values.select(value).where(F.col(value).isNotNull()).distinct().persist()  # read thrice: count, sample, rank
     p = positions(d, [value])
     return p.select(value, F.col("_pos").cast("int").alias(code_col))
 
@@ -241,6 +278,6 @@ def frequency_codes(df: DataFrame, value: str, code_col: str = "code") -> DataFr
     """Most frequent value -> 0, ties by value ascending (StringIndexer's
     ``frequencyDesc``). Counts are a partial/final aggregate; the ranking of
     the (value, count) table is distributed like ``positions``."""
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_freq")).where(F.col(value).isNotNull())
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_freq")).where(F.col(value).isNotNull()).persist()
     ranked = positions(counts.withColumn("_neg", -F.col("_freq")), ["_neg", value])
     return ranked.select(value, F.col("_freq").alias("frequency"), F.col("_pos").cast("int").alias(code_col))

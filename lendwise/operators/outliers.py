@@ -36,7 +36,9 @@ def fit_quantiles_multi(df: DataFrame, columns: Sequence[str], probs: Sequence[f
 
 
 def iqr_fences(q1: float, q3: float, k: float = 1.5) -> tuple[float, float]:
-    """(Q1 - k*IQR, Q3 + k*IQR)."""
+    """(Q1 - k*IQR, Q3 + k*IQR); no values, no fences (nothing is capped)."""
+    if q1 is None or q3 is None:
+        return None, None
     iqr = q3 - q1
     return q1 - k * iqr, q3 + k * iqr
 

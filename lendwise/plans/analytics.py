@@ -12,9 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from lendwise.functions import features as fx
-from lendwise.functions.agg import money_avg, money_sum
+from lendwise.functions.agg import money_avg, money_sum, rate_avg
 from lendwise.operators import ordered, profile
 from lendwise.operators.impute import fill_constant, mode_values
 from lendwise.operators.joins import rows_equal_group_max, top_n
@@ -22,12 +23,19 @@ from lendwise.operators.outliers import category_labels, fit_quantiles, qcut_exp
 
 MAX_PIVOT_VALUES = 1000
 
+
+def dated(loans: DataFrame) -> DataFrame:
+    """The one date rule at the entry of every dated query: ``issue_date`` as a
+    date, parsed from its declared text form (``dd MMMM yyyy``) if it is text."""
+    return loans.withColumn("issue_date", fx.as_date("issue_date", loans))
+
+
 # --- M1-style EDA queries (pandas semantics: null group keys dropped) --------
 
 
 def income_by_state_year(loans: DataFrame) -> DataFrame:
     """A1."""
-    return (loans.where(F.col("addr_state").isNotNull() & F.col("issue_date").isNotNull())
+    return (dated(loans).where(F.col("addr_state").isNotNull() & F.col("issue_date").isNotNull())
             .groupBy("addr_state", F.year("issue_date").alias("year"))
             .agg(money_avg("annual_inc").alias("avg_annual_inc")))
 
@@ -40,7 +48,7 @@ def top_income_state_per_year(loans: DataFrame) -> DataFrame:
 
 def income_by_year_bucket(loans: DataFrame, years: int = 1) -> DataFrame:
     """A3."""
-    return (loans.where(F.col("issue_date").isNotNull())
+    return (dated(loans).where(F.col("issue_date").isNotNull())
             .groupBy(fx.year_bucket("issue_date", years).alias("year_bucket"))
             .agg(money_avg("annual_inc").alias("avg_annual_inc")))
 
@@ -100,7 +108,7 @@ def notebook_prepare(loans: DataFrame, modes: dict | None = None) -> DataFrame:
     return df.withColumns({
         "emp_length": fx.emp_length_exact("emp_length"),
         "grade_encoded": fx.grade_letter("grade"),
-        "issue_date1": F.col("issue_date").cast("date"),
+        "issue_date1": fx.as_date("issue_date", loans),
     })
 
 
@@ -112,7 +120,7 @@ def income_range_edges(df: DataFrame, approx: bool = False) -> tuple[float, floa
 def income_range_expr(q1: float, q3: float):
     """Low / Mid / High around the quartiles; null income -> null."""
     x = F.col("annual_inc")
-    return (F.when(x <= q1, "Low").when((x > q1) & (x <= q3), "Mid").when(x > q3, "High"))
+    return F.when(x > q3, "High").when(x > q1, "Mid").when(x.isNotNull(), "Low")
 
 
 def default_by_income(prepared: DataFrame, approx: bool = False) -> DataFrame:
@@ -122,7 +130,7 @@ def default_by_income(prepared: DataFrame, approx: bool = False) -> DataFrame:
             .where(F.col("loan_status") == "Default")
             .groupBy("emp_length", "income_range")
             .agg(money_avg("loan_amount").alias("avg_loan_amount"),
-                 money_avg("int_rate").alias("avg_interest_rate")))
+                 rate_avg("int_rate").alias("avg_interest_rate")))
 
 
 def avg_gap_by_grade(loans: DataFrame) -> DataFrame:
@@ -181,9 +189,9 @@ def amount_change_by_grade_state(with_prev: DataFrame) -> DataFrame:
 
 
 def category_share(df: DataFrame, column: str, out: str = "percentage") -> DataFrame:
-    """Share of each category in percent; the total is a scalar subquery
-    (one small job, inlined), not a window over the whole table."""
-    total = df.select(F.count(F.lit(1))).scalar()
+    """Share of each category in percent. The total is the sum over the
+    counted categories (a window over that small table): the input is read once."""
+    total = F.sum("_n").over(Window.partitionBy(F.lit(0)))
     return (df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
             .select(column, (F.col("_n") / total.cast("double") * 100).alias(out)))
 
@@ -207,6 +215,7 @@ def scatter_feed(loans: DataFrame, state: str | None = None) -> DataFrame:
 def loans_per_month(loans: DataFrame, year: int | None = None) -> DataFrame:
     """Loans per month of ``year``; default is the first year (a scalar
     subquery, so no driver round trip)."""
+    loans = dated(loans)
     y = F.lit(year) if year is not None else loans.select(F.min(F.year("issue_date"))).scalar()
     return (loans.where(F.year("issue_date") == y)
             .groupBy(F.month("issue_date").alias("month"))
@@ -215,7 +224,7 @@ def loans_per_month(loans: DataFrame, year: int | None = None) -> DataFrame:
 
 def year_options(loans: DataFrame) -> DataFrame:
     """A16's year choices."""
-    return loans.select(F.year("issue_date").alias("year")).where(F.col("year").isNotNull()).distinct()
+    return dated(loans).select(F.year("issue_date").alias("year")).where(F.col("year").isNotNull()).distinct()
 
 
 def top_states_by_amount(loans: DataFrame, n: int = 5) -> DataFrame:

@@ -13,7 +13,7 @@ from lendwise.plans import sql as sqlf
 from lendwise.plans.oracle import grade_case, with_loans
 from lendwise.plans.pipeline import LoanPrep
 from lendwise.plans.reports import run_etl
-from lendwise.plans.registry import A8_SQL, A9_SQL, A10_SQL, A11_SQL, A12_SQL, prepared, register
+from lendwise.plans.registry import A8_SQL, A9_SQL, A10_SQL, A11_SQL, A12_SQL, prepared, register, rounded
 from lendwise.sources import files
 from lendwise.sources.html import list_links
 from lendwise.streaming import stream
@@ -207,7 +207,7 @@ def _t4(spark, sf):
 def _s9a8(spark, sf):
     p = prepared(spark, sf)
     q1, q3 = an.income_range_edges(p)
-    return sqlf.run(spark, sqlf.A8, sqlf.register_view(p), q1=q1, q3=q3, status="Default")
+    return rounded(sqlf.run(spark, sqlf.A8, sqlf.register_view(p), q1=q1, q3=q3, status="Default"), 9, "avg_interest_rate")
 
 
 @register("s9_a9_sql", A9_SQL)

@@ -11,9 +11,11 @@ from lendwise.operators import encode as enc
 from lendwise.operators import impute as imp
 from lendwise.operators import outliers as out
 from lendwise.operators import profile as prof
+from lendwise.operators import joins
 from lendwise.operators.joins import dedupe_dim, map_values
+from lendwise.plans import analytics as an
 from lendwise.plans.oracle import emp_length_case, grade_case, with_loans
-from lendwise.plans.registry import box_sql, register
+from lendwise.plans.registry import REGISTRY, box_sql, register, rounded
 
 # ------------------------------------------------------- P: projection/filter
 
@@ -170,7 +172,7 @@ def _q1(spark, sf):
     "SELECT loan_status, count(*) FILTER (WHERE int_rate IS NULL) AS missing_values, "
     "round(avg(int_rate), 6) AS mean_value FROM loans WHERE loan_status IS NOT NULL GROUP BY 1"))
 def _q2(spark, sf):
-    return prof.null_count_by_group(loans(spark, sf), "int_rate", "loan_status")
+    return rounded(prof.null_count_by_group(loans(spark, sf), "int_rate", "loan_status"), 6, "mean_value")
 
 
 @register("q3_numeric_summary", with_loans(_union(
@@ -179,7 +181,7 @@ def _q2(spark, sf):
   round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
   round(quantile_cont({c}, 0.75), 6) AS q75 FROM loans""" for c in NUM_COLS)))
 def _q3(spark, sf):
-    return prof.numeric_summary(loans(spark, sf), NUM_COLS)
+    return rounded(prof.numeric_summary(loans(spark, sf), NUM_COLS), 6, "mean", "std", "q25", "q50", "q75")
 
 
 DUP_COLS = ["addr_state", "grade", "loan_status", "home_ownership", "term"]
@@ -241,7 +243,7 @@ def _q9(spark, sf):
   round(quantile_cont(annual_inc, 0.75) - quantile_cont(annual_inc, 0.25), 6) AS spread,
   min(annual_inc) AS min, max(annual_inc) AS max FROM loans"""))
 def _q10(spark, sf):
-    return prof.spread_report(loans(spark, sf), "annual_inc")
+    return rounded(prof.spread_report(loans(spark, sf), "annual_inc"), 6, "q_low", "q_high", "spread")
 
 
 Z_COLS = ["loan_amount", "funded_amount", "int_rate"]
@@ -252,34 +254,34 @@ Z_COLS = ["loan_amount", "funded_amount", "int_rate"]
   round(max(abs(({c} - m) / s)), 6) AS max_abs_z
 FROM loans, (SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM loans) WHERE {c} IS NOT NULL""" for c in Z_COLS)))
 def _q11(spark, sf):
-    return prof.zscore_outliers(loans(spark, sf), Z_COLS)
+    return rounded(prof.zscore_outliers(loans(spark, sf), Z_COLS), 6, "max_abs_z")
 
 
 @register("q12_histogram_amount", with_loans(
-    """SELECT CAST(least(floor((loan_amount - mn) / (mx - mn) * 10) + 1, 10) AS INTEGER) AS bin,
-  round(any_value(mn) + (CAST(least(floor((loan_amount - mn) / (mx - mn) * 10) + 1, 10) AS INTEGER) - 1)
-    * (any_value(mx) - any_value(mn)) / 10, 6) AS bin_start,
-  count(*) AS count
-FROM loans, (SELECT min(loan_amount) AS mn, max(loan_amount) AS mx FROM loans)
-WHERE loan_amount IS NOT NULL GROUP BY 1"""))
+    """SELECT CAST(b AS INTEGER) AS bin, round(mn + (b - 1) * (mx - mn) / 10, 6) AS bin_start,
+  count(loan_amount) AS count
+FROM (SELECT min(loan_amount) AS mn, max(loan_amount) AS mx FROM loans) CROSS JOIN (SELECT unnest(range(1, 11)) AS b)
+LEFT JOIN loans ON least(floor((loan_amount - mn) / (mx - mn) * 10) + 1, 10) = b
+GROUP BY b, mn, mx"""))
 def _q12(spark, sf):
-    return prof.histogram(loans(spark, sf), "loan_amount", 10)
+    return rounded(prof.histogram(loans(spark, sf), "loan_amount", 10), 6, "bin_start")
 
 
 @register("q13_kde_income", with_loans(
     """SELECT gi AS point, round(any_value(mn + gi * (mx - mn) / 63), 6) AS x,
   round(sum(w * exp(-0.5 * ((mn + gi * (mx - mn) / 63 - c) / h) * ((mn + gi * (mx - mn) / 63 - c) / h)))
     / (any_value(n) * any_value(h) * sqrt(2 * pi())), 12) AS density
-FROM (SELECT fb, count(*) AS w FROM (SELECT CAST(least(floor((annual_inc - mn) / (mx - mn) * 512) + 1, 512)
+FROM (SELECT fb, count(*) AS w FROM (SELECT CAST(least(floor((annual_inc - mn) / (mx - mn) * bins) + 1, bins)
         AS INTEGER) AS fb FROM loans, st WHERE annual_inc IS NOT NULL) GROUP BY fb) f,
-     (SELECT mn, mx, n, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st) p,
+     (SELECT mn, mx, n, bins, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM st) p,
      (SELECT range AS gi FROM range(64)) g,
-     LATERAL (SELECT mn + (fb - 0.5) * (mx - mn) / 512 AS c)
+     LATERAL (SELECT mn + (fb - 0.5) * (mx - mn) / bins AS c)
 GROUP BY gi""",
     "st AS (SELECT min(annual_inc) AS mn, max(annual_inc) AS mx, stddev_samp(annual_inc) AS sd, "
-    "count(annual_inc) AS n FROM loans)"))
+    "count(annual_inc) AS n, ceil(16 * (max(annual_inc) - min(annual_inc)) / (stddev_samp(annual_inc) "
+    "* pow(CAST(count(annual_inc) AS DOUBLE), -0.2))) AS bins FROM loans)"))
 def _q13(spark, sf):
-    return prof.kde(loans(spark, sf), "annual_inc", 64, 512)
+    return rounded(rounded(prof.kde(loans(spark, sf), "annual_inc", 64), 6, "x"), 12, "density")
 
 
 @register("q14_box_stats_amount", with_loans(
@@ -287,7 +289,7 @@ def _q13(spark, sf):
     f"""gl AS (SELECT loan_amount FROM loans)""",
     box_sql("gl", "", "loan_amount")))
 def _q14(spark, sf):
-    return prof.box_stats(loans(spark, sf), "loan_amount")
+    return rounded(prof.box_stats(loans(spark, sf), "loan_amount"), 6, "q1", "median", "q3", "mean")
 
 
 @register("q16_missing_flag", with_loans("SELECT loan_id, emp_title IS NULL AS emp_title_missing FROM loans"))
@@ -606,4 +608,46 @@ def _j1(spark, sf):
         .select("loan_id", "addr_state", "region_name")
 
 
+
+
+# ------------------------------------------------- keys over declared text dates, pairs, unions
+
+
+def text_dated(spark, sf):
+    """The loans with ``issue_date`` in its declared text form (dd MMMM yyyy)."""
+    return loans(spark, sf).withColumn("issue_date", F.date_format("issue_date", "dd MMMM yyyy"))
+
+
+@register("a1_text_dates", REGISTRY["a1_income_by_state_year"][1])
+def _a1_text(spark, sf):
+    return an.income_by_state_year(text_dated(spark, sf))
+
+
+@register("a11_text_dates", REGISTRY["a11_day_gap_by_grade"][1])
+def _a11_text(spark, sf):
+    return an.day_gap_by_grade(an.previous_by_grade(an.notebook_prepare(text_dated(spark, sf))))
+
+
+@register("q5_distinct_pairs", with_loans("SELECT home_ownership, loan_status, count(*) AS count FROM loans GROUP BY 1, 2"))
+def _q5_pairs(spark, sf):
+    return prof.distinct_pairs(loans(spark, sf), ["home_ownership", "loan_status"])
+
+
+@register("u1_union_rows", with_loans(
+    "SELECT loan_id, grade, 'low' AS part FROM loans WHERE grade <= 17 "
+    "UNION ALL SELECT loan_id, grade, 'high' AS part FROM loans WHERE grade > 17"))
+def _u1(spark, sf):
+    df = loans(spark, sf).select("loan_id", "grade")
+    return joins.union_all([df.where("grade <= 17").withColumn("part", F.lit("low")),
+                            df.where("grade > 17").withColumn("part", F.lit("high"))])
+
+
+@register("j3_aligned_column", with_loans(
+    "SELECT loan_id, CASE WHEN annual_inc > 0 THEN round(ln(annual_inc), 9) END AS annual_log FROM loans"))
+def _j3(spark, sf):
+    df = loans(spark, sf)
+    logs = df.select("loan_id", F.round(fx.safe_ln("annual_inc"), 9).alias("annual_log"))
+    return joins.assign_aligned(df.select("loan_id"), logs, "loan_id", ["annual_log"])
+
+
 from lendwise.plans import registry_io  # noqa: E402,F401

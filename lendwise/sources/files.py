@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendwise.schema import LOAN_SCHEMA, normalise_name, normalise_names
+from lendwise.schema import LOAN_SCHEMA, nan_to_null, normalise_name, normalise_names
 from lendwise.session import checkpoint_dir
 
 
@@ -42,6 +42,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = LOAN_SCHEMA,
     no inference pass is made; names normalised (P1)."""
     header = spark.read.option("header", True).csv(path).columns  # reads the first line only
     df = spark.read.options(header=True, **KEEP_SPACES).schema(raw_schema(schema, header)).csv(path)
+    df = nan_to_null(df)
     return normalise_names(df) if normalise else df
 
 
@@ -51,8 +52,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """S2."""
-    return spark.read.parquet(path)
+    """S2; NaN becomes null, the only missing marker."""
+    return nan_to_null(spark.read.parquet(path))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
@@ -73,9 +74,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def cached_or_compute(spark: SparkSession, path: str, compute, fmt: str = "parquet") -> DataFrame:
-    """Reuse stored output if it exists, else compute, write and read it
+    """Reuse stored output if it is complete (its ``_SUCCESS`` mark exists), else compute, write and read it
     back (the written table also cuts the lineage)."""
-    if not path_exists(spark, path):
+    if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         compute().write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
 

@@ -41,10 +41,13 @@ def message_schema(raw_names: dict[str, str] | None = None,
 
 def read_messages(spark: SparkSession, path: str | None = None, kafka_servers: str | None = None,
                   topic: str | None = None, starting_offsets: str = "earliest",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """A streaming DataFrame with one ``value`` string per message."""
+                  max_files_per_trigger: int | None = None,
+                  max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """A streaming DataFrame with one ``value`` string per message; the
+    limits bound one micro-batch."""
     if kafka_servers:
-        return (spark.readStream.format("kafka")
+        limit = {"maxOffsetsPerTrigger": max_offsets_per_trigger} if max_offsets_per_trigger else {}
+        return (spark.readStream.format("kafka").options(**limit)
                 .option("kafka.bootstrap.servers", kafka_servers)
                 .option("subscribe", topic)
                 .option("startingOffsets", starting_offsets)
@@ -56,10 +59,12 @@ def read_messages(spark: SparkSession, path: str | None = None, kafka_servers: s
 
 
 def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """JSON value -> typed columns + ``_eof`` flag for the sentinel message."""
+    """JSON value -> typed columns + ``_eof`` flag for the sentinel message. A
+    message that is no JSON object of the schema stops the query with an error
+    (nothing is stored as a row of nulls)."""
     v = F.trim(F.col("value"))
     eof = v == F.lit(f'"{SENTINEL}"')
-    rec = F.from_json(F.when(~eof, v), schema)
+    rec = F.from_json(F.when(~eof, v), schema, {"mode": "FAILFAST"})
     return messages.where(v != "").select(rec.alias("r"), eof.alias(EOF_COL)).select("r.*", EOF_COL)
 
 

@@ -7,7 +7,7 @@ from lendwise.operators import encode as enc
 from lendwise.operators import impute as imp
 from lendwise.operators import outliers as out
 from lendwise.operators import profile as prof
-from lendwise.operators.joins import assign_aligned, dedupe_dim, join_small, map_values
+from lendwise.operators.joins import assign_aligned, dedupe_dim, join_fitted, map_values
 
 
 def test_mode_ignores_null_and_breaks_ties_low(spark):
@@ -94,5 +94,5 @@ def test_joins_keep_row_count(spark):
     assert sorted((r["id"], r["name"]) for r in m.collect()) == [(1, "X2"), (2, "Y"), (3, None)]
     with pytest.raises(ValueError):
         assign_aligned(big, dim, "k", ["name"])
-    j = join_small(big, d.select("k", "name"), ["k"], known_rows=2)
+    j = join_fitted(big, d.select("k", "name"), ["k"], "left")
     assert j.count() == 3

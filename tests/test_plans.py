@@ -32,7 +32,7 @@ def test_lag_never_partitions_by_grade_alone(spark, sf):
     plan = _plan(df)
     # The row-level window is keyed by (bucket, grade); a grade-only exchange
     # may appear only over the tail table (at most buckets + groups rows).
-    assert re.search(r"hashpartitioning\(_lw_bucket#\d+, grade#\d+L?, \d+\)", plan)
+    assert re.search(r"hashpartitioning\(_lw_bucket#\d+, _lw_g0#\d+L?, _lw_n0#\d+, \d+\)", plan)
 
 
 def test_transform_adds_no_shuffle(spark, sf):
