@@ -140,5 +140,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         *columns, F.col("whole").bitwiseOR(F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     out = packed.unionByName(whole)
     if keep_ids:
-        out = out.join(pieces.select("id", "piece", "ids_crc32", "length", "ids").distinct(), ["id", "piece", "ids_crc32", "length"])
+        own = pieces.select(F.col("id").alias("of"), "piece", "ids_crc32", "length", "ids").distinct()
+        same = out["id"].eqNullSafe(own["of"])
+        for c in ("piece", "ids_crc32", "length"):
+            same = same & (out[c] == own[c])
+        out = out.join(own, same).select(*[out[c] for c in out.columns], "ids")
     return out.withColumnRenamed("id", id_col)
