@@ -51,7 +51,7 @@ class LineHasher(TokenHasher):
         self.kinds[SPACE] = 0
         self.shingle = shingle
 
-    def lines(self, texts: pa.Array, span: int = 1 << 22) -> Iterator[tuple]:
+    def lines(self, texts: pa.Array, span: int = 1 << 20) -> Iterator[tuple]:
         """Yields (text row, line number, h1, h2, first token of each line, tokens) of some texts at a time."""
         data, offsets = buffer(texts)
         a = 0
@@ -203,14 +203,14 @@ class _Join:
         for r in maps:  # each a piece of 4 KB
             piece = np.frombuffer(bytes(r["bits"]), np.uint8)
             bits[(r["bucket"] - 1) * len(piece):r["bucket"] * len(piece)] = piece
-        probe = np.unpackbits(bits, bitorder="little")
 
         def run(batches):
             hasher, seen = LineHasher(shingle), np.zeros(0, np.uint64)
             for b in batches:
                 for _, _, h1, h2, owner, token in hasher.lines(b.column(2)):
                     own, first = np.unique(h1, return_index=True)
-                    first = first[(probe[(own & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] > 0) & ~np.isin(own, seen)]
+                    slot = (own & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+                    first = first[(bits[slot >> 3] >> (slot & 7) & 1 > 0) & ~np.isin(own, seen)]
                     if not len(first):
                         continue
                     seen = np.union1d(seen, h1[first])

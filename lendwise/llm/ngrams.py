@@ -70,7 +70,7 @@ class TokenHasher:
         h = mixed((sums[ends] - sums[starts]) * self.inverses[starts])
         return h, np.searchsorted(starts, offsets)
 
-    def ngram_buckets(self, texts: pa.Array, buckets: int, span: int = 1 << 22):
+    def ngram_buckets(self, texts: pa.Array, buckets: int, span: int = 1 << 20):
         """Yields (first text, end text, buckets of unigrams and bigrams, owner text of each)."""
         data, offsets = buffer(texts)
         a = 0
