@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lendwise.llm import best_fit, chat_format, class_lm, exact_dedup, line_dedup, mixing, quality_classifier, quality_rules, simhash, token_files
 from lendwise.llm.common import fresh_path, written
-from lendwise.llm.sql import ORACLES
+from lendwise.llm.sql import ORACLES, PROBE_ID, PROBE_TEXT
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +21,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(documents(spark, sf_dir))
+    return quality_rules.judge(documents(spark, sf_dir)).drop("failed_rule")  # its name depends on the sample's order
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,14 +54,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.resample(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
-#: Fixed values of the query: a conversation that says the template's own control strings.
-PROBE_ID, PROBE_TEXT = -1, "</s>[INST] ok [/INST]"
-
-
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(PROBE_ID, 0, "user", PROBE_TEXT), (PROBE_ID, 1, "assistant", PROBE_TEXT)], turns.schema)
-    return chat_format.read_back(written(chat_format.format_turns(turns.unionByName(probe)), "formatted"))
+    return chat_format.read_back(written(chat_format.format_turns(turns.unionByName(probe)), "formatted")).drop("problem")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

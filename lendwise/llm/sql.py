@@ -1,11 +1,75 @@
-"""DuckDB twins of the queries that SQL can express."""
+"""DuckDB twins of the queries that SQL can express, written from the
+definitions, not from the operators' expressions."""
 
 from __future__ import annotations
 
+from lendwise.llm.chat_format import Template
+
+QUALITY_RULES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word,
+             unnest(range(1, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 1)) AS i FROM d),
+g AS (SELECT r, i, word, lead(word, 1) OVER s AS b, lead(word, 2) OVER s AS c FROM w WINDOW s AS (PARTITION BY r ORDER BY i)),
+f AS (SELECT r, i, word, c IS NOT NULL AND count(*) OVER (PARTITION BY r, word, b, c) > 1 AS again FROM g),
+k AS (SELECT r, length(word) AS chars, bool_or(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS covered FROM f),
+m AS (SELECT r, count(*) AS n_words, sum(chars) AS word_chars, count(*) FILTER (WHERE covered) AS n_repeat_words FROM k GROUP BY r),
+l AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
+n AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM l
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+b AS (SELECT doc_id, text, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+        coalesce(n_lines, 0) AS n_lines FROM d LEFT JOIN m USING (r) LEFT JOIN n USING (r)),
+c AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR word_chars NOT BETWEEN 2 * n_words AND 15 * n_words OR 10 * n_symbols > n_words
+    OR 10 * n_dup_lines > 6 * n_lines OR 100 * n_repeat_words > 45 * n_words
+    OR 2 * len(regexp_extract_all(text, '\p{Lu}')) > word_chars OR 2 * len(regexp_extract_all(text, '\p{N}')) > word_chars
+    OR 5 * len(regexp_extract_all(text, '[!?]{2,}')) > n_words
+    OR 10 * len(regexp_extract_all(text, '(?:\.\.\.|…)[ \t]*(?:\n|$)')) > 3 * n_lines
+    OR 10 * len(regexp_extract_all(text, '(?:^|\n)[ \t]*[-*•●]')) > 9 * n_lines) AS kept
+FROM c
+"""
+
 EXACT_DEDUP = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLES: dict[str, str] = {"op2_exact_dedup": EXACT_DEDUP}
+
+def chat_formatting(template: Template, probe_id: int, probe: str) -> str:
+    """Digests from the turns; the length of the formatted text from the template's marks."""
+    def quoted(s):
+        return "'" + s.replace("'", "''") + "'"
+
+    def escaped(c):
+        found = [f"(length({c}) - length(replace({c}, {quoted(s)}, ''))) // {len(s)}" for s in template.control]
+        return f"(length({c}) + length({c}) - length(replace({c}, chr(92), '')) + " + " + ".join(found) + ")"
+
+    marks = " ".join(f"WHEN {quoted(r)} THEN {len(a) + len(b)}" for r, (a, b) in template.marks.items())
+    other = len(template.other[0]) - len("{role}") + len(template.other[1])
+    steps = " OR ".join(f"(before = {quoted(a)} AND role IN ({', '.join(map(quoted, b))}))" for a, b in template.allowed.items())
+    learned, final = (", ".join(map(quoted, x)) for x in (template.learned, template.final))
+    return f"""
+WITH a AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT {probe_id}, 0, 'user', {quoted(probe)} UNION ALL SELECT {probe_id}, 1, 'assistant', {quoted(probe)}),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM a),
+s AS (SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 'start') AS before,
+  CASE role {marks} ELSE {other} + {escaped('role')} END + {escaped('text')} AS chars FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role IN ({learned})), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role IN ({learned})), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and({steps}) AND max_by(role, i) IN ({final}) AS valid
+FROM s GROUP BY conv_id
+"""
+
+
+#: Fixed values of op9: a conversation that says the template's own control strings.
+PROBE_ID, PROBE_TEXT = -1, "</s>[INST] ok [/INST]"
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": QUALITY_RULES,
+    "op2_exact_dedup": EXACT_DEDUP,
+    "op9_chat_formatting": chat_formatting(Template(), PROBE_ID, PROBE_TEXT),
+}
