@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -81,13 +81,11 @@ def clean_stream(spark: SparkSession, model: LoanPrepModel, messages: DataFrame,
     flag = _StopFlag()
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            seen_eof = batch.where(F.col(EOF_COL)).limit(1).count() > 0
-            (batch.where(~F.col(EOF_COL)).drop(EOF_COL)
-             .write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}"))
-        finally:
-            batch.unpersist()
+        seen = Observation()  # the sentinel is noticed by the write itself
+        (batch.observe(seen, F.max(F.col(EOF_COL).cast("int")).alias("eof"))
+         .where(~F.col(EOF_COL)).drop(EOF_COL)
+         .write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}"))
+        seen_eof = bool(seen.get["eof"])
         # Only after this batch's rows are written: the driver then stops the
         # query once the trigger is idle (offsets committed).
         if seen_eof:
