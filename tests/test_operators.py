@@ -76,7 +76,7 @@ def test_profile_reports(spark):
     assert mp == {"k": 0.0, "c": 25.0, "v": 25.0}
     assert [r["k"] for r in prof.duplicate_rows(df, "k").collect()] == [2]
     h = {r["bin"]: r["count"] for r in prof.histogram(df, "v", 3).collect()}
-    assert h == {1: 2, 3: 1}                  # x = max lands in the last bin
+    assert h == {1: 2, 2: 0, 3: 1}                  # x = max lands in the last bin
     nc = {r["column"]: r["null_count"] for r in prof.null_counts(df, ["c", "v"]).collect()}
     assert nc == {"c": 1, "v": 1}
     bs = prof.box_stats(df, "v").collect()[0]

@@ -44,7 +44,7 @@ def test_positions_are_dense_per_group(spark):
 def test_exact_quantiles_match_pandas(spark):
     df = _data(spark)
     probs = [0.0, 0.05, 1 / 3, 0.5, 0.95, 1.0]
-    got = ordered.exact_quantiles(df, "v", probs, group=["g"], buckets=6).toPandas()
+    got = ordered.exact_quantiles(df, "v", probs, group=["g"], accuracy=60).toPandas()
     pdf = df.toPandas()
     for g, part in pdf.groupby("g", dropna=False):
         for p in probs:
