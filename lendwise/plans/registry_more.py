@@ -14,6 +14,7 @@ from lendwise.operators import profile as prof
 from lendwise.operators import joins
 from lendwise.operators.joins import dedupe_dim, map_values
 from lendwise.plans import analytics as an
+from lendwise.plans import reports
 from lendwise.plans.oracle import emp_length_case, grade_case, with_loans
 from lendwise.plans.registry import REGISTRY, box_sql, register, rounded
 
@@ -650,4 +651,37 @@ def _j3(spark, sf):
     return joins.assign_aligned(df.select("loan_id"), logs, "loan_id", ["annual_log"])
 
 
+# ------------------------------------------------- C5, C6: reports as one long table of counts
+
+
+def long_counts(frames, names):
+    """(report, key, n) rows of count reports."""
+    parts = []
+    for name, (key, n) in names.items():
+        parts.append(frames[name].select(F.lit(name).alias("report"), F.col(key).cast("string").alias("key"),
+                                         F.col(n).cast("long").alias("n")))
+    return joins.union_all(parts)
+
+
+@register("c5_dashboard_tables", with_loans(
+    """SELECT 'loans_per_month' AS report, CAST(month(issue_date) AS VARCHAR) AS key, count(*) AS n FROM loans
+WHERE year(issue_date) = (SELECT min(year(issue_date)) FROM loans) GROUP BY 2
+UNION ALL SELECT DISTINCT 'year_options', CAST(year(issue_date) AS VARCHAR), CAST(year(issue_date) AS BIGINT) FROM loans
+WHERE issue_date IS NOT NULL"""))
+def _c5(spark, sf):
+    frames = reports.dashboard_tables(loans(spark, sf))
+    return long_counts(frames, {"loans_per_month": ("month", "loan_count"), "year_options": ("year", "year")})
+
+
+@register("c6_eda_report", with_loans(
+    """SELECT 'value_counts_emp_length' AS report, emp_length AS key, count(*) AS n FROM loans GROUP BY 2
+UNION ALL SELECT 'loans_by_state', addr_state, count(*) FROM loans WHERE addr_state IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'rate_nulls_by_status', loan_status, count(*) FILTER (WHERE int_rate IS NULL) FROM loans
+WHERE loan_status IS NOT NULL GROUP BY 2"""))
+def _c6(spark, sf):
+    frames = reports.eda_report(loans(spark, sf))
+    return long_counts(frames, {"value_counts_emp_length": ("emp_length", "count"), "loans_by_state": ("addr_state", "loan_count"),
+                                "rate_nulls_by_status": ("loan_status", "missing_values")})
+
+
 from lendwise.plans import registry_io  # noqa: E402,F401

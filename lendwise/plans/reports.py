@@ -9,11 +9,13 @@ forces a recompute from the raw input.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lendwise.operators import profile as prof
+from lendwise.operators.impute import missing_flag
 from lendwise.operators.outliers import qcut
 from lendwise.plans import analytics as an
 from lendwise.plans.pipeline import ETL_CONFIG, LoanPrep, LoanPrepConfig, LoanPrepModel
@@ -43,7 +45,7 @@ class EtlPaths:
 
     @property
     def loaded(self) -> str:
-        return f"{self.base}/fintech_clean"
+        return f"{self.base}/loans_clean"
 
 
 def extract_clean(spark: SparkSession, raw: DataFrame, paths: EtlPaths,
@@ -64,7 +66,7 @@ def transform(spark: SparkSession, paths: EtlPaths) -> None:
 
 
 def load(spark: SparkSession, paths: EtlPaths, jdbc_url: str | None = None,
-         table: str = "fintech_clean", properties: dict | None = None) -> None:
+         table: str = "loans_clean", properties: dict | None = None) -> None:
     """Stage 3: replace the serving table (JDBC when a URL is given, else a
     Parquet table next to the stages)."""
     df = spark.read.parquet(paths.transformed)
@@ -83,17 +85,36 @@ def run_etl(spark: SparkSession, raw: DataFrame, base: str | None = None,
     return paths
 
 
+class Frames(Mapping):
+    """Named DataFrames, each built when asked for (some start jobs for their
+    parameters), and once."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 def dashboard_tables(transformed: DataFrame, state: str | None = None,
-                     year: int | None = None) -> dict[str, DataFrame]:
+                     year: int | None = None) -> "Frames":
     """The data behind the five dashboard charts."""
-    return {
-        "grade_share": an.category_share(transformed, "grade_category_encoded"),
-        "amount_box_by_grade": prof.box_stats(transformed, "loan_amount", ["grade_category_encoded"]),
-        "scatter": an.scatter_feed(transformed, state),
-        "loans_per_month": an.loans_per_month(transformed, year),
-        "year_options": an.year_options(transformed),
-        "top5_states": an.top_states_by_amount(transformed, 5),
-    }
+    return Frames({
+        "grade_share": lambda: an.category_share(transformed, "grade_category_encoded"),
+        "amount_box_by_grade": lambda: prof.box_stats(transformed, "loan_amount", ["grade_category_encoded"]),
+        "scatter": lambda: an.scatter_feed(transformed, state),
+        "loans_per_month": lambda: an.loans_per_month(transformed, year),
+        "year_options": lambda: an.year_options(transformed),
+        "top5_states": lambda: an.top_states_by_amount(transformed, 5),
+    })
 
 
 NUMERIC = ["loan_amount", "funded_amount", "annual_inc", "annual_inc_joint", "int_rate",
@@ -101,32 +122,36 @@ NUMERIC = ["loan_amount", "funded_amount", "annual_inc", "annual_inc_joint", "in
 CATEGORIES = ["home_ownership", "verification_status", "loan_status", "grade", "purpose", "type"]
 
 
-def eda_report(loans: DataFrame) -> dict[str, DataFrame]:
+def eda_report(loans: DataFrame) -> "Frames":
     """The exploratory report (Q1-Q16, A1-A7) as named DataFrames."""
-    return {
-        "missing_pct": prof.missing_pct(loans),
-        "rate_nulls_by_status": prof.null_count_by_group(loans, "int_rate", "loan_status"),
-        "joint_nulls_by_type": prof.null_count_by_group(loans, "annual_inc_joint", "type", with_mean=False),
-        "summary": prof.numeric_summary(loans, NUMERIC),
-        "duplicates": prof.duplicate_rows(loans, "loan_id", [c for c in loans.columns
+    return Frames({
+        "missing_pct": lambda: prof.missing_pct(loans),
+        "rate_nulls_by_status": lambda: prof.null_count_by_group(loans, "int_rate", "loan_status"),
+        "joint_nulls_by_type": lambda: prof.null_count_by_group(loans, "annual_inc_joint", "type", with_mean=False),
+        "summary": lambda: prof.numeric_summary(loans, NUMERIC),
+        "duplicates": lambda: prof.duplicate_rows(loans, "loan_id", [c for c in loans.columns
                                                              if c not in ("loan_id", "customer_id")]),
-        "distinct_values": prof.distinct_values(loans, CATEGORIES),
-        "schema": prof.schema_report(loans),
-        "min_max": prof.min_max(loans, NUMERIC),
-        "first_token_match": prof.first_token_match(loans, "description", "purpose"),
-        "spread_income": prof.spread_report(loans, "annual_inc"),
-        "zscore_outliers": prof.zscore_outliers(loans, ["loan_amount", "funded_amount", "int_rate"]),
-        "histogram_income": prof.histogram(loans, "annual_inc", 30),
-        "kde_income": prof.kde(loans, "annual_inc"),
-        "box_amount": prof.box_stats(loans, "loan_amount"),
-        "income_by_state_year": an.income_by_state_year(loans),
-        "top_income_state_per_year": an.top_income_state_per_year(loans),
-        "income_by_year": an.income_by_year_bucket(loans),
-        "status_by_home_income": an.status_by_home_income(loans),
-        "loans_by_state": an.loans_by_state(loans),
-        "income_by_title": an.income_by_title(loans),
-        "income_amount_by_title_home": an.income_amount_by_title_home(loans),
-        "emp_title_missing_by_income": prof.null_count_by_group(
+        "distinct_values": lambda: prof.distinct_values(loans, CATEGORIES),
+        "schema": lambda: prof.schema_report(loans),
+        "value_counts_emp_length": lambda: prof.value_counts(loans, "emp_length"),
+        "null_counts": lambda: prof.null_counts(loans),
+        "emp_title_missing": lambda: missing_flag(loans, "emp_title").select("loan_id", "emp_title_missing"),
+        "distinct_pairs": lambda: prof.distinct_pairs(loans, ["home_ownership", "loan_status"]),
+        "min_max": lambda: prof.min_max(loans, NUMERIC),
+        "first_token_match": lambda: prof.first_token_match(loans, "description", "purpose"),
+        "spread_income": lambda: prof.spread_report(loans, "annual_inc"),
+        "zscore_outliers": lambda: prof.zscore_outliers(loans, ["loan_amount", "funded_amount", "int_rate"]),
+        "histogram_income": lambda: prof.histogram(loans, "annual_inc", 30),
+        "kde_income": lambda: prof.kde(loans, "annual_inc"),
+        "box_amount": lambda: prof.box_stats(loans, "loan_amount"),
+        "income_by_state_year": lambda: an.income_by_state_year(loans),
+        "top_income_state_per_year": lambda: an.top_income_state_per_year(loans),
+        "income_by_year": lambda: an.income_by_year_bucket(loans),
+        "status_by_home_income": lambda: an.status_by_home_income(loans),
+        "loans_by_state": lambda: an.loans_by_state(loans),
+        "income_by_title": lambda: an.income_by_title(loans),
+        "income_amount_by_title_home": lambda: an.income_amount_by_title_home(loans),
+        "emp_title_missing_by_income": lambda: prof.null_count_by_group(
             qcut(loans, "annual_inc", 3, ["q1", "q2", "q3"], "income_category"),
             "emp_title", "income_category", with_mean=False),
-    }
+    })

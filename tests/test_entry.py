@@ -8,9 +8,13 @@ import pytest
 import __spark_entry__ as entry
 from lendwise.fixtures import TABLES
 
-FAST = ["a1_income_by_state_year", "a8_default_by_income", "a9_avg_gap_by_grade", "a11_day_gap_by_grade",
-        "a12_amount_change_by_grade_state", "a14_amount_box_by_grade", "q3_numeric_summary",
-        "b6_iqr_cap", "i6_group_mode_fill", "n5_frequency_purpose", "s9_a11_sql", "s10_html_links"]
+FAST = ["a1_income_by_state_year", "a1_text_dates", "a4_status_by_home_income", "a8_default_by_income", "a9_avg_gap_by_grade",
+        "a11_day_gap_by_grade", "a11_text_dates", "a12_amount_change_by_grade_state", "a13_grade_share", "a14_amount_box_by_grade",
+        "a18_income_quantiles", "a19_approx_quantile_bound", "b1_income_terciles", "b5_iqr_fences", "b6_iqr_cap", "b7_percentile_cap",
+        "c5_dashboard_tables", "c6_eda_report", "i2_group_mean_fill", "i6_group_mode_fill", "j3_aligned_column", "n4_label_state",
+        "n5_frequency_purpose", "n6_encode_from_lookup", "q2_rate_nulls_by_status", "q3_numeric_summary", "q5_distinct_pairs",
+        "q10_spread_income", "q11_zscore_outliers", "q12_histogram_amount", "q13_kde_income", "q14_box_stats_amount", "s9_a8_sql",
+        "s9_a11_sql", "s10_html_links", "u1_union_rows", "w1_prev_loan_by_grade", "w2_prev_loan_by_state_grade"]
 
 
 def test_entry_runs(spark):
