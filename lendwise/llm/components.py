@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import written
+from lendwise.llm.common import looked_up, written
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One star step: large links each node's greater neighbours to its least
-    neighbour or itself, small does so with its lesser neighbours and itself."""
+    neighbour or itself, small does so with its lesser neighbours and itself.
+    A hub of very many edges finds its least neighbour without a shuffle."""
     both = edges.union(edges.select("b", "a")) if large else edges
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+    least = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
+    found = looked_up(both, least, ["a"], "n")
     if large:
-        out = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        out = found.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        out = both.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        out = found.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
     return out.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
 
 
