@@ -49,9 +49,7 @@ def join_fitted(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how:
     on = _cols(on)
     rows = small.limit(max_rows + 1).collect()
     if not on:
-        if not rows:
-            return big.limit(0).join(small, F.lit(False), "left") if how == "inner" else big
-        one = big.sparkSession.createDataFrame(rows[:1], small.schema)
+        one = big.sparkSession.createDataFrame(rows, small.schema)  # a global fit: exactly one row
         return big.select("*", *[one.select(c).scalar().alias(c) for c in small.columns])
     if len(rows) > max_rows or sum(len(str(r)) for r in rows) > max_bytes:
         return join_small(big, small, on, how)
