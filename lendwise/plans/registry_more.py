@@ -15,6 +15,7 @@ from lendwise.operators import joins
 from lendwise.operators.joins import dedupe_dim, map_values
 from lendwise.plans import analytics as an
 from lendwise.plans import reports
+from lendwise.plans.pipeline import TYPE_CANON
 from lendwise.plans.oracle import emp_length_case, grade_case, with_loans
 from lendwise.plans.registry import REGISTRY, box_sql, register, rounded
 
@@ -684,4 +685,31 @@ def _c6(spark, sf):
                                 "rate_nulls_by_status": ("loan_status", "missing_values")})
 
 
+# ---------------------------------------------------------------- C3: the notebook as a job
+
+FREQUENCY = "(SELECT {c}, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS {c}_code FROM loans WHERE {c} IS NOT NULL GROUP BY {c})"
+
+
+@register("c3_notebook_job", with_loans(
+    "SELECT loan_id, CAST(state_code AS DOUBLE) AS state_encoded, CAST(purpose_code AS DOUBLE) AS purpose_encoded, "
+    + ", ".join(f"coalesce(CAST(verification_status = '{v}' AS INTEGER), 0) AS \"verification_status_{v}\"" for v in VERIF)
+    + ", lag(loan_id) OVER (PARTITION BY grade ORDER BY CAST(issue_date AS DATE) NULLS FIRST, loan_id) IS NOT NULL AS has_previous "
+    + f"FROM loans LEFT JOIN {FREQUENCY.format(c='state')} USING (state) LEFT JOIN {FREQUENCY.format(c='purpose')} USING (purpose)"))
+def _c3(spark, sf):
+    cleaned, _lookup = reports.notebook_job(spark, text_dated(spark, sf))
+    return cleaned.select("loan_id", "state_encoded", "purpose_encoded", *[f"verification_status_{v}" for v in VERIF],
+                          F.col("prev_loan_amount").isNotNull().alias("has_previous"))
+
+
+@register("c3_notebook_lookup", with_loans(
+    " UNION ALL ".join(f"SELECT DISTINCT '{c}' AS feature, {c} AS original_value, '{c}_' || {c} AS encoded_value FROM loans "
+                       f"WHERE {c} IS NOT NULL" for c in reports.ONE_HOT if c != "type")
+    + " UNION ALL SELECT DISTINCT 'type', t, 'type_' || t FROM (SELECT CASE type "
+    + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in TYPE_CANON.items()) + " ELSE type END AS t FROM loans) WHERE t IS NOT NULL"
+    + " UNION ALL " + " UNION ALL ".join(
+        f"SELECT '{c}', {c}, CAST({c}_code AS VARCHAR) || '.0' FROM {FREQUENCY.format(c=c)}" for c in reports.BY_FREQUENCY)))
+def _c3_lookup(spark, sf):
+    return reports.notebook_job(spark, text_dated(spark, sf))[1]
+
+
 from lendwise.plans import registry_io  # noqa: E402,F401

@@ -1,4 +1,4 @@
-"""Composite jobs: the ETL stages (C4), dashboard tables (C5), EDA report.
+"""Composite jobs: the notebook (C3), the ETL stages (C4), dashboard tables (C5), EDA report.
 
 The ETL job is one Spark application with callable stages. Stage outputs
 are Parquet tables in a shared folder (under ``spark.checkpoint.dir`` unless
@@ -13,12 +13,15 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lendwise.operators import encode as enc
 from lendwise.operators import profile as prof
 from lendwise.operators.impute import missing_flag
+from lendwise.operators.joins import union_all
 from lendwise.operators.outliers import qcut
 from lendwise.plans import analytics as an
-from lendwise.plans.pipeline import ETL_CONFIG, LoanPrep, LoanPrepConfig, LoanPrepModel
+from lendwise.plans.pipeline import ETL_CONFIG, TYPE_CANON, LoanPrep, LoanPrepConfig, LoanPrepModel
 from lendwise.sources import files
 from lendwise.sources.params import ParamStore
 
@@ -85,6 +88,30 @@ def run_etl(spark: SparkSession, raw: DataFrame, base: str | None = None,
     return paths
 
 
+ONE_HOT = ("home_ownership", "verification_status", "type")
+BY_FREQUENCY = ("state", "purpose")
+
+
+def notebook_job(spark: SparkSession, loans: DataFrame, base: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """C3 as a job: the notebook's cleaning, three one-hots, two frequency
+    indexes and previous-loan columns; the cleaned table and the lookup table are
+    written under ``base`` and returned as read back."""
+    base = base or files.scratch_path(spark, "notebook")
+    loans = loans.replace(TYPE_CANON, subset=["type"])  # spellings that differ in case only would clash as column names
+    df, rows, tables = an.with_previous_loans(an.notebook_prepare(loans)), [], []
+    for column in ONE_HOT:
+        df, logged = enc.onehot(df, column, drop_first_lookup=False)
+        rows += logged
+    for column in BY_FREQUENCY:
+        codes = enc.fit_frequency_codes(loans, column)
+        df = enc.apply_codes(df, column, codes, f"{column}_encoded", cast="double")
+        tables.append(codes.select(F.lit(column).alias("feature"), F.col(column).alias("original_value"),
+                                   F.col("code").cast("double").cast("string").alias("encoded_value")))
+    files.write_parquet(df, f"{base}/cleaned")
+    files.write_parquet(union_all([enc.lookup_rows(spark, rows), *tables]).coalesce(1), f"{base}/lookup")
+    return files.read_parquet(spark, f"{base}/cleaned"), files.read_parquet(spark, f"{base}/lookup")
+
+
 class Frames(Mapping):
     """Named DataFrames, each built when asked for (some start jobs for their
     parameters), and once."""
