@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
@@ -16,6 +17,16 @@ WORD = f"[^{WHITE_SPACE}]+"
 BROADCAST_BYTES = 8 << 20
 
 
+#: Under this name a Python worker holds what token encoders have learned.
+HELD = "lendwise_worker_encoders"
+
+
+def forget_held() -> None:
+    """Called by tasks that need the worker's memory for themselves: workers
+    outlive stages, so an earlier stage's word memory would add to theirs."""
+    sys.modules.pop(HELD, None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Set here only where it is
     unset and the master is local, as in tests; on a cluster an unset folder is

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import looked_up, new_names, written
+from lendwise.llm.common import forget_held, looked_up, new_names, written
 from lendwise.llm.ngrams import SPACE, TokenHasher, buffer, mixed
 
 SHINGLE, SIMILAR = 5, Fraction(4, 5)
@@ -130,6 +130,7 @@ class _Join:
         shingle = self.shingle
 
         def run(batches):
+            forget_held()
             hasher, cells = LineHasher(shingle), np.zeros(1 << CELL_BITS, np.int64)
             for b in batches:
                 ids, texts = b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -153,6 +154,7 @@ class _Join:
         similar, shingle = self.similar, self.shingle
 
         def prefixes(batches):
+            forget_held()
             hasher, seen = LineHasher(shingle), np.zeros(0, np.uint64)
             for b in batches:
                 ids = b.column(0).to_numpy()
@@ -205,6 +207,7 @@ class _Join:
             bits[(r["bucket"] - 1) * len(piece):r["bucket"] * len(piece)] = piece
 
         def run(batches):
+            forget_held()
             hasher, seen = LineHasher(shingle), np.zeros(0, np.uint64)
             for b in batches:
                 for _, _, h1, h2, owner, token in hasher.lines(b.column(2)):

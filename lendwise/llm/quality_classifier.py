@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import new_names, written
+from lendwise.llm.common import forget_held, new_names, written
 from lendwise.llm.ngrams import TokenHasher
 
 BUCKETS, SCALE, SEED, MAX_LABELS, PSEUDO = 10_000, 200.0, 8, 20_000, 0.5
@@ -45,6 +45,7 @@ def labelled(labels: DataFrame, id_col: str, quality_col: str, toxic_col: str |
 def bucket_counts(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(target, raw) n-gram counts per bucket of rows (good, text); collects one row per bucket."""
     def count(batches):
+        forget_held()
         hasher, counts = TokenHasher(), np.zeros((2, buckets), np.int64)
         for b in batches:
             good = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import WORD, looked_up, new_names, written
+from lendwise.llm.common import WORD, forget_held, looked_up, new_names, written
 from lendwise.llm.components import component_roots
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -68,6 +68,7 @@ def prints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_held()
         for b in batches:
             fp = [fingerprint(t.as_py(), shingle) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp, pa.int64())], ["id", "text_hash", "fp"])

@@ -8,7 +8,7 @@ import struct
 import sys
 from types import ModuleType
 
-from lendwise.llm.common import WORD
+from lendwise.llm.common import HELD, WORD
 
 #: Vocabulary size of the production tokenizer and the id that ends a document.
 VOCABULARY, END_ID = 49_408, 1
@@ -59,7 +59,7 @@ class WordEncoder:
     against whole-text encoding in the tests). Only bounded memories of recent
     words are kept, however many there are."""
 
-    def __init__(self, path: str, keep: int = 400_000, longest: int = 64):
+    def __init__(self, path: str, keep: int = 300_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -108,7 +108,7 @@ class WordEncoder:
 def worker_encoder(path: str) -> WordEncoder:
     """The encoder of this Python worker, which runs many tasks: what it has
     learned serves the next task."""
-    held = sys.modules.setdefault("lendwise_worker_encoders", ModuleType("lendwise_worker_encoders"))
+    held = sys.modules.setdefault(HELD, ModuleType(HELD))
     if path not in vars(held):
         setattr(held, path, WordEncoder(path))
     return getattr(held, path)
