@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import WORD, written
+from lendwise.llm.common import WORD, released, written
 
 FOLDS, HELD = 7, 2
 FREQUENT, CLASSES, ROUNDS, UNSEEN, SMOOTH = 50_000, 64, 6, 0.5, 10.0
@@ -97,7 +97,7 @@ def staged(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int, b
             yield from block_words()
 
     columns = ["block", "number", "word", "n", "id", "held_out", "numbers"]
-    return written(rows.mapInArrow(run, f"block long, number int, word string, n long, id {kind}, held_out boolean, numbers binary"), "staged")
+    return written(rows.mapInArrow(released(run), f"block long, number int, word string, n long, id {kind}, held_out boolean, numbers binary"), "staged")
 
 
 def symbol(c: np.ndarray) -> np.ndarray:
@@ -170,7 +170,7 @@ def bigrams(documents: DataFrame) -> DataFrame:
         if waiting:
             yield counted()
 
-    rows = documents.filter("not held_out").select("symbols").mapInArrow(run, "pair long, n long")
+    rows = documents.filter("not held_out").select("symbols").mapInArrow(released(run), "pair long, n long")
     return written(rows.groupBy("pair").agg(F.sum("n").alias("n")), "bigrams")
 
 
@@ -203,7 +203,7 @@ def class_counts(pairs: DataFrame, classes: np.ndarray, top: int, frequent: int)
             word = own // (2 * top * top) - 1
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(own - (word + 1) * (2 * top * top)), pa.array(total)], ["word", "k", "n"])
 
-    found = written(pairs.mapInArrow(run, "word long, k long, n long").groupBy("word", "k").agg(F.sum("n").alias("n")), "contexts")
+    found = written(pairs.mapInArrow(released(run), "word long, k long, n long").groupBy("word", "k").agg(F.sum("n").alias("n")), "contexts")
     matrix = np.zeros(top * top)
     for r in found.filter("word = -1").collect():  # at most top * top numbers
         matrix[r["k"]] = r["n"]
@@ -293,7 +293,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
     schema = f"id {dict(documents.dtypes)['id']}, held_out boolean, n_tokens long, n_known long, log_c double, log_c1 double, log_class double"
     n, v = totals["tokens"], totals["distinct"]
-    scores = documents.mapInArrow(run, schema)
+    scores = documents.mapInArrow(released(run), schema)
     total = F.col("log_class") + F.col("log_c")
     return scores.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                          (F.col("log_c1") - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"),

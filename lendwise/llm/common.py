@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,21 @@ def forget_held() -> None:
     sys.modules.pop(HELD, None)
 
 
+def released(run):
+    """``run`` (batches to batches), after which the task's freed memory goes
+    back to the system: workers outlive stages, and what their allocators
+    keep would add to the next stage's."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+    return task
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Set here only where it is
     unset and the master is local, as in tests; on a cluster an unset folder is

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import forget_held, looked_up, new_names, written
+from lendwise.llm.common import forget_held, looked_up, new_names, released, written
 from lendwise.llm.ngrams import SPACE, TokenHasher, buffer, mixed
 
 SHINGLE, SIMILAR = 5, Fraction(4, 5)
@@ -142,7 +142,7 @@ class _Join:
             none = pa.nulls(len(used), pa.int64())
             yield batch({"cell": used.astype(np.int32), "h1": cells[used], "h2": none, "id": none, "text_hash": none, "line": none})
 
-        rows = written(self.docs.mapInArrow(run, "cell int, h1 long, h2 long, id long, text_hash long, line long"), "lines")
+        rows = written(self.docs.mapInArrow(released(run), "cell int, h1 long, h2 long, id long, text_hash long, line long"), "lines")
         cells = np.zeros(1 << CELL_BITS, np.int64)
         for r in rows.filter("cell is not null").groupBy("cell").agg(F.sum("h1").alias("n")).collect():
             cells[r["cell"]] = r["n"]
@@ -190,9 +190,9 @@ class _Join:
                 near = passes(size, pos, lsize, lpos, similar)
                 yield batch({"token": token[other], "h1": h1[other], "size": size[other], "pos": pos[other], "lead": lh[other], "near": near[other]})
 
-        rows = self.docs.mapInArrow(prefixes, "token long, id long, h1 long, at long")
+        rows = self.docs.mapInArrow(released(prefixes), "token long, id long, h1 long, at long")
         rows = rows.repartition("token").sortWithinPartitions("token", "id", "h1")
-        return written(rows.mapInArrow(runs, "token long, h1 long, size long, pos long, lead long, near boolean"), "postings")
+        return written(rows.mapInArrow(released(runs), "token long, h1 long, size long, pos long, lead long, near boolean"), "postings")
 
     def sets(self, wanted: DataFrame, classes: DataFrame) -> DataFrame:
         """Written sets (h1, h2, size, tokens, b0..b3, first) of the lines whose h1 is
@@ -230,7 +230,7 @@ class _Join:
                                  "tokens": pa.ListArray.from_arrays(pa.array(ends), pa.array(token.view(np.int64)))}
                                 | {f"b{k}": np.ascontiguousarray(maps[:, k]) for k in range(4)})
 
-        rows = self.docs.mapInArrow(run, "h1 long, h2 long, size long, tokens array<bigint>, b0 long, b1 long, b2 long, b3 long")
+        rows = self.docs.mapInArrow(released(run), "h1 long, h2 long, size long, tokens array<bigint>, b0 long, b1 long, b2 long, b3 long")
         rows = rows.join(wanted.select("h1").distinct(), "h1", "left_semi").dropDuplicates(["h1", "h2"])
         return written(rows.join(classes.select("h1", "h2", "first"), ["h1", "h2"]), "sets")
 

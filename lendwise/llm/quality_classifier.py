@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import forget_held, new_names, written
+from lendwise.llm.common import forget_held, new_names, released, written
 from lendwise.llm.ngrams import TokenHasher
 
 BUCKETS, SCALE, SEED, MAX_LABELS, PSEUDO = 10_000, 200.0, 8, 20_000, 0.5
@@ -55,7 +55,7 @@ def bucket_counts(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray
         used = np.flatnonzero(counts[1])
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[0, used]), pa.array(counts[1, used])], ["bucket", "target", "raw"])
 
-    found = rows.mapInArrow(count, "bucket long, target long, raw long").groupBy("bucket").agg(
+    found = rows.mapInArrow(released(count), "bucket long, target long, raw long").groupBy("bucket").agg(
         F.sum("target").alias("target"), F.sum("raw").alias("raw")).collect()
     target, raw = np.zeros(buckets), np.zeros(buckets)
     for r in found:
@@ -146,7 +146,7 @@ class Classifier:
 
         rows = docs.select(F.col(id_col).alias("id"), noise(F.col(id_col), F.xxhash64(F.col(text_col)), seed).alias("noise"),
                            F.col(text_col).cast("string").alias("text"))
-        scores = written(rows.mapInArrow(score, f"id {dict(rows.dtypes)['id']}, noise double, log_ratio double"), "scores")
+        scores = written(rows.mapInArrow(released(score), f"id {dict(rows.dtypes)['id']}, noise double, log_ratio double"), "scores")
         weight = F.col("log_ratio") * scale
         self.scores = scores.select("id", "log_ratio", weight.alias("log_weight"), (weight + F.col("noise")).alias("draw"))
         if k is None:
@@ -174,7 +174,7 @@ class Classifier:
 
         names = docs.columns
         rows = docs.withColumn(own, noise(docs[self.id_col], F.xxhash64(docs[self.text_col]), self.seed))
-        return rows.mapInArrow(keep, docs.schema)
+        return rows.mapInArrow(released(keep), docs.schema)
 
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import WORD, forget_held, looked_up, new_names, written
+from lendwise.llm.common import WORD, forget_held, looked_up, new_names, released, written
 from lendwise.llm.components import component_roots
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -73,7 +73,7 @@ def prints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE)
             fp = [fingerprint(t.as_py(), shingle) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp, pa.int64())], ["id", "text_hash", "fp"])
 
-    return written(rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, text_hash long, fp long"), "prints")
+    return written(rows.mapInArrow(released(run), f"id {dict(rows.dtypes)['id']}, text_hash long, fp long"), "prints")
 
 
 def code(segment: int, distance: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -160,8 +160,8 @@ def links(points: DataFrame, distance: int = DISTANCE) -> DataFrame:
         if len(key):
             yield from found(key, waiting)
 
-    spread = points.select("fp").mapInArrow(replicate, "anchor long, fp long")
-    return spread.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare, "a long, b long")
+    spread = points.select("fp").mapInArrow(released(replicate), "anchor long, fp long")
+    return spread.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(released(compare), "a long, b long")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,

@@ -59,7 +59,7 @@ class WordEncoder:
     against whole-text encoding in the tests). Only bounded memories of recent
     words are kept, however many there are."""
 
-    def __init__(self, path: str, keep: int = 300_000, longest: int = 64):
+    def __init__(self, path: str, keep: int = 200_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
