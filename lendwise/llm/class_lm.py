@@ -9,13 +9,16 @@ documents whose crc32(id as text) mod ``folds`` is not ``held``.
    held whole.
 2. Counts of a word meet by word and go back to the blocks it occurs in, so each block
    learns the corpus count of each of its words (``encoded``).
-3. Words with at least 1/``frequent`` of all training tokens (so at most ``frequent``
-   words) are clustered; rarer words form classes by the binary order of their count, and
+3. Words seen at least ``least`` times are clustered, however large the corpus, and numbered
+   by rank in a table; rarer words form classes by the binary order of their count, and
    words seen once share a class with unseen words. All these are model
-   symbols of 16 bits.
-4. Exchange clustering over the counted symbol bigrams: in each round half of the frequent words
-   may move, each to the class that raises the class-bigram likelihood most given the other
-   words' classes. The best round's classes stay.
+   symbols of 32 bits. ``frequent``, where given, also asks for 1/``frequent`` of all tokens.
+4. Exchange clustering over the counted symbol bigrams: in each round half of the clustered words
+   (the two halves take turns) may move, each to the class that raises the class-bigram likelihood
+   most given the other words' classes. It ends when a turn of both halves brings no rise
+   (or after ``rounds``, where given); the best round's classes stay. There are 64 classes, and from
+   32,768 words on twice the cube root of their number. Words, contexts and counts are tables;
+   driver and tasks hold the class of each clustered word (2 bytes) and the class bigrams.
 5. P(w | v) = P(class w | class v) * P(w | class w). Transitions are
    smoothed with the class frequencies; in the class of words seen once, ``unseen`` of
    the mass is the unknown word's. It sums to one over known words, the end and one unknown word.
@@ -37,14 +40,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import WORD, released, written
+from lendwise.llm.common import WORD, released, small_enough, written
 
 FOLDS, HELD = 7, 2
-FREQUENT, CLASSES, ROUNDS, UNSEEN, SMOOTH = 50_000, 64, 6, 0.5, 10.0
+LEAST, CLASSES, UNSEEN, SMOOTH = 5, 64, 0.5, 10.0
 BLOCK_BYTES = 16 << 20
-#: The end's name among words (no word holds a line break), symbols of rarer and unknown words.
+#: The end's name among words (no word holds a line break); symbols of rarer and unknown
+#: words, below zero: they index the end of an array over all symbols.
 END = b"\n"
-BAND, ONCE, UNKNOWN, SYMBOLS = 60_000, 60_100, 60_101, 1 << 16
+BAND, ONCE, UNKNOWN, OTHERS = -100, -2, -1, 100
+#: Bigrams that a task counts at a time.
+SPAN = 1 << 20
 
 
 def held_out(doc_id, folds: int = FOLDS, held: int = HELD) -> bool:
@@ -106,7 +112,21 @@ def symbol(c: np.ndarray) -> np.ndarray:
     return np.where(c == 0, UNKNOWN, np.where(c == 1, ONCE, band))
 
 
-def encoded(rows: DataFrame, frequent: int) -> tuple[DataFrame, dict]:
+def numbered(common: DataFrame) -> DataFrame:
+    """Written (word, symbol) from rows (word, c): 1, 2, ... by falling count, then word. Only a
+    count per partition reaches the driver."""
+    ranked = common.repartitionByRange(F.desc("c"), F.asc("word")).sortWithinPartitions(F.desc("c"), F.asc("word"))
+    ranked = written(ranked.select("word", F.monotonically_increasing_id().alias("at")), "ranked")
+    part, before, starts = F.shiftright("at", 33), 0, []
+    for r in ranked.groupBy(part.alias("part")).count().orderBy("part").collect():
+        starts.append((r["part"], before + 1))
+        before += r["count"]
+    offsets = common.sparkSession.createDataFrame(starts, "part long, start long")
+    symbol = (F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).cast("int")
+    return ranked.withColumn("part", part).join(F.broadcast(offsets), "part").select("word", symbol.alias("symbol"))
+
+
+def encoded(rows: DataFrame, frequent: int | None = None, least: int = LEAST) -> tuple[DataFrame, dict]:
     """(written documents as symbols with their count sums; totals)."""
     words = rows.filter("number is not null").select("block", "number", "word", "n")
     by = Window.partitionBy("word")
@@ -115,13 +135,16 @@ def encoded(rows: DataFrame, frequent: int) -> tuple[DataFrame, dict]:
     once = words.filter((F.col("block") == F.col("first")) & (F.col("c") > 0))
     totals = once.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("distinct"),
                       F.count_if(F.col("c") == 1).alias("once")).first().asDict()
-    common = once.filter((F.col("c") * frequent >= totals["tokens"]) & (F.col("word") != END.decode())).select("word", "c")
-    ranked = [r["word"] for r in sorted(common.collect(), key=lambda r: (-r["c"], r["word"]))]  # at most ``frequent`` words
-    spark = rows.sparkSession
-    ids = spark.createDataFrame([(END.decode(), 0), *((w, k + 1) for k, w in enumerate(ranked))], "word string, symbol int")
-    # A word that no other block has needs no answer: its corpus count is its count here.
-    answers = words.join(F.broadcast(ids), "word", "left").filter("c <> n or symbol is not null")
-    answers = answers.select("block", "number", "c", "symbol")
+    is_end, clustered = F.col("word") == END.decode(), F.col("c") >= least
+    if frequent is not None:
+        clustered = clustered & (F.col("c") * frequent >= totals["tokens"])
+    ids = numbered(once.filter(clustered & ~is_end).select("word", "c"))
+    n_words = ids.count()
+    side = F.broadcast(ids) if small_enough(ids, "word") else ids
+    # A rarer word that no other block has needs no answer: its corpus count is its count here.
+    columns = ["block", "number", "c", "symbol"]
+    answers = words.filter(clustered & ~is_end).join(side, "word").select(columns).unionByName(
+        words.filter(is_end | ~clustered & (F.col("c") != F.col("n"))).withColumn("symbol", F.when(is_end, 0)).select(columns))
     documents = rows.filter("number is null").select("block", "id", "held_out", "numbers")
     def encode(docs: pa.Table, known: pa.Table) -> pa.Table:
         texts = [np.frombuffer(zlib.decompress(x), np.uint32) for x in docs.column("numbers").to_pylist()]
@@ -133,12 +156,12 @@ def encoded(rows: DataFrame, frequent: int) -> tuple[DataFrame, dict]:
         c[n] = known.column("c").to_numpy()
         own = symbol(c)
         fixed = known.column("symbol").fill_null(-1).to_numpy()
-        own[n] = np.where(fixed >= 0, fixed, own[n])
+        own[n] = np.where(fixed >= 0, fixed, symbol(c[n]))
         log_c, log_c1 = np.log10(np.maximum(c, 1)), np.log10(c + 1.0)
         made = {k: [] for k in ("n_tokens", "n_known", "log_c", "log_c1", "symbols")}
         for seq in texts:
             for k, v in zip(made, (len(seq), int((c[seq] > 0).sum()), float(log_c[seq].sum()), float(log_c1[seq].sum()),
-                                  zlib.compress(own[seq].astype("<u2").tobytes(), 1)), strict=True):
+                                  zlib.compress(own[seq].astype("<i4").tobytes(), 1)), strict=True):
                 made[k].append(v)
         types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
         columns = [pa.array(v, t) for v, t in zip(made.values(), types, strict=True)]
@@ -146,12 +169,12 @@ def encoded(rows: DataFrame, frequent: int) -> tuple[DataFrame, dict]:
 
     schema = f"id {dict(rows.dtypes)['id']}, held_out boolean, n_tokens long, n_known long, log_c double, log_c1 double, symbols binary"
     return written(documents.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(encode, schema), "encoded"), \
-        totals | {"frequent": len(ranked) + 1}
+        totals | {"frequent": n_words + 1}
 
 
 def bigrams(documents: DataFrame) -> DataFrame:
     """Written counts (pair, n) of symbol bigrams of training documents; a
-    document begins after an end. pair = previous << 16 | next."""
+    document begins after an end. pair = previous << 32 | next, of signed symbols."""
     def run(batches):
         waiting, held = [], 0
 
@@ -161,8 +184,8 @@ def bigrams(documents: DataFrame) -> DataFrame:
 
         for b in batches:
             for symbols in b.column(0):
-                seq = np.frombuffer(zlib.decompress(symbols.as_py()), "<u2").astype(np.int64)
-                waiting.append(np.append(0, seq[:-1]) << 16 | seq)
+                seq = np.frombuffer(zlib.decompress(symbols.as_py()), "<i4").astype(np.int64)
+                waiting.append(np.append(0, seq[:-1]) << 32 | seq & 0xFFFFFFFF)
                 held += len(seq)
                 if held > 1 << 22:
                     yield counted()
@@ -182,84 +205,151 @@ def xlogx(x: np.ndarray) -> np.ndarray:
 def first_classes(frequent: int, classes: int) -> np.ndarray:
     """Class of each symbol: the end 0, frequent words 1..classes by rank in
     turn, then a class per count order, and one for words seen once and unknown ones."""
-    out = np.zeros(SYMBOLS, np.int64)
+    out = np.zeros(frequent + OTHERS, np.int16)
     out[1:frequent] = 1 + np.arange(frequent - 1) % classes
     out[BAND:BAND + 64] = 1 + classes + np.arange(64)
     out[ONCE] = out[UNKNOWN] = 1 + classes
     return out
 
 
-def class_counts(pairs: DataFrame, classes: np.ndarray, top: int, frequent: int) -> tuple[np.ndarray, DataFrame]:
-    """(class bigram counts, written (word, k, n): what stands after (k < top) and before a frequent word)."""
-    def run(batches):
-        for b in batches:
-            pair, n = b.column(0).to_numpy(), b.column(1).to_numpy()
-            v, w = pair >> 16, pair & 0xFFFF
-            a, c = classes[v], classes[w]
-            key = np.concatenate([a * top + c, (v + 1) * (2 * top) * top + c, (w + 1) * (2 * top) * top + top + a])
-            keep = np.concatenate([np.ones(len(v), bool), (v > 0) & (v < frequent), (w > 0) & (w < frequent)])
-            own, at = np.unique(key[keep], return_inverse=True)
-            total = np.bincount(at, np.tile(n, 3)[keep]).astype(np.int64)
-            word = own // (2 * top * top) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(own - (word + 1) * (2 * top * top)), pa.array(total)], ["word", "k", "n"])
-
-    found = written(pairs.mapInArrow(released(run), "word long, k long, n long").groupBy("word", "k").agg(F.sum("n").alias("n")), "contexts")
+def spans(batches):
+    """(previous, next, count) of bigrams, about SPAN at a time."""
+    waiting, held = [], 0
+    for b in batches:
+        waiting.append(b)
+        held += b.num_rows
+        if held >= SPAN:
+            yield split(waiting)
+            waiting, held = [], 0
+    if held:
+        yield split(waiting)
+
+
+def split(batches: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    pair, n = (np.concatenate([b.column(k).to_numpy() for b in batches]) for k in (0, 1))
+    return pair >> 32, pair.astype(np.int32).astype(np.int64), n
+
+
+def own_turn(words: np.ndarray, turn: int) -> np.ndarray:
+    """Which words may move: each in every second round."""
+    return (words * 2654435761 >> 7) + turn & 1 == 0
+
+
+def class_counts(pairs: DataFrame, classes: np.ndarray, top: int, frequent: int, turn: int = 0) -> tuple[np.ndarray, DataFrame]:
+    """(class bigram counts, (word, k, n): what stands after (k < top) and before a word that may
+    move; a word's k may come in several rows)."""
+    def total(batches):
+        matrix = np.zeros(top * top)
+        for v, w, n in spans(batches):
+            matrix += np.bincount(classes[v].astype(np.int64) * top + classes[w], n, minlength=top * top)
+        k = np.flatnonzero(matrix)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(matrix[k].astype(np.int64))], ["k", "n"])
+
+    def around(batches):
+        for v, w, n in spans(batches):
+            after, before = (v > 0) & own_turn(v, turn), (w > 0) & own_turn(w, turn)
+            key = np.concatenate([v[after] * (2 * top) + classes[w[after]], w[before] * (2 * top) + top + classes[v[before]]])
+            own, at = np.unique(key, return_inverse=True)
+            n = np.bincount(at, np.concatenate([n[after], n[before]]), minlength=len(own)).astype(np.int64)
+            for k in range(0, len(own), 1 << 16):
+                part = own[k:k + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(part // (2 * top)), pa.array((part % (2 * top)).astype(np.int32)),
+                                                  pa.array(n[k:k + (1 << 16)])], ["word", "k", "n"])
+
     matrix = np.zeros(top * top)
-    for r in found.filter("word = -1").collect():  # at most top * top numbers
-        matrix[r["k"]] = r["n"]
-    return matrix.reshape(top, top), found.filter("word >= 0")
+    found = pairs.mapInArrow(released(total), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    matrix[found.column("k").to_numpy()] = found.column("n").to_numpy()  # at most top * top numbers
+    return matrix.reshape(top, top), pairs.mapInArrow(released(around), "word long, k int, n long")
 
 
 def likelihood(matrix: np.ndarray) -> float:
     return float(xlogx(matrix).sum() - xlogx(matrix.sum(axis=1)).sum() - xlogx(matrix.sum(axis=0)).sum())
 
 
-def moves(contexts: DataFrame, classes: np.ndarray, matrix: np.ndarray, n_classes: int, turn: int) -> np.ndarray:
-    """Classes after one exchange round; collects one row per word that moves."""
-    top, after, before = len(matrix), matrix.sum(axis=1), matrix.sum(axis=0)
+def best_classes(words: np.ndarray, k: np.ndarray, n: np.ndarray, classes: np.ndarray, matrix: np.ndarray,
+                 n_classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words, the class of the greatest likelihood for each, the others given), from
+    contexts (word, k, n) sorted by word and k, without repeats. Only cells that a word occurs in are touched."""
+    top, word_class = len(matrix), np.arange(1, n_classes + 1)
+    cells = np.concatenate([matrix[1:n_classes + 1].T, matrix[:, 1:n_classes + 1]])  # by k: cells of each class
+    table = xlogx(cells)
+    starts = np.flatnonzero(np.append(True, words[1:] != words[:-1])) if len(words) else np.zeros(0, np.int64)
+    ends, best = np.append(starts[1:], len(words)), []
+    sums = [matrix.sum(axis=1)[1:n_classes + 1], matrix.sum(axis=0)[1:n_classes + 1]]
+    a = 0
+    while a < len(starts):  # some words at a time, so that the work table stays small
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + (1 << 21) // n_classes, "right")))
+        rows = slice(starts[a], ends[b - 1])
+        first, kk, nn = starts[a:b] - starts[a], k[rows], n[rows].astype(float)
+        word = np.repeat(np.arange(b - a), ends[a:b] - starts[a:b])
+        own, at, before = classes[words[starts[a:b]]].astype(np.int64), np.arange(len(kk)), kk >= top
+        base, old = cells[kk], table[kk]
+        base[at, own[word] - 1] -= nn  # without the word itself in its class
+        other = kk - top * before
+        hit = np.full((2, b - a), -1)
+        mine = other == own[word]
+        hit[before[mine].astype(int), word[mine]] = at[mine]
+        facing = hit[1 - before.astype(int), word]
+        cross = (facing >= 0) & (other >= 1) & (other <= n_classes)
+        base[facing[cross], other[cross] - 1] -= nn[cross]
+        np.maximum(base, 0, out=base)
+        old[at, own[word] - 1] = xlogx(base[at, own[word] - 1])
+        old[facing[cross], other[cross] - 1] = xlogx(base[facing[cross], other[cross] - 1])
+        gain = np.add.reduceat(xlogx(base + nn[:, None]) - old, first, axis=0)
+        # A class both before and after the word: its own cell grows by both counts at once.
+        mid = (other >= 1) & (other <= n_classes)
+        right, left = np.flatnonzero(mid & ~before), np.flatnonzero(mid & before)
+        _, r, l = np.intersect1d((word * top + other)[right], (word * top + other)[left], assume_unique=True, return_indices=True)
+        right, left = right[r], left[l]
+        cell = base[right, other[right] - 1]
+        both = xlogx(cell + nn[right] + nn[left]) - xlogx(cell + nn[right]) - xlogx(cell + nn[left]) + xlogx(cell)
+        gain[word[right], other[right] - 1] += both
+        for side in (0, 1):
+            weight = np.add.reduceat(nn * (before == side), first)[:, None]
+            rest = sums[side] - weight * (word_class == own[:, None])
+            gain -= xlogx(rest + weight) - xlogx(rest)
+        best.append(1 + np.argmax(gain, axis=1))
+        a = b
+    return words[starts], np.concatenate([np.zeros(0, np.int64), *best])
+
+
+def moves(contexts: DataFrame, classes: np.ndarray, matrix: np.ndarray, n_classes: int) -> np.ndarray:
+    """Classes after one exchange round; collects one narrow row per word that moves."""
+    top = len(matrix)
 
     def decide(table: pa.Table) -> pa.Table:
-        words, at = np.unique(table.column("word").to_numpy(), return_inverse=True)
-        vectors = np.zeros((len(words), 2 * top))
-        np.add.at(vectors, (at, table.column("k").to_numpy()), table.column("n").to_numpy())
-        best = []
-        for w, vector in zip(words, vectors, strict=True):
-            right, left, own = vector[:top], vector[top:], classes[w]
-            m, r, c = matrix.copy(), after.copy(), before.copy()
-            m[own] -= right
-            m[:, own] -= left
-            np.maximum(m, 0, out=m)
-            r[own] -= right.sum()
-            c[own] -= left.sum()
-            rows, columns = m[1:n_classes + 1], m[:, 1:n_classes + 1].T
-            gain = (xlogx(rows + right) - xlogx(rows)).sum(axis=1) + (xlogx(columns + left) - xlogx(columns)).sum(axis=1)
-            gain -= xlogx(r[1:n_classes + 1] + right.sum()) - xlogx(r[1:n_classes + 1])
-            gain -= xlogx(c[1:n_classes + 1] + left.sum()) - xlogx(c[1:n_classes + 1])
-            best.append(1 + int(np.argmax(gain)))
-        best = np.array(best, np.int64)
-        moved = (best != classes[words]) & ((words * 2654435761 + turn * 40503) >> 7 & 1 == 0)
+        key, at = np.unique(table.column("word").to_numpy() * (2 * top) + table.column("k").to_numpy(), return_inverse=True)
+        n = np.bincount(at, table.column("n").to_numpy(), minlength=len(key))
+        words, best = best_classes(key // (2 * top), key % (2 * top), n, classes, matrix, n_classes)
+        moved = best != classes[words]
         return pa.table([pa.array(words[moved]), pa.array(best[moved])], names=["word", "class"])
 
-    part = F.pmod(F.xxhash64("word"), F.lit(64)).alias("part")
+    parts = max(64, len(classes) >> 12)
+    part = F.pmod(F.xxhash64("word"), F.lit(parts)).alias("part")
     out = classes.copy()
-    for r in contexts.select("word", "k", "n", part).groupBy("part").applyInArrow(decide, "word long, class long").collect():
-        out[r["word"]] = r["class"]
+    found = contexts.select("word", "k", "n", part).groupBy("part").applyInArrow(decide, "word long, class long").toArrow()
+    out[found.column("word").to_numpy()] = found.column("class").to_numpy()
     return out
 
 
-def exchanged(pairs: DataFrame, frequent: int, n_classes: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+def class_number(frequent: int) -> int:
+    return max(CLASSES, int(np.ceil(2 * np.cbrt(frequent - 1) - 1e-9)))
+
+
+def exchanged(pairs: DataFrame, frequent: int, n_classes: int, rounds: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(class of each symbol, class bigram counts) of the best of the rounds."""
     top = 1 + n_classes + 64
-    classes, best = first_classes(frequent, n_classes), None
-    for turn in range(rounds + 1):
-        matrix, contexts = class_counts(pairs, classes, top, frequent)
+    classes, best, turn, without = first_classes(frequent, n_classes), None, 0, 0
+    while True:
+        matrix, contexts = class_counts(pairs, classes, top, frequent, turn)
         value = likelihood(matrix)
-        if best is None or value > best[0]:
+        without = 0 if best is None or value > best[0] else without + 1
+        if not without:
             best = (value, classes, matrix)
-        if turn == rounds or frequent < 2:
-            break
-        classes = moves(contexts, classes, matrix, n_classes, turn)
-    return best[1], best[2]
+        if turn == rounds or without == 2 or frequent < 2:
+            return best[1], best[2]
+        classes = moves(contexts, classes, matrix, n_classes)
+        turn += 1
 
 
 def probabilities(matrix: np.ndarray, classes: np.ndarray, once: int) -> tuple[np.ndarray, np.ndarray]:
@@ -274,21 +364,22 @@ def probabilities(matrix: np.ndarray, classes: np.ndarray, once: int) -> tuple[n
     return np.log10(transition), emission
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS, held: int = HELD, frequent: int = FREQUENT,
-          classes: int = CLASSES, rounds: int = ROUNDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS, held: int = HELD, frequent: int | None = None,
+          classes: int | None = None, rounds: int | None = None, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigrams), score (log10), perplexity of the class model."""
-    documents, totals = encoded(staged(docs, id_col, text_col, folds, held, block_bytes), frequent)
-    class_of, matrix = exchanged(bigrams(documents), totals["frequent"], classes, rounds)
-    transition, emission = probabilities(matrix, class_of, totals["once"])
+    documents, totals = encoded(staged(docs, id_col, text_col, folds, held, block_bytes), frequent, least)
+    class_of, matrix = exchanged(bigrams(documents), totals["frequent"], classes or class_number(totals["frequent"]), rounds)
+    # Emissions by class; those of words seen once and of unknown ones are the last two.
+    transition, emission = probabilities(matrix, np.append(np.arange(len(matrix)), [0, 0]), totals["once"])
 
     def run(batches):
         for b in batches:
             out = np.zeros(b.num_rows)
             for k, symbols in enumerate(b.column(6)):
-                seq = np.frombuffer(zlib.decompress(symbols.as_py()), "<u2")
+                seq = np.frombuffer(zlib.decompress(symbols.as_py()), "<i4")
                 own = class_of[seq]
-                out[k] = transition[np.append(0, own[:-1]), own].sum() + emission[seq].sum()
+                out[k] = transition[np.append(0, own[:-1]), own].sum() + emission[np.where((seq == ONCE) | (seq == UNKNOWN), seq, own)].sum()
             yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(out)], names=[*b.schema.names[:6], "log_class"])
 
     schema = f"id {dict(documents.dtypes)['id']}, held_out boolean, n_tokens long, n_known long, log_c double, log_c1 double, log_class double"

@@ -94,6 +94,58 @@ def test_exchange_raises_the_likelihood(spark):
     assert matrix.sum() == start.sum() == totals["tokens"]
 
 
+def test_every_word_seen_often_enough_is_clustered(spark):
+    docs = [(i, " ".join(["the"] * 4_000 + [f"w{k}" for k in range(300)])) for i in range(60)]  # each w is 1 of 4,300 words
+    df = spark.createDataFrame([*docs, (100, "rare rare x")], "doc_id long, text string")
+    _, totals = class_lm.encoded(class_lm.staged(df, "doc_id", "text", 7, 2, 1 << 20))
+    assert totals["tokens"] > 5 * 40_000 and totals["frequent"] == 1 + 301
+    _, low = class_lm.encoded(class_lm.staged(df, "doc_id", "text", 7, 2, 1 << 20), least=2)
+    assert low["frequent"] == 1 + 301 + (not is_out(100))
+
+
+def test_more_words_than_16_bits(spark):
+    df = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(35_000 * (i % 2), 35_000 * (i % 2 + 1)))) for i in range(16)],
+                               "doc_id long, text string")
+    got = check_counts(df, rounds=1, block_bytes=1 << 20)
+    documents, totals = class_lm.encoded(class_lm.staged(df, "doc_id", "text", 7, 2, 1 << 20))
+    seen = {s for r in documents.collect() for s in np.frombuffer(zlib.decompress(r.symbols), "<i4").tolist()}
+    assert totals["frequent"] == 70_001 and seen == set(range(70_001)) and all(math.isfinite(r.score) for r in got)
+    assert class_lm.class_number(totals["frequent"]) == 83 and class_lm.class_number(1_000) == 64
+
+
+def test_best_classes_against_brute_force():
+    rng = np.random.default_rng(8)
+    n_classes, v = 4, 30
+    top = 1 + n_classes + 64
+    classes = class_lm.first_classes(v, n_classes)
+    stream = np.append(0, rng.integers(-2, v, 400) // rng.integers(1, 4, 400))
+    pairs = collections.Counter(zip(stream[:-1].tolist(), stream[1:].tolist()))
+
+    def matrix_of(classes):
+        m = np.zeros((top, top))
+        for (a, b), n in pairs.items():
+            m[classes[a], classes[b]] += n
+        return m
+
+    around = collections.Counter()
+    for (a, b), n in pairs.items():
+        if a > 0:
+            around[a, int(classes[b])] += n
+        if b > 0:
+            around[b, top + int(classes[a])] += n
+    word, k, n = (np.array(x) for x in zip(*[(*key, n) for key, n in sorted(around.items())]))
+    words, best = class_lm.best_classes(word, k, n, classes, matrix_of(classes), n_classes)
+    for w, chosen in zip(words, best, strict=True):
+        if pairs[w, w]:  # a word after itself: the gain takes its other end as staying
+            continue
+        values = []
+        for c in range(1, n_classes + 1):
+            other = classes.copy()
+            other[w] = c
+            values.append(class_lm.likelihood(matrix_of(other)))
+        assert math.isclose(values[chosen - 1], max(values), rel_tol=1e-12)
+
+
 def test_token_hashes_depend_on_tokens_only():
     hasher = TokenHasher()
     texts = ["Ab, ab!! x", "zz AB,ab !! x", "", None, "ab"]
