@@ -150,7 +150,8 @@ class Classifier:
         weight = F.col("log_ratio") * scale
         self.scores = scores.select("id", "log_ratio", weight.alias("log_weight"), (weight + F.col("noise")).alias("draw"))
         if k is None:
-            seen = self.scores.join(F.broadcast(known), F.col("id") == F.col("label_id")).groupBy("good", "log_ratio").count().collect()
+            keep = F.when(F.col("toxic") == 1, 0).otherwise(F.col("good"))  # as in the fit
+            seen = self.scores.join(F.broadcast(known), F.col("id") == F.col("label_id")).groupBy(keep.alias("good"), "log_ratio").count().collect()
             split = [np.repeat([r["log_ratio"] for r in seen if r["good"] == g], [r["count"] for r in seen if r["good"] == g]) for g in (1, 0)]
             cutoff = best_cutoff(*split) if ratio.any() else -np.inf
             k = self.scores.filter(F.col("log_ratio") >= F.lit(float(cutoff))).count()

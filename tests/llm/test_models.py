@@ -171,6 +171,15 @@ def test_classifier_separates_labelled_documents(spark, sf):
     assert share[1] > 0.97 and share.get(0, 0) < 0.5
 
 
+def test_toxic_labels_are_bad_when_the_cutoff_is_chosen(spark):
+    rng = np.random.default_rng(11)
+    docs = [(i, " ".join(rng.choice([f"{'vile' if i % 4 == 0 else 'fair'}{k}" for k in range(20)], 40))) for i in range(80)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in docs], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality_classifier.resample(df, labels).collect() if r.kept}
+    assert kept == {i for i, _ in docs if i % 4}
+
+
 def test_classifier_draws_k_of_n(spark, sf):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     classifier = quality_classifier.Classifier(docs, labels, k=50)
