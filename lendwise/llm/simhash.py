@@ -164,27 +164,34 @@ def links(points: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return spread.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(released(compare), "a long, b long")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                distance: int = DISTANCE) -> DataFrame:
-    """One row per document: id, text_hash, fingerprint (16 hex digits),
-    component_id (the least id of those reachable by links)."""
+def groups(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """Rows of ``near_groups`` with ``stay``: whether the row is the one of its component with the least
+    (id, nulls last, text_hash), which its repeated rows are too."""
     rows = prints(docs, id_col, text_col, shingle)
-    points = written(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "points")
+    first = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
+    points = written(rows.groupBy("fp").agg(F.min(first).alias("least"), F.count(F.lit(1)).alias("n")), "points")
     roots = component_roots(links(points, distance))
     root = F.coalesce("b", "fp").alias("root")
     labelled = written(points.join(roots.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "least", "n", root), "labels")
     # Few points share a root with others; only those need its least id.
-    least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    entries = written(labelled.join(least, "root").select("fp", "n", "component_id"), "components")
+    least = labelled.groupBy("root").agg(F.min("least").alias("least"))
+    entries = written(labelled.drop("least").join(least, "root").select("fp", "n", "least"), "components")
     return looked_up(rows, entries, ["fp"], "n").select(
-        F.col("id").alias(id_col), "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("id").alias(id_col), "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least.id").alias("component_id"),
+        (F.col("id").eqNullSafe(F.col("least.id")) & (F.col("text_hash") == F.col("least.text_hash"))).alias("stay"))
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document: id, text_hash, fingerprint (16 hex digits),
+    component_id (the least id of those reachable by links)."""
+    return groups(docs, id_col, text_col, **options).drop("stay")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the document
-    with the least id stays, of repeated rows with that id one."""
+    with the least id (nulls last) stays, of several with that id the one with the least text hash, of repeated rows one."""
     key, of, text_hash = new_names(docs.columns, "key", "id", "hash")
-    stay = near_groups(docs, id_col, text_col, **options).filter(F.col("component_id").eqNullSafe(F.col(id_col)))
+    stay = groups(docs, id_col, text_col, **options).filter("stay")
     stay = stay.select(F.col(id_col).alias(of), F.col("text_hash").alias(text_hash)).distinct()
     rows = docs.withColumn(key, F.xxhash64(docs[text_col]))
     kept = rows.join(stay, rows[id_col].eqNullSafe(stay[of]) & (rows[key] == stay[text_hash]), "left_semi")

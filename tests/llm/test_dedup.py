@@ -142,6 +142,16 @@ def test_simhash_of_hard_rows(spark):
     assert simhash.near_groups(edge.empty(spark)).count() == 0 and simhash.near_dedup(edge.empty(spark)).count() == 0
 
 
+def test_one_of_near_copies_stays_whatever_their_ids(spark):
+    far = " ".join(f"word{k}" for k in range(60))
+    rows = [(None, ""), (None, " "), (None, "\t"), (None, " "), (None, far), (None, far)]  # no words: one fingerprint
+    kept = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(kept) == 2 and {r.text for r in kept} > {far}
+    shared = spark.createDataFrame([(5, ""), (5, " "), (5, " "), (7, "\t"), (None, None)], "doc_id long, text string")
+    kept = simhash.near_dedup(shared).collect()
+    assert len(kept) == 1 and kept[0].doc_id == 5
+
+
 @pytest.mark.parametrize("flips", [1, 2, 3, 4])
 def test_links_of_planted_fingerprints(spark, flips):
     rng = np.random.default_rng(flips)
