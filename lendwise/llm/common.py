@@ -70,6 +70,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``rows`` (without columns at, part, start) written in the order, with ``rank`` 1, 2, ...: ranges of
+    the order are sorted in their tasks, and only a count per range reaches the driver."""
+    ranked = written(rows.repartitionByRange(*order).sortWithinPartitions(*order)
+                     .withColumn("at", F.monotonically_increasing_id()), name)
+    part, before, starts = F.shiftright("at", 33), 0, []
+    for r in ranked.groupBy(part.alias("part")).count().orderBy("part").collect():
+        starts.append((r["part"], before + 1))
+        before += r["count"]
+    offsets = rows.sparkSession.createDataFrame(starts, "part long, start long")
+    rank = F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranked.withColumn("part", part).join(F.broadcast(offsets), "part").select(*rows.columns, rank.alias("rank"))
+
+
 def word_array(text: Column) -> Column:
     """Words of ``text`` in order; null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{WHITE_SPACE}]+"), "")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from lendwise.llm.common import new_names, small_enough, word_count, written
+from lendwise.llm.common import new_names, numbered, small_enough, word_count, written
 
 #: Fixed values of the mixture: weights by rank of the source, repeated; the
 #: mix's words as a multiple of all words; the most repetitions of a source.
@@ -32,23 +32,32 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     they add up to ``share`` of all words: what resharing the excess of capped
     sources by weight converges to. Sources in order of (cap * size / weight):
     the level is found at the first source that it does not lift above its cap.
-    The windows here run over the table of sources (one row each), never over
-    documents.
+    The table of sources is ranked and summed in ranges of its order, a task per range; the driver
+    holds the sums of each range.
     """
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(rank - 1, F.lit(len(weights))) + 1).cast("int"))
+    sized = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    by_source = F.col("source").asc_nulls_last()
+    per = numbered(sized, [by_source], "sources")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int"))
     per = per.select("source", "source_size", weight.alias("w"), (F.col("source_size") * float(cap)).alias("most"))
     per = per.withColumn("full_at", F.col("most") / F.col("w"))
-    by_level = Window.orderBy("full_at", F.col("source").asc_nulls_last())
-    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = F.coalesce(F.sum("most").over(by_level.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    left = F.sum("w").over(by_level.rowsBetween(0, Window.unboundedFollowing))
-    total = F.sum("source_size").over(every) * float(share)
-    per = per.withColumn("level", (total - before) / left)
-    fits = F.when(F.col("level") <= F.col("full_at"), F.struct("full_at", "level"))
-    per = per.withColumn("at", F.min(fits).over(every)["level"])
-    target = F.when(F.col("at").isNull(), F.col("most")).otherwise(F.least("most", F.col("at") * F.col("w")))
+    per = written(per.repartitionByRange("full_at", by_source).withColumn("part", F.spark_partition_id()), "levels")
+    sums = per.groupBy("part").agg(F.sum("most").alias("most"), F.sum("w").alias("w"), F.sum("source_size").alias("n")).orderBy("part").collect()
+    starts, most, left = [], 0.0, sum(r["w"] for r in sums)
+    for r in sums:
+        left -= r["w"]
+        starts.append((r["part"], most, left))
+        most += r["most"]
+    offsets = F.broadcast(sized.sparkSession.createDataFrame(starts, "part int, most_before double, w_after double"))
+    order = Window.partitionBy("part").orderBy("full_at", by_source)
+    before = F.coalesce(F.sum("most").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) + F.col("most_before")
+    left = F.sum("w").over(order.rowsBetween(0, Window.unboundedFollowing)) + F.col("w_after")
+    total = F.lit(float(sum(r["n"] for r in sums) * float(share)))
+    levels = per.join(offsets, "part").select("full_at", ((total - before) / left).alias("level"))
+    # Of sources that are full at one level the first has the greatest.
+    first = F.min(F.struct("full_at", (-F.col("level")).alias("level")))["level"]
+    at = levels.filter(F.col("level") <= F.col("full_at")).agg((-first).alias("at")).first()["at"]
+    target = F.col("most") if at is None else F.least(F.col("most"), F.lit(at) * F.col("w"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     return per.withColumn("target", target).select("source", "source_size", "target", rate.alias("rate"))
 

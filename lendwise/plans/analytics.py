@@ -189,11 +189,11 @@ def amount_change_by_grade_state(with_prev: DataFrame) -> DataFrame:
 
 
 def category_share(df: DataFrame, column: str, out: str = "percentage") -> DataFrame:
-    """Share of each category in percent. The total is the sum over the
-    counted categories (a window over that small table): the input is read once."""
-    total = F.sum("_n").over(Window.partitionBy(F.lit(0)))
-    return (df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-            .select(column, (F.col("_n") / total.cast("double") * 100).alias(out)))
+    """Share of each category in percent. The total is a plain aggregate
+    over the counted categories (a scalar subquery), so no task holds them all."""
+    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    total = counted.agg(F.sum("_n")).scalar()
+    return counted.select(column, (F.col("_n") / total.cast("double") * 100).alias(out))
 
 
 def grade_share(loans: DataFrame) -> DataFrame:

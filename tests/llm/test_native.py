@@ -10,6 +10,28 @@ from lendwise.llm import exact_dedup, mixing, quality_rules
 import edge
 
 
+def test_source_targets_of_many_sources(spark):
+    rows = [(None if k == 7 else f"s{k:04}", (k * 37) % 101) for k in range(2_000)]
+    got = {r.source: r for r in mixing.source_targets(spark.createDataFrame(rows, "source string, size long").repartition(5)).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0]))
+    weight = {s: (3.0, 1.0, 2.0)[k % 3] for k, (s, _) in enumerate(order)}
+    lo, hi = 0.0, 1e6
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(min(2.0 * n, mid * weight[s]) for s, n in rows) < 1.5 * sum(n for _, n in rows) else (lo, mid)
+    assert all(got[s].target == pytest.approx(min(2.0 * n, hi * weight[s])) for s, n in rows)
+
+
+def test_sources_and_categories_meet_in_no_single_window(spark):
+    from lendwise.plans import analytics
+    df = spark.createDataFrame([(f"s{k}", 5) for k in range(30)], "source string, size long")
+    for out in (mixing.source_targets(df), analytics.category_share(df, "source")):
+        out.collect()
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan
+    assert sum(r.percentage for r in analytics.category_share(df, "source").collect()) == pytest.approx(100)
+
+
 def documents(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
