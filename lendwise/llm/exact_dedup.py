@@ -6,11 +6,12 @@
    is split by its next hash bit; where it already uses all bits of the
    directory, the directory doubles first. It works on distinct hashes, so
    copies never overfill a bucket, and has at most 2^max_depth slots.
-3. Owner tasks own contiguous ranges of buckets. Rows meet by (bucket, hash,
-   SHA-256, text): the group-by on the text is the comparison of bytes, it runs map-side
-   first, so a text held by a third of all rows leaves each task once. Texts
-   with one hash form a chain of separate entries. The entries (without
-   texts) are the index files.
+   Above capacity * 2^max_depth distinct hashes buckets stay overfull.
+3. Rows meet by (hash, SHA-256, text) in Spark's hash shuffle: the group-by on the text is the
+   comparison of bytes and finds the groups, it runs map-side first, so a text held by a third
+   of all rows leaves each task once. Texts with one hash are separate entries. Only then
+   are entries (without texts) dealt by bucket to owner tasks, which own contiguous ranges of
+   buckets, sort them and write the index files; buckets take no part in the dedup.
 4. Each document looks its entry up by (hash, SHA-256). The few groups above a
    thousandth of all rows (at most 1,000, so a bounded broadcast) are
    looked up without a shuffle. Should two different texts ever share hash and
