@@ -5,9 +5,10 @@ cut). A full piece is a sequence by itself. Every document has at most one
 shorter piece; these are dealt by hash into groups of about ``group_docs``,
 and each group is packed in its own task by best-fit decreasing: pieces in
 falling length go to the open sequence with the least room that still fits,
-found in a segment tree over the remaining room in logarithmic time. A group
-costs at most one badly filled sequence, so the loss against one global
-packing is below one sequence per ``group_docs`` documents.
+found in a segment tree over the remaining room in logarithmic time. Open
+sequences of different groups are never matched. The loss against one global packing
+depends on the lengths and can be many sequences per group: 13 groups of 400,000 pieces,
+half 3000 and half 1096 tokens long, took 200,281 sequences against 200,000.
 
 Defined results: null and empty texts are documents of one token (the end
 id); repeated rows and ids are packed one by one; an empty table gives an empty result;
