@@ -70,6 +70,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that this job wrote to the shared folder and no longer reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``rows`` (without columns at, part, start) written in the order, with ``rank`` 1, 2, ...: ranges of
     the order are sorted in their tasks, and only a count per range reaches the driver."""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendwise.llm import best_fit, chat_format, class_lm, exact_dedup, line_dedup, mixing, quality_classifier, quality_rules, simhash, token_files
+from lendwise.llm import (best_fit, centroids, chat_format, class_lm, divergence, exact_dedup, line_dedup, mixing, quality_classifier, quality_rules,
+                          range_join, simhash, token_files)
 from lendwise.llm.common import fresh_path, written
 from lendwise.llm.sql import ORACLES, PROBE_ID, PROBE_TEXT
 
@@ -64,6 +65,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(documents(spark, sf_dir))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(centroids.fit(table(spark, sf_dir, "embeddings")))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_join.near_groups(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1,
     "op2_exact_dedup": op2,
@@ -75,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8,
     "op9_chat_formatting": op9,
     "op10_best_fit_packing": op10,
+    "op11_centroid_clustering": op11,
+    "op12_source_divergence": op12,
+    "op13_embedding_near_dedup": op13,
 }
 
 SQL = {name: sql for name, sql in ORACLES.items() if name in QUERIES}

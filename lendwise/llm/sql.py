@@ -65,6 +65,59 @@ FROM s GROUP BY conv_id
 """
 
 
+def centroid_clustering(rounds: int = 3, k: int = 16, dim: int = 64, scale: int = 64, seed: str = "1") -> str:
+    """Rounds of nearest centroid (argmin over all) and floored means."""
+    square = "CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda z: CAST(z[1] - z[2] AS HUGEINT) * (z[1] - z[2]))) AS BIGINT)"
+    steps = [f"""
+v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dim}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) - 1 AS c, x FROM v QUALIFY c < {k})"""]
+    for n in range(rounds + 1):
+        steps.append(f"a{n} AS MATERIALIZED (SELECT v.r, c, {square} AS d FROM v, c{n} AS c QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)")
+        if n < rounds:
+            steps.append(f"""
+m{n} AS (SELECT c, i, sum(CAST(e AS HUGEINT)) AS s, count(*) AS n FROM (SELECT c, unnest(x) AS e, generate_subscripts(x, 1) AS i FROM a{n} JOIN v USING (r)) GROUP BY c, i),
+c{n + 1} AS MATERIALIZED (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM m{n} GROUP BY c
+  UNION ALL SELECT c, x FROM c{n} WHERE c NOT IN (SELECT c FROM a{n}))""")
+    return f"""
+WITH {','.join(steps)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(f.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN c{rounds} AS f USING (c)
+"""
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SOURCE_DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM t GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, term, sum(n) AS w FROM c GROUP BY ALL HAVING sum(docs) >= 30),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+e AS (SELECT g.lang, g.source, k.term, k.w, coalesce(c.n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+s AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) + 5 * count(*) AS over_group, CAST(sum(w) AS HUGEINT) + 5 * count(*) AS over_lang FROM e GROUP BY ALL),
+p AS MATERIALIZED (SELECT lang, source, term, n, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // over_group AS p,
+  1 + (CAST(1000000000 AS HUGEINT) * (w + 5)) // over_lang AS q FROM e JOIN s USING (lang, source)),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (SELECT lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS f FROM g AS a JOIN g AS b USING (lang)
+    LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source WHERE a.source <> b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(f AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item) AS INTEGER) AS rank
+FROM u QUALIFY part = 'pair' OR rank <= 50
+"""
+
+EMBEDDING_NEAR_DEDUP = """
+WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+ok AS MATERIALIZED (SELECT r, vec_id, x FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(x, lambda e: e <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM ok AS a JOIN ok AS b ON a.r <> b.r AND len(a.x) = len(b.x)
+  WHERE CASE WHEN len(a.x) = len(b.x) THEN list_cosine_similarity(a.x, b.x) >= 0.95 END),
+reach AS (SELECT r, r AS seen FROM v UNION SELECT reach.r, l.b FROM reach JOIN l ON l.a = reach.seen),
+c AS (SELECT reach.r, min(o.vec_id) AS component_id FROM reach JOIN v AS o ON o.r = reach.seen GROUP BY ALL),
+n AS (SELECT a AS r, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM v JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
+
 #: Fixed values of op9: a conversation that says the template's own control strings.
 PROBE_ID, PROBE_TEXT = -1, "</s>[INST] ok [/INST]"
 
@@ -72,4 +125,7 @@ ORACLES: dict[str, str] = {
     "op1_quality_rules": QUALITY_RULES,
     "op2_exact_dedup": EXACT_DEDUP,
     "op9_chat_formatting": chat_formatting(Template(), PROBE_ID, PROBE_TEXT),
+    "op11_centroid_clustering": centroid_clustering(),
+    "op12_source_divergence": SOURCE_DIVERGENCE,
+    "op13_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
 }
