@@ -10,16 +10,22 @@ replacement with probabilities that follow their importance.
 The target model is fitted on labelled rows: those of quality 1 and not toxic,
 at most ``max_labels``, the first by a hash of the id. The raw model counts
 all documents. Unless k is given, it is the number of documents whose mean log
-ratio reaches the cutoff that best separates labelled good from bad rows.
-
-Defined results: null and empty texts have importance 0; an id with several
-labels is good only if all say so; without good or without bad labels nothing
+ratio reaches the cutoff that best separates labelled good from bad rows. A fitted text scores
+higher than any other, so the cutoff is cross-fitted: labels fall into ``FOLDS`` by a hash
+of the id, and each labelled text is scored by the model of the other folds. The
+share of good texts lost at a cutoff is that of their held-out scores smoothed by a Gaussian kernel, so that
+few labels do not cut at their own extreme.
+
+Defined results: null and empty texts have importance 0; very long texts are scored whole; an id with several
+labels is good only if all say so; without good or without bad labels, or with fewer than ``FOLDS`` good ones, nothing
 is rejected; repeated rows and equal draws are kept or rejected together; an empty
 table gives an empty result; extra columns do not matter.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,51 +34,65 @@ from pyspark.sql import functions as F
 from lendwise.llm.common import forget_held, new_names, released, written
 from lendwise.llm.ngrams import TokenHasher
 
-BUCKETS, SCALE, SEED, MAX_LABELS, PSEUDO = 10_000, 200.0, 8, 20_000, 0.5
+BUCKETS, SCALE, SEED, MAX_LABELS, PSEUDO, FOLDS = 10_000, 200.0, 8, 20_000, 0.5, 5
 #: A bad label weighs so little against a good one when the cutoff is chosen: clean documents stay.
 BAD_WEIGHT = 0.01
 
 
 def labelled(labels: DataFrame, id_col: str, quality_col: str, toxic_col: str | None, max_labels: int) -> DataFrame:
-    """(id, good): at most ``max_labels`` rows, the first by a hash of the id."""
+    """(label_id, good, toxic, fold): at most ``max_labels`` rows, the first by a hash of the id."""
     good = F.min((F.col(quality_col) == 1).cast("int"))
     bad = F.max(F.coalesce(F.col(toxic_col) == 1, F.lit(False)).cast("int")) if toxic_col else F.lit(0)
     rows = labels.filter(F.col(id_col).isNotNull() & F.col(quality_col).isNotNull()).groupBy(F.col(id_col).alias("label_id"))
     rows = rows.agg(good.alias("good"), bad.alias("toxic"))
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64(F.lit(2), "label_id"), F.lit(FOLDS)).cast("int"))
     return written(rows.orderBy(F.xxhash64(F.lit(1), "label_id"), "label_id").limit(max_labels), "labels")
 
 
-def bucket_counts(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(target, raw) n-gram counts per bucket of rows (good, text); collects one row per bucket."""
+def bucket_counts(rows: DataFrame, buckets: int) -> np.ndarray:
+    """n-gram counts per bucket of rows (fold, text): of the target texts of each fold, then of
+    all texts; collects one row per bucket."""
     def count(batches):
         forget_held()
-        hasher, counts = TokenHasher(), np.zeros((2, buckets), np.int64)
+        hasher, counts = TokenHasher(), np.zeros((FOLDS + 1, buckets), np.int64)
         for b in batches:
-            good = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            fold = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for first, end, bucket, owner in hasher.ngram_buckets(b.column(1), buckets):
-                counts[1] += np.bincount(bucket, minlength=buckets)
-                counts[0] += np.bincount(bucket[good[first:end][owner] > 0], minlength=buckets)
-        used = np.flatnonzero(counts[1])
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[0, used]), pa.array(counts[1, used])], ["bucket", "target", "raw"])
-
-    found = rows.mapInArrow(released(count), "bucket long, target long, raw long").groupBy("bucket").agg(
-        F.sum("target").alias("target"), F.sum("raw").alias("raw")).collect()
-    target, raw = np.zeros(buckets), np.zeros(buckets)
+                counts[FOLDS] += np.bincount(bucket, minlength=buckets)
+                of = fold[first:end][owner]
+                for k in np.unique(of[of >= 0]):
+                    counts[k] += np.bincount(bucket[of == k], minlength=buckets)
+        used = np.flatnonzero(counts[FOLDS])
+        yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(c[used]) for c in counts]], ["bucket", *names])
+
+    names = [f"n{k}" for k in range(FOLDS + 1)]
+    found = rows.mapInArrow(released(count), "bucket long, " + ", ".join(f"{n} long" for n in names)).groupBy("bucket").agg(
+        *[F.sum(n).alias(n) for n in names]).collect()
+    counts = np.zeros((FOLDS + 1, buckets))
     for r in found:
-        target[r["bucket"]], raw[r["bucket"]] = r["target"], r["raw"]
-    return target, raw
+        counts[:, r["bucket"]] = [r[n] for n in names]
+    return counts
 
 
 def best_cutoff(good: np.ndarray, bad: np.ndarray) -> float:
     """The mean log ratio from which on texts count as good: the split of the
-    labelled rows with the least weighted error, halfway between neighbours."""
-    if not len(good) or not len(bad):
+    labelled rows with the least weighted error, halfway between neighbours. The good
+    rows' share below a split is smoothed by a Gaussian kernel (Silverman's width)."""
+    if len(good) < FOLDS or not len(bad):
         return -np.inf
     values = np.unique(np.concatenate([good, bad]))
-    cuts = np.concatenate([[-np.inf], (values[1:] + values[:-1]) / 2])
-    lost = np.searchsorted(np.sort(good), cuts) / len(good)
+    cuts = (values[1:] + values[:-1]) / 2
+    spread = np.subtract(*np.percentile(good, [75, 25])) / 1.34
+    width = 0.9 * min(good.std(), spread or good.std()) * len(good) ** -0.2 + 1e-12
+    lost = np.array([below((c - good) / width).mean() for c in cuts])
     passed = 1 - np.searchsorted(np.sort(bad), cuts) / len(bad)
-    return float(cuts[np.argmin(lost + BAD_WEIGHT * passed)])
+    error = np.append(BAD_WEIGHT, lost + BAD_WEIGHT * passed)  # the first keeps everything
+    return float(np.append(-np.inf, cuts)[np.argmin(error)])
+
+
+def below(z: np.ndarray) -> np.ndarray:
+    """Standard normal distribution function."""
+    return np.array([0.5 * math.erfc(-x / math.sqrt(2)) for x in np.clip(z, -9, 9)])
 
 
 def mean_ratios(hasher: TokenHasher, texts: pa.Array, ratio: np.ndarray) -> np.ndarray:
@@ -84,14 +104,21 @@ def mean_ratios(hasher: TokenHasher, texts: pa.Array, ratio: np.ndarray) -> np.n
     return out
 
 
-def fitted(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, buckets: int) -> np.ndarray:
+def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     """Log ratio of the target and raw models per bucket (all zero without target texts)."""
+    if not target.sum():
+        return np.zeros(len(raw))
+    return np.log((target + PSEUDO) / (target.sum() + PSEUDO * len(raw))) - np.log((raw + PSEUDO) / (raw.sum() + PSEUDO * len(raw)))
+
+
+def fitted(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(log ratio per bucket, the same per fold without the fold's own texts)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.join(F.broadcast(known), F.col("id") == F.col("label_id"), "left")  # at most max_labels rows of 16 bytes
-    target, raw = bucket_counts(rows.select(F.coalesce(F.col("good") * (1 - F.col("toxic")), F.lit(0)).alias("good"), "text"), buckets)
-    if not target.sum():
-        return np.zeros(buckets)
-    return np.log((target + PSEUDO) / (target.sum() + PSEUDO * buckets)) - np.log((raw + PSEUDO) / (raw.sum() + PSEUDO * buckets))
+    target = F.when((F.col("good") == 1) & (F.col("toxic") == 0), F.col("fold")).otherwise(-1)
+    counts = bucket_counts(rows.select(target.cast("int").alias("fold"), "text"), buckets)
+    own, raw = counts[:FOLDS], counts[FOLDS]
+    return log_ratios(own.sum(axis=0), raw), np.array([log_ratios(own.sum(axis=0) - c, raw) for c in own])
 
 
 def noise(id_col: Column, text_hash: Column, seed: int) -> Column:
@@ -136,25 +163,34 @@ class Classifier:
                  label_id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str | None = "toxic"):
         self.id_col, self.text_col, self.scale, self.seed = id_col, text_col, scale, seed
         known = labelled(labels, label_id_col, quality_col, toxic_col, max_labels)
-        self.ratio = ratio = fitted(docs, known, id_col, text_col, buckets)
+        ratio, folds = fitted(docs, known, id_col, text_col, buckets)
+        self.ratio = ratio
 
         def score(batches):
             hasher = TokenHasher()
             for b in batches:
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(mean_ratios(hasher, b.column(2), ratio))],
-                                                 ["id", "noise", "log_ratio"])
+                out, fold, texts = mean_ratios(hasher, b.column(3), ratio), b.column(2), b.column(3)
+                held = np.full(len(out), np.nan)
+                for k in fold.unique().drop_null().to_pylist():
+                    at = np.flatnonzero(fold.fill_null(-1).to_numpy() == k)
+                    held[at] = mean_ratios(hasher, texts.take(pa.array(at)), folds[k])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out), pa.array(held, from_pandas=True)],
+                                                 ["id", "noise", "log_ratio", "held_ratio"])
 
         rows = docs.select(F.col(id_col).alias("id"), noise(F.col(id_col), F.xxhash64(F.col(text_col)), seed).alias("noise"),
                            F.col(text_col).cast("string").alias("text"))
-        scores = written(rows.mapInArrow(released(score), f"id {dict(rows.dtypes)['id']}, noise double, log_ratio double"), "scores")
+        rows = rows.join(F.broadcast(known), F.col("id") == F.col("label_id"), "left").select("id", "noise", "fold", "text")
+        scores = written(rows.mapInArrow(released(score), f"id {dict(rows.dtypes)['id']}, noise double, log_ratio double, held_ratio double"), "scores")
         weight = F.col("log_ratio") * scale
         self.scores = scores.select("id", "log_ratio", weight.alias("log_weight"), (weight + F.col("noise")).alias("draw"))
+        self.cutoff = -np.inf
         if k is None:
             keep = F.when(F.col("toxic") == 1, 0).otherwise(F.col("good"))  # as in the fit
-            seen = self.scores.join(F.broadcast(known), F.col("id") == F.col("label_id")).groupBy(keep.alias("good"), "log_ratio").count().collect()
-            split = [np.repeat([r["log_ratio"] for r in seen if r["good"] == g], [r["count"] for r in seen if r["good"] == g]) for g in (1, 0)]
-            cutoff = best_cutoff(*split) if ratio.any() else -np.inf
-            k = self.scores.filter(F.col("log_ratio") >= F.lit(float(cutoff))).count()
+            seen = scores.filter("held_ratio is not null").join(F.broadcast(known), F.col("id") == F.col("label_id"))
+            seen = seen.groupBy(keep.alias("good"), "held_ratio", "label_id").count().collect()  # at most max_labels ids
+            split = [np.array([r["held_ratio"] for r in seen if r["good"] == g]) for g in (1, 0)]
+            self.cutoff = best_cutoff(*split) if ratio.any() else -np.inf
+            k = self.scores.filter(F.col("log_ratio") >= F.lit(float(self.cutoff))).count()
         self.least = least_draw(self.scores, k)
 
     def report(self) -> DataFrame:

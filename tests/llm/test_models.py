@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import edge
@@ -161,16 +162,55 @@ def test_token_hashes_depend_on_tokens_only():
     assert set(whole[0]) < set(whole[1]) | set(whole[0]) and set(whole[4]) < set(whole[0])
 
 
-def test_classifier_separates_labelled_documents(spark, sf):
-    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
-    fit, held = labels.filter("doc_id % 2 = 0"), labels.filter("doc_id % 2 = 1")
-    got = quality_classifier.resample(docs, fit)
+@pytest.mark.parametrize(("scale", "half"), [("sf0.001", 0), ("sf0.001", 1), ("sf0.01", 0), ("sf0.01", 1)])
+def test_classifier_separates_held_out_labels(spark, scale, half):
+    """Fitted on half of the labels; of the other half nearly all clean documents stay, and most bad ones go."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{scale}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_classifier.resample(docs, labels.filter(f"doc_id % 2 = {half}"))
     assert got.count() == docs.count()
-    seen = got.join(held, "doc_id").filter("toxic = 0").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    held = labels.filter(f"doc_id % 2 = {1 - half} and toxic = 0")
+    seen = got.join(held, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
     share = {r.quality: r.kept for r in seen}
     assert share[1] > 0.97 and share.get(0, 0) < 0.5
 
 
+def test_few_labels_reject_nothing(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    few = labels.filter("quality = 1 and toxic = 0").limit(3).union(labels.filter("quality = 0").limit(3))
+    assert quality_classifier.accepted(docs, few).count() == docs.count()
+
+
+def xx(value, seed):
+    return xxhash.xxh64_intdigest(value if isinstance(value, bytes) else value.to_bytes(8, "little", signed=True), seed)
+
+
+def test_ratios_weights_and_draws_by_brute_force(spark, sf):
+    """Counts in dictionaries, one text at a time; noise from the hashes' definition."""
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = {r.doc_id: r for r in quality_classifier.resample(docs, labels).collect()}
+    rows, label = docs.collect(), {r.doc_id: r for r in labels.collect()}
+    size, pseudo = quality_classifier.BUCKETS, quality_classifier.PSEUDO
+    grams, target, raw = {}, collections.Counter(), collections.Counter()
+    for r in rows:
+        found = [b.tolist() for _, _, b, _ in TokenHasher().ngram_buckets(pa.array([r.text]), size)]
+        grams[r.doc_id] = [x for part in found for x in part]
+        raw.update(grams[r.doc_id])
+        if r.doc_id in label and label[r.doc_id].quality == 1 and label[r.doc_id].toxic == 0:
+            target.update(grams[r.doc_id])
+    nt, nr = sum(target.values()) + pseudo * size, sum(raw.values()) + pseudo * size
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    for r in rows:
+        g = grams[r.doc_id]
+        mean = sum(math.log((target[b] + pseudo) / nt) - math.log((raw[b] + pseudo) / nr) for b in g) / max(1, len(g))
+        text_hash = signed(xx(r.text.encode(), 42))
+        toss = (signed(xx(text_hash, xx(r.doc_id, xx(quality_classifier.SEED, 42)))) % (1 << 53) + 0.5) / (1 << 53)
+        seen = got[r.doc_id]
+        assert math.isclose(seen.log_ratio, mean, abs_tol=1e-9) and math.isclose(seen.log_weight, 200 * mean, abs_tol=1e-6)
+        assert math.isclose(seen.draw, 200 * mean - math.log(-math.log(toss)), abs_tol=1e-6)
+    least = min(r.draw for r in got.values() if r.kept)
+    assert all(r.kept == (r.draw >= least) for r in got.values())
+
+
 def test_toxic_labels_are_bad_when_the_cutoff_is_chosen(spark):
     rng = np.random.default_rng(11)
     docs = [(i, " ".join(rng.choice([f"{'vile' if i % 4 == 0 else 'fair'}{k}" for k in range(20)], 40))) for i in range(80)]
