@@ -35,6 +35,10 @@ def _norm(v):
     return v
 
 
+def _nulls_first(row):
+    return [(v is not None, v) for v in row]
+
+
 @pytest.mark.parametrize("key", FAST)
 def test_oracle_parity_sf0001(spark, sf, key):
     con = duckdb.connect()
@@ -42,12 +46,12 @@ def test_oracle_parity_sf0001(spark, sf, key):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     df = entry.queries()[key](spark, sf)
     cols = sorted(df.columns)
-    got = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
+    got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_nulls_first)
     cur = con.execute(entry.oracle_sql()[key])
     names = [d[0] for d in cur.description]
     assert sorted(names) == cols
     idx = [names.index(c) for c in cols]
-    exp = sorted(tuple(_norm(r[i]) for i in idx) for r in cur.fetchall())
+    exp = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=_nulls_first)
     assert got == exp
 
 
