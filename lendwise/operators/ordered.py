@@ -16,10 +16,12 @@ split each group across range partitions instead:
    equality on the keys the rows are already partitioned by: full rows are
    shuffled once, only the tail table moves again.
 
-Quantiles need no order of the rows at all: a sketch brackets each target
-rank, one pass counts the values below and inside the brackets (map-side, so
-a value held by a third of the rows is one row per task), and only the counted values inside
-the narrow brackets are ranked.
+Quantiles need no order of the rows at all. They are a distributed selection: a
+sketch brackets each target rank; while a bracket may hold more than a fixed number
+of candidates, a pass counts the rows of the brackets and narrows each by a sketch
+of its own rows; a last pass counts the rows below and each value inside (map-side, so
+a value held by a third of the rows is one row per task). Only that fixed number of
+counted values per rank meets in one row, whatever the input.
 
 Built on these: global/grouped positions, exact quantiles, lag, dense codes.
 """
@@ -187,52 +189,124 @@ def ordered_lag(df: DataFrame, group: Sequence[str] | str, order: Sequence[str],
     return local.join(tails, keys, "left").select(*df.columns, *outs)
 
 
-# Accuracy of the bracketing sketch: a group of n rows has at most about
-# 8 n / ACCURACY values inside a bracket (all of them while n <= ACCURACY).
-ACCURACY = 10_000
+# Rank error of a sketch (1/ACCURACY), counted values that may be left per target
+# rank, and cells into which a narrowing pass cuts a bracket.
+ACCURACY, CANDIDATES, GRID = 10_000, 5_000, 512
+
+
+def _place(probs: int) -> dict[str, Column]:
+    """How many brackets (in the order of their ranks) start at or below ``_x``, and how many
+    end below it. ``_x`` lies in bracket i if ``_a`` exceeds i and ``_b`` does not."""
+    return {"_a": F.expr(" + ".join(f"CAST(_lo[{i}] <= _x AS INT)" for i in range(probs))),
+            "_b": F.expr(" + ".join(f"CAST(_hi[{i}] < _x AS INT)" for i in range(probs)))}
+
+
+def _rank(q: float, side: str) -> str:
+    """0-based rank at or below (floor) or above (ceil) a probability's place among ``_n`` values."""
+    return f"{side}({q!r}D * (_n - 1))"
+
+
+def _narrowed(d: DataFrame, brackets: DataFrame, group: list[str], ps: list[float], accuracy: int) -> DataFrame:
+    """Brackets cut down to a few cells of GRID. One pass counts the rows of every stretch
+    between bracket ends and sketches the stretches inside brackets; the stretch that holds a
+    target rank, and the rank's place in it, give the next bracket. At most 2 x #probs + 1 stretches per group."""
+    from lendwise.operators.joins import join_fitted
+
+    rows = join_fitted(d, brackets, group).withColumns(_place(len(ps)))
+    grid = ", ".join(f"{m / GRID!r}D" for m in range(GRID + 1))
+    cells = rows.groupBy(*group, "_n", "_a", "_b").agg(
+        F.count(F.lit(1)).alias("_c"), F.expr(f"percentile_approx(CASE WHEN _a > _b THEN _x END, array({grid}), {accuracy})").alias("_g"))
+    per = cells.groupBy(*group, "_n").agg(F.expr("array_sort(collect_list(named_struct('at', _a + _b, 'c', _c, 'g', _g)))").alias("_cells"))
+
+    def bound(q: float, side: str) -> str:
+        rank = _rank(q, side)
+        share, slack = f"({rank} - hit.before) / hit.c * {GRID}", f"({2 * GRID} / hit.c + {1 + 2 * GRID / accuracy})"  # two ranks, one cell, the sketch's error
+        at = f"greatest(floor({share} - {slack}), 0)" if side == "floor" else f"least(ceil({share} + {slack}), {GRID})"
+        none = "CAST(NULL AS STRUCT<before: BIGINT, c: BIGINT, g: ARRAY<DOUBLE>>)"
+        hit = f"""aggregate(_cells, named_struct('cum', 0L, 'hit', {none}), (acc, e) -> named_struct('cum', acc.cum + e.c, 'hit',
+            coalesce(acc.hit, CASE WHEN acc.cum + e.c > {rank} THEN named_struct('before', acc.cum, 'c', e.c, 'g', e.g) END)), acc -> acc.hit)"""
+        return f"transform(array({hit}), hit -> get(hit.g, CAST({at} AS INT)))[0]"
+
+    return per.select(*group, "_n", *[F.expr(f"array({', '.join(bound(q, side) for q in ps)})").alias(name) for side, name in (("floor", "_lo"), ("ceil", "_hi"))])
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     group: Sequence[str] | str | None = None,
-                    accuracy: int = ACCURACY) -> DataFrame:
+                    accuracy: int = ACCURACY, candidates: int = CANDIDATES) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas ``quantile`` default,
     SQL ``percentile_cont``); nulls and NaN are ignored.
 
-    Two passes, no sort of the rows: (1) per group the count and a mergeable
-    sketch whose rank error (1/accuracy) gives a value bracket around every
-    target rank; (2) per group and bracket, the count of values below it and of each
-    value inside, both combined map-side. Only those counted values are ranked, by a
-    window over (group, prob) of at most about 8 n / accuracy rows.
+    Distributed selection: (1) per group the count and a mergeable sketch, whose rank error is
+    1/accuracy, give a bracket around every target rank; (2) while the brackets of the
+    largest group may hold more than ``candidates`` rows, a pass narrows them
+    (``_narrowed``; none is needed up to about 700 x candidates rows in a group); (3) a pass counts, combined
+    map-side, the rows below each bracket and each value inside. The at most ``candidates`` counted values
+    of a rank are put in order within one row. A target that is not inside its
+    bracket is an error, never a wrong number.
 
     Returns ``(*group, prob, value)``."""
-    from lendwise.operators.joins import join_fitted
-
-    group, ps = _cols(group), [float(q) for q in probs]
+    group, asked = _cols(group), [float(q) for q in probs]
+    ps = sorted(set(asked))  # brackets in the order of their ranks
     x = F.col(value).cast("double")
     d = df.select(*group, F.when(~F.isnan(x), x).alias("_x")).where(F.col("_x").isNotNull())
-    margin = 3.0 / accuracy
-    at = [min(1.0, max(0.0, q + m)) for q in ps for m in (-margin, margin)]
-    sketch = F.percentile_approx("_x", F.array(*[F.lit(q) for q in at]), accuracy)
-    fit = d.groupBy(*group).agg(F.count("_x").alias("_n"), F.min("_x").alias("_least"), F.max("_x").alias("_most"), sketch.alias("_s"))
-    small = F.col("_n") <= accuracy
-    low = [F.when(small | F.lit(q - margin <= 0), F.col("_least")).otherwise(F.col("_s")[2 * i]) for i, q in enumerate(ps)]
-    high = [F.when(small | F.lit(q + margin >= 1), F.col("_most")).otherwise(F.col("_s")[2 * i + 1]) for i, q in enumerate(ps)]
-    brackets = F.array(*[F.struct(F.lit(q).alias("prob"), lo.alias("lo"), hi.alias("hi"))
-                         for q, lo, hi in zip(ps, low, high, strict=True)])
-    fit = fit.select(*group, "_n", brackets.alias("_b"))
-    j = join_fitted(d, fit, group)
-    inside = F.filter("_b", lambda b: F.col("_x") <= b["hi"])
-    seen = j.select(*group, "_n", "_x", F.explode(inside).alias("_b"))
-    seen = seen.select(*group, "_n", F.col("_b.prob").alias("prob"), F.when(F.col("_x") >= F.col("_b.lo"), F.col("_x")).alias("_v"))
-    counted = seen.groupBy(*group, "_n", "prob", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*group, "_n", "prob").orderBy(F.col("_v").asc_nulls_first())
-    k = F.col("prob") * (F.col("_n") - 1)
-    end = F.sum("_c").over(w)
-    ranked = counted.select(*group, "_n", "prob", "_v", (end - F.col("_c")).alias("_a"), end.alias("_e"))
-    holds = lambda pos: (F.col("_a") <= pos) & (pos < F.col("_e"))
-    agg = ranked.groupBy(*group, "_n", "prob").agg(
-        F.max(F.when(holds(F.floor(k)), F.col("_v"))).alias("_lo"), F.max(F.when(holds(F.ceil(k)), F.col("_v"))).alias("_hi"))
-    return agg.select(*group, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (k - F.floor(k))).alias("value"))
+    brackets, narrowings = _brackets(d, group, ps, accuracy, candidates)
+    for _ in range(narrowings):
+        brackets, _ = _held(_narrowed(d, brackets, group, ps, accuracy))
+    ends = [F.expr(_at_rank(f"_v{i}", f"_below{i}", _rank(q, side))).alias(f"_{side}{i}") for i, q in enumerate(ps) for side in ("floor", "ceil")]
+    found = _counted(d, brackets, group, len(ps)).select(*group, "_n", *ends)
+    pairs = ", ".join(f"named_struct('prob', {q!r}D, 'value', _floor{i} + (_ceil{i} - _floor{i}) * ({q!r}D * (_n - 1) - {_rank(q, 'floor')}))"
+                      for q in asked for i in [ps.index(q)])
+    return found.select(*group, F.expr(f"inline(array({pairs}))"))
+
+
+def _held(fitted: DataFrame) -> tuple[DataFrame, int]:
+    """(table of one row per group, computed once; its largest ``_n``): a local table up to the size that
+    ``join_fitted`` broadcasts, else written to the shared folder (which also cuts the lineage)."""
+    from lendwise.operators.joins import FITTED_ROWS
+    from lendwise.sources.files import scratch_path
+
+    rows = fitted.limit(FITTED_ROWS + 1).collect()
+    if len(rows) <= FITTED_ROWS:
+        return fitted.sparkSession.createDataFrame(rows, fitted.schema), max((r["_n"] for r in rows), default=0)
+    path = scratch_path(fitted.sparkSession, "brackets")
+    fitted.write.parquet(path)
+    table = fitted.sparkSession.read.schema(fitted.schema).parquet(path)
+    return table, table.agg(F.max("_n").alias("n")).first()["n"]
+
+
+def _brackets(d: DataFrame, group: list[str], ps: list[float], accuracy: int, candidates: int) -> tuple[DataFrame, int]:
+    """(brackets: group, _n, _lo, _hi by rank; narrowing passes that the largest group needs)."""
+    margin = 3.0 / min(accuracy, candidates)
+    at = ", ".join(f"{min(1.0, max(0.0, q + m))!r}D" for q in ps for m in (-margin, margin))
+    fit = d.groupBy(*group).agg(F.expr("count(_x)").alias("_n"), F.expr("min(_x)").alias("_least"), F.expr("max(_x)").alias("_most"),
+                                F.expr(f"percentile_approx(_x, array({at}), {accuracy})").alias("_s"))
+    low = ", ".join("_least" if q - margin <= 0 else f"if(_n <= {candidates}, _least, _s[{2 * i}])" for i, q in enumerate(ps))
+    high = ", ".join("_most" if q + margin >= 1 else f"if(_n <= {candidates}, _most, _s[{2 * i + 1}])" for i, q in enumerate(ps))
+    brackets, most = _held(fit.select(*group, "_n", F.expr(f"array({low})").alias("_lo"), F.expr(f"array({high})").alias("_hi")))
+    left, narrowings = 2 * (margin + 1.0 / accuracy) * most + 2, 0
+    while left > candidates and most > candidates:
+        left, narrowings = left * (4.0 / GRID + 6.0 / accuracy) + 8, narrowings + 1
+        if narrowings > 20:
+            raise ValueError(f"{candidates} candidates are too few to end on")
+    return brackets, narrowings
+
+
+def _counted(d: DataFrame, brackets: DataFrame, group: list[str], probs: int) -> DataFrame:
+    """Per group ``_n`` and, for each rank, the rows below its bracket and the (value, count) pairs inside."""
+    from lendwise.operators.joins import join_fitted
+
+    rows = join_fitted(d, brackets, group).withColumns(_place(probs))
+    counted = rows.groupBy(*group, "_n", "_a", "_b", F.expr("CASE WHEN _a > _b THEN _x END").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    return counted.groupBy(*group, "_n").agg(
+        *[F.expr(f"coalesce(sum(CASE WHEN _a <= {i} THEN _c END), 0L)").alias(f"_below{i}") for i in range(probs)],
+        *[F.expr(f"array_sort(collect_list(CASE WHEN _a > {i} AND _b <= {i} THEN named_struct('v', _v, 'c', _c) END))").alias(f"_v{i}") for i in range(probs)])
+
+
+def _at_rank(values: str, below: str, rank: str) -> str:
+    """The value at a 0-based rank of (value, count) pairs in order, ``below`` rows coming before them."""
+    return f"""aggregate({values}, named_struct('cum', {below}, 'hit', CAST(NULL AS DOUBLE)), (acc, e) -> named_struct('cum', acc.cum + e.c, 'hit',
+        coalesce(acc.hit, CASE WHEN acc.cum <= {rank} AND {rank} < acc.cum + e.c THEN e.v END)),
+        acc -> coalesce(acc.hit, CAST(raise_error('the rank of a quantile lies outside its bracket') AS DOUBLE)))"""
 
 
 def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float],
