@@ -6,15 +6,12 @@ maps), so the very same transform serves a batch DataFrame and a Structured
 Streaming one - a single record is never re-fitted. ``model.lookup(spark)``
 returns the lookup table (feature, original_value, encoded_value).
 
-Fit cost: a fixed number of passes over the (persisted, projected) input,
-whatever the number of statistics - one grouped aggregate (rate by status,
-min/max for scaling), one grouped count over all unpivoted string columns
-(distinct-value counts and global modes; the bounded category values are
-collected only after their size check), one distributed exact-quantile pass
-over all numeric features at once (or one sketch pass with
-``approx=True``), and two small grouped-mode passes that depend on the
-income terciles. Every collected parameter has a size bound that is checked
-(category lists, group tables), never silently capped.
+A fit is a set of parts that merge (``fit_state``): each batch of input is read twice, by different
+columns (counts per value; the few numeric columns projected), and what
+follows reads the small tables of the shared folder: two reads of the counts, one distributed
+selection over all numeric features at once (or one sketch pass with ``approx=True``), and the
+titles per income tercile. Nothing is persisted on executors. Every
+collected parameter has a size bound that is checked (category lists), never silently capped.
 """
 
 from __future__ import annotations
@@ -22,21 +19,17 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendwise.functions import features as fx
 from lendwise.operators import encode as enc
-from lendwise.operators import ordered
-from lendwise.operators.impute import mode_values
-from lendwise.operators.outliers import iqr_fences
+from lendwise.plans.fit_state import FitState
 from lendwise.schema import normalise_names
 
 # Canonical spellings of the loan type (fixed values of the reference).
 TYPE_CANON = {"INDIVIDUAL": "Individual", "JOINT": "Joint App"}
-TERCILE_LABELS = ["q1", "q2", "q3"]
 FIT_COLUMNS = ["loan_status", "int_rate", "loan_amount", "funded_amount", "home_ownership",
                "verification_status", "type", "state", "addr_state", "term", "grade", "emp_length",
                "emp_title", "annual_inc", "annual_inc_joint", "avg_cur_bal", "tot_cur_bal"]
@@ -194,143 +187,26 @@ class LoanPrepModel:
 def _map(d: dict) -> Column:
     if not d:
         return F.create_map().cast(T.MapType(T.StringType(), T.StringType()))
-    return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])
+    return F.map_from_arrays(F.lit(list(d)), F.lit(list(d.values())))
+
+
+def fit_columns(raw: DataFrame) -> DataFrame:
+    """The columns that a fit reads, names and types of loan made canonical."""
+    df = normalise_names(raw) if any(c != c.lower() or " " in c for c in raw.columns) else raw
+    return df.replace(TYPE_CANON, subset=["type"]).select(*FIT_COLUMNS)
 
 
 class LoanPrep:
     def __init__(self, config: LoanPrepConfig | None = None):
         self.config = config or LoanPrepConfig()
 
-    def fit(self, raw: DataFrame) -> LoanPrepModel:
-        cfg = self.config
-        df = normalise_names(raw) if any(c != c.lower() or " " in c for c in raw.columns) else raw
-        df = df.replace(TYPE_CANON, subset=["type"]).select(*FIT_COLUMNS)
-        # The fit reads its input several times: keep the projected columns
-        # (memory, spilling to disk) for the duration of the fit only. A lost
-        # executor's blocks are recomputed from lineage.
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return LoanPrepModel(cfg, self._fit(df))
-        finally:
-            df.unpersist()
-
-    def _fit(self, df: DataFrame) -> dict:
-        cfg = self.config
-        p: dict = {}
-
-        # Pass 1: rate statistics by status and scaling ranges, one aggregate.
-        by_status = df.groupBy("loan_status").agg(
-            F.avg("int_rate").alias("m"), F.sum("int_rate").alias("s"), F.count("int_rate").alias("c"),
-            F.count(F.lit(1)).alias("n"),
-            F.min("loan_amount").alias("la0"), F.max("loan_amount").alias("la1"),
-            F.min("funded_amount").alias("fa0"), F.max("funded_amount").alias("fa1"),
-        ).limit(cfg.max_categories + 1).collect()
-        _check(len(by_status), cfg.max_categories, "loan_status")
-        means = {r["loan_status"]: r["m"] for r in by_status if r["loan_status"] is not None and r["m"] is not None}
-        p["rate_group_means"] = means
-        # Mean of the group-filled rate, from the same aggregate (no second pass).
-        tot = sum(r["s"] or 0.0 for r in by_status)
-        cnt = sum(r["c"] for r in by_status)
-        for r in by_status:
-            if r["loan_status"] in means:
-                tot += (r["n"] - r["c"]) * means[r["loan_status"]]
-                cnt += r["n"] - r["c"]
-        p["mean_int_rate"] = tot / cnt if cnt else None
-
-        def _ext(key, fn):
-            vals = [r[key] for r in by_status if r[key] is not None]
-            return fn(vals) if vals else None
-        p["minmax"] = {"loan_amount": [_ext("la0", min), _ext("la1", max)],
-                       "funded_amount": [_ext("fa0", min), _ext("fa1", max)]}
-
-        # Pass 2: category lists and global modes, one grouped pass over the
-        # unpivoted string columns. Category lists are bounded and checked;
-        # free-text columns (emp_title) only contribute their mode.
-        cat_cols = {
-            "home_ownership": F.lower("home_ownership"),
-            "verification_status": fx.standardise_text("verification_status"),
-            "type": F.lower("type"), "state": F.col("state"), "addr_state": F.col("addr_state"),
-            "term": F.col("term"), "grade_category": fx.grade_letter("grade"),
-        }
-        mode_cols = {"emp_length": F.col("emp_length"), "emp_title": F.col("emp_title")}
-        allc = {**cat_cols, **mode_cols}
-        counts = (df.select(*[e.cast("string").alias(k) for k, e in allc.items()])
-                  .unpivot([], list(allc), "feature", "value").where(F.col("value").isNotNull())
-                  .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_n")))
-        per_feature = counts.groupBy("feature").agg(
-            F.min_by("value", F.struct((-F.col("_n")).alias("n"), F.col("value").alias("v"))).alias("mode"),
-            F.count(F.lit(1)).alias("n_values"),
-        ).collect()
-        got = {r["feature"]: r for r in per_feature}
-        for k in cat_cols:
-            _check(got[k]["n_values"] if k in got else 0, cfg.max_categories, k)
-        # Only after the size check: the (bounded) category values themselves.
-        vals = counts.where(F.col("feature").isin(list(cat_cols))).select("feature", "value").collect()
-        cats: dict[str, list] = {k: [] for k in cat_cols}
-        for r in vals:
-            cats[r["feature"]].append(r["value"])
-        for k in cats:
-            cats[k].sort()
-        p["home_ownership_categories"] = cats["home_ownership"]
-        p["verification_categories"] = cats["verification_status"]
-        p["type_categories"] = cats["type"]
-        p["state_codes"] = {v: i for i, v in enumerate(cats["state"])}
-        p["addr_state_codes"] = {v: i for i, v in enumerate(cats["addr_state"])}
-        p["grade_category_codes"] = {v: i for i, v in enumerate(cats["grade_category"])}
-        p["term_values"] = [[v, int(d)] for v in cats["term"] for d in [_digits(v)] if d is not None]
-        p["emp_length_mode"] = got["emp_length"]["mode"] if "emp_length" in got else None
-
-        # Pass 3: quantiles of every numeric feature at once (distributed exact,
-        # or one sketch pass with approx=True).
-        joint = F.coalesce(F.col("annual_inc_joint"),
-                           F.col("annual_inc") if cfg.joint_fill == "income" else F.lit(0.0))
-        income_base = fx.safe_ln("annual_inc") if cfg.income_scale == "log" else F.col("annual_inc")
-        feats = df.select(F.col("annual_inc").alias("annual_inc"), income_base.alias("annual_log"),
-                          fx.safe_ln(joint).alias("annual_logj"),
-                          fx.safe_ln1p("avg_cur_bal").alias("log_avg_cur_bal"),
-                          fx.safe_ln1p("tot_cur_bal").alias("log_tot_cur_bal"))
-        probs = [1 / 3, 2 / 3, 0.25, 0.75, 0.05, 0.95]
-        q = _quantiles(feats, list(feats.columns), probs, cfg.approx)
-        terciles = q["annual_inc"][0:2]
-        if terciles[0] is None or terciles[1] is None or not terciles[0] < terciles[1]:
-            raise ValueError(f"income tercile edges must be unique: {terciles}")
-        p["income_terciles"] = terciles
-        p["annual_inc_caps"] = list(iqr_fences(q["annual_log"][2], q["annual_log"][3]))
-        p["joint_caps"] = list(iqr_fences(q["annual_logj"][2], q["annual_logj"][3]))
-        p["avg_cur_bal_caps"] = [q["log_avg_cur_bal"][4], q["log_avg_cur_bal"][5]]
-        p["tot_cur_bal_lower"] = iqr_fences(q["log_tot_cur_bal"][2], q["log_tot_cur_bal"][3])[0]
-
-        # Pass 4: emp_title mode per income tercile; pass 5: mode after that
-        # fill (fallback for rows without a tercile).
-        inc = F.col("annual_inc")
-        tercile = F.when(inc <= terciles[0], "q1").when(inc <= terciles[1], "q2").when(inc.isNotNull(), "q3")
-        gm = mode_values(df.withColumn("income_category", tercile), "emp_title", ["income_category"]).collect()
-        p["emp_title_group_modes"] = {r["income_category"]: r["mode"] for r in gm if r["income_category"]}
-        filled_title = F.coalesce(F.col("emp_title"), _map(p["emp_title_group_modes"])[tercile])
-        m = mode_values(df.select(filled_title.alias("emp_title")), "emp_title").collect()
-        p["emp_title_mode"] = m[0]["mode"] if m else None
-        return p
-
-
-def _digits(s: str):
-    import re
-    m = re.search(r"[0-9]+", s or "")
-    return int(m.group()) if m else None
-
-
-def _check(n: int, bound: int, what: str) -> None:
-    if n > bound:
-        raise ValueError(f"{what}: more than {bound} distinct values; raise max_categories "
-                         f"or encode it with the distributed encoders in operators.encode")
-
+    def fit(self, raw: DataFrame, state: FitState | None = None, part: str | None = None) -> LoanPrepModel:
+        """Fit on ``raw`` together with the parts that ``state`` already holds."""
+        state = state or FitState(raw.sparkSession)
+        return self.model(state.add(fit_columns(raw), part))
 
-def _quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool) -> dict[str, list]:
-    long = ordered.long_form(df, cols)
-    rows = ordered.quantiles(long, "value", probs, group=["feature"], approx=approx).collect()
-    got: dict[str, dict] = {c: {} for c in cols}
-    for r in rows:
-        got[r["feature"]][round(r["prob"], 12)] = r["value"]
-    return {c: [got[c].get(round(p, 12)) for p in probs] for c in cols}
+    def model(self, state: FitState) -> LoanPrepModel:
+        return LoanPrepModel(self.config, state.params(self.config))
 
 
 def clean(df: DataFrame, config: LoanPrepConfig | None = None) -> tuple[DataFrame, DataFrame]:

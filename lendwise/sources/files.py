@@ -64,15 +64,42 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop: works for HDFS and object stores, not only local disks."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of the path (works for
-    HDFS / object stores, not only local disks)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _hadoop(spark, path)
     return bool(fs.exists(p))
 
 
+def publish(spark: SparkSession, path: str, text: str = "") -> None:
+    """A small file that appears whole or not at all: written under another name, then renamed."""
+    fs, p = _hadoop(spark, path)
+    _, hidden = _hadoop(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
+    out = fs.create(hidden)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(hidden, p):
+        raise OSError(f"{path} could not be published")
+
+
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder (without hidden ones), in order; none where there is no folder."""
+    fs, p = _hadoop(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n for n in names if n[0] not in "._")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
 def cached_or_compute(spark: SparkSession, path: str, compute, fmt: str = "parquet") -> DataFrame:
     """Reuse stored output if it is complete (its ``_SUCCESS`` mark exists), else compute, write and read it
     back (the written table also cuts the lineage)."""
