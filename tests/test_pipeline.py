@@ -9,6 +9,7 @@ from lendwise.plans import registry_io as rio
 from lendwise.sources import files
 from lendwise.sources.params import ParamStore
 from lendwise.streaming import stream
+from lendwise.streaming.sink import CommittedTable
 
 
 @pytest.fixture(scope="module")
@@ -85,12 +86,13 @@ def test_sentinel_in_middle_of_batch_is_dropped(spark, fitted):
     assert sorted(r["loan_id"] for r in got.collect()) == [1, 2]
 
 
-def test_replayed_batch_overwrites_itself(spark, fitted):
-    """T5: a micro-batch written twice under the same batch id (a replay after
-    a failure) leaves one copy, because each batch owns batch_id=N."""
+def test_replayed_batch_replaces_itself(spark, fitted):
+    """T5: a micro-batch committed twice under the same name (a replay after
+    a failure) leaves one copy."""
     df, model = fitted
-    sink = files.scratch_path(spark, "t-replay")
+    table = CommittedTable(spark, files.scratch_path(spark, "t-replay"))
     part = model.transform(df.limit(50))
+    table.declare("clean", part.schema)
     for _ in range(2):
-        part.write.mode("overwrite").parquet(f"{sink}/batch_id=3")
-    assert stream.read_sink(spark, sink).count() == 50
+        table.commit("stream-3", part.withColumn("kind", F.lit("clean")))
+    assert stream.read_sink(spark, table.path).count() == 50

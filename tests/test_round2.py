@@ -143,12 +143,13 @@ def test_incomplete_output_is_computed_again(spark, tmp_path):
     assert files.cached_or_compute(spark, path, one).count() == 5
 
 
-def test_malformed_message_is_an_error(spark):
+def test_malformed_message_is_a_dead_letter(spark):
     schema = stream.message_schema()
-    good = spark.createDataFrame([('{"loan_id": 7}',), ('"EOF"',)], "value string")
-    assert sorted(str(r["loan_id"]) for r in stream.decode(good, schema).collect()) == ["7", "None"]
-    with pytest.raises(Exception, match="MALFORMED|malformed"):
-        stream.decode(spark.createDataFrame([("{not json",)], "value string"), schema).collect()
+    rows = ['{"loan_id": 7}', '"EOF"', "{not json", '{"loan_id": "x"}', "[1]", "5", "  ", '{"loan_id": 8, "other": 1}']
+    got = stream.decode(spark.createDataFrame([(v,) for v in rows], "value string"), schema).collect()
+    assert sorted(str(r["loan_id"]) for r in got if not r["_dead"]) == ["7", "8", "None"]
+    assert sorted(r["_dead"]["value"] for r in got if r["_dead"]) == sorted(["{not json", '{"loan_id": "x"}', "[1]", "5"])
+    assert all(r["loan_id"] is None for r in got if r["_dead"])
 
 
 def test_a_cluster_without_a_shared_folder_is_an_error():
