@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from lendwise.functions import features as fx
 from lendwise.operators import ordered
 from lendwise.operators.joins import join_fitted
+from lendwise.schema import nan_to_null
+
+
+# One rule for NaN: it is missing, as null is, in every report here (``nan_to_null``).
 
 
 def _cols(xs) -> list[str]:
@@ -33,14 +37,14 @@ def _transpose(row_df: DataFrame, names: Sequence[str], fields: Sequence[str],
 
 def missing_pct(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Q1: percent of nulls per column, one aggregate for all columns."""
-    cols = _cols(columns) or df.columns
+    cols, df = _cols(columns) or df.columns, nan_to_null(df)
     agg = df.agg(*[(F.avg(F.col(c).isNull().cast("int")) * 100).alias(f"{c}__missing_pct") for c in cols])
     return _transpose(agg, cols, ["missing_pct"])
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Q15: null count per column (0 everywhere after imputation)."""
-    cols = _cols(columns) or df.columns
+    cols, df = _cols(columns) or df.columns, nan_to_null(df)
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}__null_count") for c in cols])
     return _transpose(agg, cols, ["null_count"])
 
@@ -49,7 +53,7 @@ def null_count_by_group(df: DataFrame, value: str, group: Sequence[str] | str,
                         with_mean: bool = True) -> DataFrame:
     """Q2: nulls of ``value`` (and its mean) per group; null keys dropped as
     pandas ``groupby`` does."""
-    group = _cols(group)
+    group, df = _cols(group), nan_to_null(df)
     aggs = [F.count_if(F.col(value).isNull()).alias("missing_values")]
     if with_mean:
         aggs.append(F.avg(value).alias("mean_value"))
@@ -63,7 +67,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Q3: count, mean, std, min, 25/50/75 %, max per column (exact
     quantiles, pandas ``describe``). One unpivot, one grouped aggregate, one
     grouped distributed quantile pass."""
-    long = ordered.long_form(df, columns)
+    long = ordered.long_form(nan_to_null(df), columns)
     basic = long.groupBy("feature").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
@@ -79,18 +83,20 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Q4: rows that repeat an earlier row (by ``key`` order) on ``columns``
-    (default: all but the key). Aggregate the first key per value combination,
-    join back; a hot duplicate group is split by AQE's skew join, not funnelled
-    through one window task."""
+    """Q4: rows that repeat an earlier row (by ``key`` order) on ``columns`` (default: all but the key).
+
+    128-bit fingerprints are counted first (slim rows, combined map-side). Only rows whose
+    fingerprint occurs twice are looked at in full: the first key per combination of values, compared exactly,
+    then the rows that are not the first. Both small tables are broadcast behind a size check (``join_fitted``), so
+    full rows do not move at all in the common case, else the suspected ones once. A hot group is one
+    combined row per task, never one task."""
     cols = _cols(columns) or [c for c in df.columns if c != key]
-    first = df.groupBy(*cols).agg(F.min(key).alias("_first")).alias("f")
-    cond = None
-    for c in cols:
-        e = F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}"))
-        cond = e if cond is None else cond & e
-    j = df.alias("d").join(first, cond)
-    return j.where(F.col(f"d.{key}") != F.col("f._first")).select(*[F.col(f"d.{c}") for c in df.columns])
+    f1, f2 = "_lw_print1", "_lw_print2"
+    rows = df.withColumns({f1: F.xxhash64(*cols), f2: F.xxhash64(F.lit(1), *cols)})
+    repeated = rows.groupBy(f1, f2).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    suspects = join_fitted(rows, repeated, [f1, f2])
+    first = suspects.groupBy(f1, f2, *cols).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    return join_fitted(suspects, first, [f1, f2, *cols]).where(F.col(key) != F.col("_first")).select(*df.columns)
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -112,7 +118,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def schema_report(df: DataFrame) -> DataFrame:
     """Q7: column name, Spark type, non-null count (one aggregate)."""
-    agg = df.agg(*[F.count(c).alias(f"{c}__non_null") for c in df.columns])
+    agg = nan_to_null(df).agg(*[F.count(c).alias(f"{c}__non_null") for c in df.columns])
     t = _transpose(agg, df.columns, ["non_null"])
     types = F.create_map(*[x for f in df.schema.fields
                            for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
@@ -121,7 +127,7 @@ def schema_report(df: DataFrame) -> DataFrame:
 
 def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Q8: min and max of every numeric column, transposed to rows."""
-    agg = df.agg(*[x for c in columns for x in (F.min(c).cast("double").alias(f"{c}__min"),
+    agg = nan_to_null(df).agg(*[x for c in columns for x in (F.min(c).cast("double").alias(f"{c}__min"),
                                                   F.max(c).cast("double").alias(f"{c}__max"))])
     return _transpose(agg, columns, ["min", "max"])
 
@@ -140,22 +146,19 @@ def first_token_match(df: DataFrame, text: str, reference: str, constant: float
 
 
 def spread_report(df: DataFrame, column: str, lo: float = 0.25, hi: float = 0.75) -> DataFrame:
-    """Q10: low/high quantile, their spread, min and max (one small row;
-    the parameters are collected once, not re-planned per use)."""
-    q = {round(r["prob"], 12): r["value"] for r in ordered.exact_quantiles(df, column, [lo, hi]).collect()}
-    mn, mx = df.agg(F.min(column), F.max(column)).collect()[0]
-    q_lo, q_hi = q.get(round(lo, 12)), q.get(round(hi, 12))
-    spread = None if q_lo is None or q_hi is None else q_hi - q_lo
+    """Q10: low/high quantile, their spread, min and max: all from the selection's own
+    two reads (the extremes are the quantiles 0 and 1)."""
+    q = [r["value"] for r in sorted(ordered.exact_quantiles(df, column, [0.0, lo, hi, 1.0]).collect(), key=lambda r: r["prob"])]
+    mn, q_lo, q_hi, mx = q or [None] * 4
     t = df.schema[column].dataType.simpleString()
-    return df.sparkSession.createDataFrame(
-        [(column, q_lo, q_hi, spread, mn, mx)],
-        f"column string, q_low double, q_high double, spread double, min {t}, max {t}") \
-        .select("column", "q_low", "q_high", "spread", "min", "max")
+    row = df.sparkSession.createDataFrame([(column, q_lo, q_hi, None if q_lo is None else q_hi - q_lo, mn, mx)],
+                                          "column string, q_low double, q_high double, spread double, min double, max double")
+    return row.withColumns({"min": F.col("min").cast(t), "max": F.col("max").cast(t)})
 
 
 def zscore_outliers(df: DataFrame, columns: Sequence[str], threshold: float = 3.0) -> DataFrame:
     """Q11: count of |z| > threshold per column (z with the sample std)."""
-    long = ordered.long_form(df, columns)
+    long = ordered.long_form(nan_to_null(df), columns)
     stats = long.groupBy("feature").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s"))
     j = join_fitted(long, stats, "feature")  # one row per column
     z = fx.abs_zscore(F.col("value"), F.col("_m"), F.col("_s"))
@@ -186,40 +189,58 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
                     "count")
 
 
+def density_bins(mn, mx, sd, n) -> int:
+    """Bins of a sixteenth of the bandwidth between the extremes; 0 where there is no curve."""
+    if not n or not sd or mn == mx:
+        return 0
+    return max(1, math.ceil(16 * (float(mx) - float(mn)) / (float(sd) * float(n) ** -0.2)))
+
+
+def density_curve(fine: DataFrame, mn, mx, sd, n, grid_points: int, bins: int | None = None) -> DataFrame:
+    """(point, x, density) on an even grid from a table of fine bins (fb, w). A bin adds to the grid points
+    within CUT_OFF bandwidths only, so a bin's work does not grow with the grid's span."""
+    bins, grid_points = bins or density_bins(mn, mx, sd, n), max(2, grid_points)
+    mn, mx, h = float(mn), float(mx), float(sd) * float(n) ** -0.2
+    step, width = (mx - mn) / (grid_points - 1), (mx - mn) / bins
+    c = f"({mn!r}D + (fb - 0.5D) * {width!r}D)"
+    reach = CUT_OFF * h
+    near = (f"sequence(greatest(0, CAST(ceil(({c} - {reach!r}D - {mn!r}D) / {step!r}D) AS INT)), "
+            f"least({grid_points - 1}, CAST(floor(({c} + {reach!r}D - {mn!r}D) / {step!r}D) AS INT)))")
+    some = f"ceil(({c} - {reach!r}D - {mn!r}D) / {step!r}D) <= floor(({c} + {reach!r}D - {mn!r}D) / {step!r}D)"
+    pairs = fine.where(F.expr(some)).select(F.expr(f"explode({near})").alias("point"), "w", F.expr(c).alias("c"))
+    u = f"(({mn!r}D + point * {step!r}D - c) / {h!r}D)"
+    heights = pairs.groupBy("point").agg(F.expr(f"sum(w * exp(-0.5D * {u} * {u}))").alias("s"))
+    grid = fine.sparkSession.range(grid_points).select(F.col("id").cast("int").alias("point"))
+    return grid.join(heights, "point", "left").select(
+        "point", F.expr(f"{mn!r}D + point * {step!r}D").alias("x"), F.expr(f"coalesce(s, 0D) / {float(n) * h * math.sqrt(2 * math.pi)!r}D").alias("density"))
+
+
+#: Bandwidths beyond which a Gaussian adds less than 1e-14 of its peak.
+CUT_OFF = 8.0
+
+
 def kde(df: DataFrame, column: str, grid_points: int = 64, fine_bins: int | None = None) -> DataFrame:
     """Q13: Gaussian kernel density (Scott bandwidth sigma * n^-1/5) on an
     even grid from min to max, evaluated over a fine histogram of the data
     (bin centres weighted by counts): one pass and a table of bins. Bins are a
     sixteenth of the bandwidth wide unless ``fine_bins`` is given, so the curve stays as
-    close as the data grow (within 0.1 % of the peak). A constant column has no
+    close as the data grow (within 0.1 % of the peak). NaN is missing. A constant column has no
     curve: no rows."""
-    mn_, mx_, sd_, n_ = df.agg(F.min(column), F.max(column), F.stddev_samp(column),
-                               F.count(column)).collect()[0]
-    if not n_ or not sd_ or mn_ == mx_:
+    x = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+    mn, mx, sd, n = df.agg(F.min(x), F.max(x), F.stddev_samp(x), F.count(x)).collect()[0]
+    bins = fine_bins or density_bins(mn, mx, sd, n)
+    if not density_bins(mn, mx, sd, n):
         return df.sparkSession.createDataFrame([], "point int, x double, density double")
-    fine_bins = fine_bins or max(1, math.ceil(16 * (float(mx_) - float(mn_)) / (float(sd_) * float(n_) ** -0.2)))
-    grid_points = max(2, grid_points)
-    mn, mx, sd, n = F.lit(float(mn_)), F.lit(float(mx_)), F.lit(sd_).cast("double"), F.lit(n_)
-    x = F.col(column)
-    fine = (df.where(x.isNotNull()).groupBy(_bin_expr(x, mn, mx, fine_bins).alias("fb"))
+    fine = (df.where(x.isNotNull()).groupBy(_bin_expr(x, F.lit(float(mn)), F.lit(float(mx)), bins).alias("fb"))
             .agg(F.count(F.lit(1)).alias("w")))
-    centre = mn + (F.col("fb") - 0.5) * (mx - mn) / fine_bins
-    h = sd * F.pow(n.cast("double"), F.lit(-0.2))
-    grid = F.array(*[F.lit(i) for i in range(grid_points)])
-    step = (mx - mn) / (grid_points - 1)
-    contrib = fine.select(F.posexplode(grid).alias("gi", "_g"), "w", centre.alias("c")) \
-        .withColumn("g", mn + F.col("gi") * step)
-    u = (F.col("g") - F.col("c")) / h
-    dens = F.sum(F.col("w") * F.exp(-0.5 * u * u)) / (n * h * math.sqrt(2 * math.pi))
-    return contrib.groupBy("gi").agg(F.first("g").alias("x"), dens.alias("density")) \
-        .select(F.col("gi").alias("point"), "x", "density")
+    return density_curve(fine, mn, mx, sd, n, grid_points, bins)
 
 
 def box_stats(df: DataFrame, value: str, group: Sequence[str] | str | None = None,
               k: float = 1.5) -> DataFrame:
     """Q14: per group Q1, median, Q3, whiskers (extreme values inside the
     1.5 IQR fences), outlier count and mean."""
-    group = _cols(group)
+    group, df = _cols(group), nan_to_null(df)
     q = ordered.exact_quantiles(df, value, [0.25, 0.5, 0.75], group=group)
     qs = q.groupBy(*group).agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(nm)
                                  for p, nm in [(0.25, "q1"), (0.5, "median"), (0.75, "q3")]])

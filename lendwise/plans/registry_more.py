@@ -17,7 +17,7 @@ from lendwise.plans import analytics as an
 from lendwise.plans import reports
 from lendwise.plans.pipeline import TYPE_CANON
 from lendwise.plans.oracle import emp_length_case, grade_case, with_loans
-from lendwise.plans.registry import REGISTRY, box_sql, register, rounded
+from lendwise.plans.registry import REGISTRY, STATUSES, box_sql, register, rounded
 
 # ------------------------------------------------------- P: projection/filter
 
@@ -156,7 +156,9 @@ LOAN_TYPES = {"loan_id": "bigint", "customer_id": "bigint", "issue_date": "date"
               "home_ownership": "string", "verification_status": "string", "loan_status": "string",
               "addr_state": "string", "state": "string", "purpose": "string", "description": "string",
               "type": "string"}
-NUM_COLS = ["loan_amount", "funded_amount", "annual_inc", "int_rate"]
+# Every numeric column but the key.
+NUM_COLS = ["loan_id", "loan_amount", "funded_amount", "annual_inc", "annual_inc_joint", "int_rate", "grade",
+            "avg_cur_bal", "tot_cur_bal"]
 
 
 def _union(parts):
@@ -196,6 +198,21 @@ def _q4(spark, sf):
     return prof.duplicate_rows(loans(spark, sf).select("loan_id", *DUP_COLS), "loan_id")
 
 
+ROW_COLS = [c for c in LOAN_COLS if c not in reports.IDS]
+DUPLICATES_SQL = with_loans(f"""SELECT loan_id, {', '.join(ROW_COLS)} FROM (SELECT *, row_number() OVER
+  (PARTITION BY {', '.join(ROW_COLS)} ORDER BY loan_id) AS rn FROM loans) WHERE rn > 1""")
+
+
+@register("q4_duplicate_loans", with_loans(
+    f"""SELECT loan_id, {', '.join(ROW_COLS)} FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(ROW_COLS)} ORDER BY loan_id) AS rn
+  FROM (SELECT * FROM loans UNION ALL SELECT * REPLACE (loan_id + 1000000000 AS loan_id) FROM loans WHERE grade < 9)) WHERE rn > 1"""))
+def _q4_loans(spark, sf):
+    """Every column but the ids, over the loans and a second delivery of some of them."""
+    df = loans(spark, sf)
+    again = df.where("grade < 9").withColumn("loan_id", F.col("loan_id") + 1_000_000_000)
+    return prof.duplicate_rows(joins.union_all([df, again]).select("loan_id", *ROW_COLS), "loan_id")
+
+
 CAT_COLS = ["home_ownership", "verification_status", "loan_status", "purpose", "type"]
 
 
@@ -219,15 +236,11 @@ def _q7(spark, sf):
     return prof.schema_report(loans(spark, sf))
 
 
-MINMAX_COLS = ["loan_amount", "funded_amount", "annual_inc", "annual_inc_joint", "int_rate", "grade",
-               "avg_cur_bal", "tot_cur_bal"]
-
-
 @register("q8_min_max", with_loans(_union(
     f"SELECT '{c}' AS \"column\", CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM loans"
-    for c in MINMAX_COLS)))
+    for c in NUM_COLS)))
 def _q8(spark, sf):
-    return prof.min_max(loans(spark, sf), MINMAX_COLS)
+    return prof.min_max(loans(spark, sf), NUM_COLS)
 
 
 @register("q9_first_token_match", with_loans(
@@ -655,34 +668,87 @@ def _j3(spark, sf):
 # ------------------------------------------------- C5, C6: reports as one long table of counts
 
 
-def long_counts(frames, names):
-    """(report, key, n) rows of count reports."""
-    parts = []
-    for name, (key, n) in names.items():
-        parts.append(frames[name].select(F.lit(name).alias("report"), F.col(key).cast("string").alias("key"),
-                                         F.col(n).cast("long").alias("n")))
-    return joins.union_all(parts)
+BOX_MEASURES = ["q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers", "mean"]
 
 
-@register("c5_dashboard_tables", with_loans(
-    """SELECT 'loans_per_month' AS report, CAST(month(issue_date) AS VARCHAR) AS key, count(*) AS n FROM loans
-WHERE year(issue_date) = (SELECT min(year(issue_date)) FROM loans) GROUP BY 2
-UNION ALL SELECT DISTINCT 'year_options', CAST(year(issue_date) AS VARCHAR), CAST(year(issue_date) AS BIGINT) FROM loans
-WHERE issue_date IS NOT NULL"""))
-def _c5(spark, sf):
-    frames = reports.dashboard_tables(loans(spark, sf))
-    return long_counts(frames, {"loans_per_month": ("month", "loan_count"), "year_options": ("year", "year")})
+#: Reports whose values hang on the order of additions or on interpolation; all others compare exactly.
+INEXACT = ["summary", "rate_nulls_by_status", "spread_income", "zscore_outliers", "histogram_income", "kde_income", "box_amount",
+           "amount_box_by_grade", "grade_share"]
 
 
-@register("c6_eda_report", with_loans(
-    """SELECT 'value_counts_emp_length' AS report, emp_length AS key, count(*) AS n FROM loans GROUP BY 2
-UNION ALL SELECT 'loans_by_state', addr_state, count(*) FROM loans WHERE addr_state IS NOT NULL GROUP BY 2
-UNION ALL SELECT 'rate_nulls_by_status', loan_status, count(*) FILTER (WHERE int_rate IS NULL) FROM loans
-WHERE loan_status IS NOT NULL GROUP BY 2"""))
+def rounded_reports(df):
+    return df.withColumn("value", F.when(F.col("report").isin(INEXACT), F.round("value", 6)).otherwise(F.col("value")))
+
+
+def long_sql(name: str, sql: str, key: list[str], measures: list[str]) -> str:
+    """The SQL text of a report as rows (report, key, measure, value)."""
+    joined = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '~')" for k in key) or "''"
+    value = "round(CAST({m} AS DOUBLE), 6)" if name in INEXACT else "CAST({m} AS DOUBLE)"
+    return " UNION ALL ".join(f"SELECT '{name}' AS report, {joined} AS key, '{m.strip(chr(34))}' AS measure, {value.format(m=m)} AS value FROM ({sql})"
+                              for m in measures)
+
+
+def _of(key: str) -> str:
+    return REGISTRY[key][1]
+
+
+@register("c5_dashboard_tables", " UNION ALL ".join([
+    long_sql("grade_share", _of("a13_grade_share"), ["grade_category"], ["percentage"]),
+    long_sql("amount_box_by_grade", _of("a14_amount_box_by_grade"), ["grade_category"], BOX_MEASURES),
+    long_sql("scatter", _of("a15_scatter_feed"), ["loan_id", "addr_state", "loan_status"], ["annual_inc", "loan_amount"]),
+    long_sql("loans_per_month", _of("a16_loans_per_month_first_year"), ["month"], ["loan_count"]),
+    long_sql("year_options", "SELECT *, 1 AS offered FROM (" + _of("a16b_year_options") + ")", ["year"], ["offered"]),
+    long_sql("top5_states", _of("a17_top5_states_by_amount"), ["addr_state"], ["avg_loan_amount"])]))
+def _c5(spark, sf):
+    """All six dashboard tables, by the letter grade."""
+    df = loans(spark, sf).withColumn("grade_category", fx.grade_letter("grade"))
+    return rounded_reports(reports.dashboard_long(df, "grade_category"))
+
+
+INCOME_TERCILE = ("CASE WHEN annual_inc <= (SELECT quantile_cont(annual_inc, 1/3) FROM loans) THEN 'q1' "
+                  "WHEN annual_inc <= (SELECT quantile_cont(annual_inc, 2/3) FROM loans) THEN 'q2' WHEN annual_inc IS NOT NULL THEN 'q3' END")
+INCOME_HISTOGRAM = with_loans(
+    """SELECT CAST(b AS INTEGER) AS bin, mn + (b - 1) * (mx - mn) / 30 AS bin_start, count(annual_inc) AS count
+FROM (SELECT min(annual_inc) AS mn, max(annual_inc) AS mx FROM loans) CROSS JOIN (SELECT unnest(range(1, 31)) AS b)
+LEFT JOIN loans ON least(floor((annual_inc - mn) / (mx - mn) * 30) + 1, 30) = b GROUP BY b, mn, mx""")
+EDA_SQL = {
+    "missing_pct": (_of("q1_missing_pct"), ["missing_pct"]),
+    "rate_nulls_by_status": (_of("q2_rate_nulls_by_status"), ["missing_values", "mean_value"]),
+    "joint_nulls_by_type": (with_loans("SELECT type, count(*) FILTER (WHERE annual_inc_joint IS NULL) AS missing_values FROM loans WHERE type IS NOT NULL GROUP BY 1"),
+                            ["missing_values"]),
+    "summary": (_of("q3_numeric_summary"), ["count", "mean", "std", "min", "max", "q25", "q50", "q75"]),
+    "duplicates": ("SELECT *, 1 AS repeats FROM (" + DUPLICATES_SQL + ")", ["repeats"]),
+    "distinct_values": (with_loans(_union(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, count(*) AS count FROM loans GROUP BY {c}" for c in reports.CATEGORIES)),
+                        ["count"]),
+    "schema": (_of("q7_schema_report"), ["non_null"]),
+    "value_counts_emp_length": (_of("q6_value_counts_emp_length"), ["count"]),
+    "null_counts": (with_loans(_union(f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS null_count FROM loans" for c in LOAN_COLS)), ["null_count"]),
+    "emp_title_missing": (_of("q16_missing_flag"), ["emp_title_missing"]),
+    "distinct_pairs": (_of("q5_distinct_pairs"), ["count"]),
+    "min_max": (_of("q8_min_max"), ["min", "max"]),
+    "first_token_match": (_of("q9_first_token_match"), ["n_matches", "pct_matches"]),
+    "spread_income": (_of("q10_spread_income"), ["q_low", "q_high", "spread", "min", "max"]),
+    "zscore_outliers": (_of("q11_zscore_outliers"), ["n_outliers", "max_abs_z"]),
+    "histogram_income": (INCOME_HISTOGRAM, ["bin_start", "count"]),
+    "kde_income": (_of("q13_kde_income"), ["x", "density"]),
+    "box_amount": (_of("q14_box_stats_amount"), BOX_MEASURES),
+    "income_by_state_year": (_of("a1_income_by_state_year"), ["avg_annual_inc"]),
+    "top_income_state_per_year": (_of("a2_top_state_per_year"), ["avg_annual_inc"]),
+    "income_by_year": (_of("a3_income_by_year_bucket"), ["avg_annual_inc"]),
+    "status_by_home_income": (_of("a4_status_by_home_income"), [f'"{s}"' for s in STATUSES]),
+    "loans_by_state": (_of("a5_loans_by_state"), ["loan_count", "avg_loan_amount"]),
+    "income_by_title": (_of("a6_income_by_title"), ["avg_annual_inc"]),
+    "income_amount_by_title_home": (_of("a7_income_amount_by_title_home"), ["avg_annual_inc", "avg_loan_amount"]),
+    "emp_title_missing_by_income": (with_loans(f"SELECT {INCOME_TERCILE} AS income_category, count(*) FILTER (WHERE emp_title IS NULL) AS missing_values "
+                                               "FROM loans WHERE annual_inc IS NOT NULL GROUP BY 1"), ["missing_values"]),
+}
+
+
+@register("c6_eda_report", " UNION ALL ".join(long_sql(n, sql, [f'"{k}"' for k in reports.EDA_KEYS[n]], [m if m[0] == '"' else f'"{m}"' for m in measures])
+                                               for n, (sql, measures) in EDA_SQL.items()))
 def _c6(spark, sf):
-    frames = reports.eda_report(loans(spark, sf))
-    return long_counts(frames, {"value_counts_emp_length": ("emp_length", "count"), "loans_by_state": ("addr_state", "loan_count"),
-                                "rate_nulls_by_status": ("loan_status", "missing_values")})
+    """All 26 tables of the exploratory report."""
+    return rounded_reports(reports.eda_long(loans(spark, sf)))
 
 
 # ---------------------------------------------------------------- C3: the notebook as a job
