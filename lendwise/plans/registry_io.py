@@ -268,10 +268,12 @@ def _s8(spark, sf):
     return files.cached_or_compute(spark, d, lambda: (_ for _ in ()).throw(RuntimeError("recomputed")))
 
 
-@register("s10_html_links", """SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS INTEGER) AS pos,
-  unnest(h) AS href, unnest(t) AS text FROM (
-  SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS h,
-         regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS t FROM pages)""")
+# Cut at the end tags, then at the last start tag before each: no pattern of the operator's.
+@register("s10_html_links", """SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos,
+  split_part(split_part(a, 'href="', 2), '"', 1) AS href, trim(substr(a, position('>' IN a) + 1)) AS text
+FROM (SELECT page_id, i, list_extract(string_split(piece, '<a '), -1) AS a FROM (
+  SELECT page_id, unnest(string_split(html, '</a>')) AS piece, generate_subscripts(string_split(html, '</a>'), 1) AS i FROM pages)
+  WHERE contains(piece, '<a '))""")
 def _s10(spark, sf):
     return list_links(spread(table(spark, sf, "pages")))
 

@@ -292,7 +292,7 @@ def eda_report(loans: DataFrame) -> "Frames":
     per_column = lambda schema, row: local([(c, *row(facts()[c], c)) for c in df.columns], f"column string, {schema}")
     types = dict(loans.dtypes)
     return Frames({
-        "missing_pct": lambda: per_column("missing_pct double", lambda f, c: (100.0 * (f["rows"] - f["values"]) / f["rows"] if f["rows"] else None,)),
+        "missing_pct": lambda: per_column("missing_pct double", lambda f, c: ((f["rows"] - f["values"]) / f["rows"] * 100 if f["rows"] else None,)),
         "rate_nulls_by_status": lambda: keyed().of("rate_nulls", {"loan_status": "STRING"}, missing_values="n - x_n", mean_value="x_avg"),
         "joint_nulls_by_type": lambda: keyed().of("joint_nulls", {"type": "STRING"}, missing_values="n - x_n"),
         "summary": summary,
