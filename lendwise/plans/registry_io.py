@@ -250,6 +250,20 @@ def _s1(spark, sf):
     return df.select(*[c for c in loans(spark, sf).columns])
 
 
+AWKWARD = ("CASE loan_id % 6 WHEN 0 THEN 'q\"u,o\"te' WHEN 1 THEN concat('x', chr(10), '\"y') WHEN 2 THEN '' WHEN 3 THEN NULL "
+           "WHEN 4 THEN ' \\spaced, ' ELSE description END")
+
+
+@register("s1_csv_awkward_text", with_loans(f"SELECT loan_id, {AWKWARD} AS description, purpose, state, loan_amount FROM loans"))
+def _s1_awkward(spark, sf):
+    """Quotes, commas, line breaks, empty and missing texts; two deliveries whose headers differ in order."""
+    d = files.scratch_path(spark, "csv-awkward")
+    df = loans(spark, sf).withColumn("description", F.expr(AWKWARD.replace("\\", "\\\\"))).select("loan_id", "description", "purpose", "state", "loan_amount")
+    files.write_csv(df.where("loan_id % 2 = 0"), f"{d}/one")
+    files.write_csv(df.where("loan_id % 2 = 1").select("State", "Loan_Amount", "description", "loan_id", "purpose"), f"{d}/two")
+    return files.read_csv(spark, f"{d}/*").select("loan_id", "description", "purpose", "state", "loan_amount")
+
+
 @register("s2_parquet_roundtrip", with_loans(LOAN_SELECT.replace("CAST(issue_date AS VARCHAR) AS issue_date",
                                                                  "issue_date")))
 def _s2(spark, sf):

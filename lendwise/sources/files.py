@@ -8,6 +8,7 @@ plain DataFrame writers. Shared folders come from ``spark.checkpoint.dir``
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,12 @@ from lendwise.schema import LOAN_SCHEMA, nan_to_null, normalise_name, normalise_
 from lendwise.session import checkpoint_dir
 
 
-# Values are written and read exactly (the CSV source trims by default).
-KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# Values are written and read exactly: nothing trimmed, quotes doubled as other tools write them,
+# and an empty text (quoted) told from a null (nothing). A null is named on reading because the source
+# takes the empty text for null otherwise.
+EXACT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "quote": '"', "escape": '"'}
+READ_EXACT = EXACT | {"nullValue": "\u0000null", "emptyValue": "", "enforceSchema": True}
+MAX_HEADERS = 1_000
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -36,19 +41,52 @@ def raw_schema(schema: T.StructType, header: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
+def csv_layout(spark: SparkSession, path) -> list[dict]:
+    """Groups of files that may be read together, from one pass over the lines: ``header`` (their first line), ``broken``
+    (whether some line has an unclosed quote, so that values hold line breaks) and ``files``."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
+    files = lines.groupBy("file_path").agg(F.min_by("value", F.struct("file_block_start", "at")).alias("header"), F.max(odd).alias("broken"))
+    groups = files.groupBy("header", "broken").agg(F.sort_array(F.collect_list("file_path")).alias("files")).limit(MAX_HEADERS + 1).collect()
+    if len(groups) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers under {path}")
+    return [{"header": g["header"], "broken": g["broken"], "files": [unquote(f) for f in g["files"]]} for g in sorted(groups, key=lambda g: (g["header"], g["broken"]))]
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = LOAN_SCHEMA,
-             normalise: bool = True) -> DataFrame:
+             normalise: bool = True, checked: bool = True) -> DataFrame:
     """CSV with a header and an explicit schema (by normalised name), so
-    no inference pass is made; names normalised (P1)."""
-    header = spark.read.option("header", True).csv(path).columns  # reads the first line only
-    df = spark.read.options(header=True, **KEEP_SPACES).schema(raw_schema(schema, header)).csv(path)
-    df = nan_to_null(df)
+    no inference pass is made; names normalised (P1).
+
+    ``checked`` looks at the lines first (one pass over the text): files are read by
+    their own header, so columns in another order, or missing, go where their name says; files with line
+    breaks inside quotes are read whole, one task each, the others in splits. Without it the
+    caller states that all files have the first one's header and one line per record; a
+    row of another number of columns is then an error, never a broken row."""
+    if not checked:
+        header = spark.read.options(**READ_EXACT).csv(path).columns  # reads the first line only
+        return _read_csv(spark, path, schema, header, normalise, {"mode": "FAILFAST"})
+    parts = []
+    for g in csv_layout(spark, path):
+        options = {"multiLine": bool(g["broken"]), "mode": "FAILFAST"}
+        header = spark.read.options(**READ_EXACT | options).csv(g["files"][0]).columns
+        parts.append(_read_csv(spark, g["files"], schema, header, normalise, options))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def _read_csv(spark: SparkSession, path, schema: T.StructType, header: list[str], normalise: bool, options: dict) -> DataFrame:
+    df = nan_to_null(spark.read.options(**READ_EXACT | options).schema(raw_schema(schema, header)).csv(path))
     return normalise_names(df) if normalise else df
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV sink with header; key columns are kept as ordinary columns."""
-    df.write.mode(mode).options(header=True, **KEEP_SPACES).csv(path)
+    df.write.mode(mode).options(**EXACT).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
