@@ -73,8 +73,10 @@ def test_queries_return_their_columns(spark, sf):
         "op5_simhash_dedup": "doc_id fingerprint component_id", "op6_source_mixing": "doc_id size source_size target taken",
         "op7_lm_scoring": "doc_id held_out n_tokens n_known train_tokens base_score score",
         "op9_chat_formatting": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
-        "op10_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset"}
-    assert {int(k[2:].split("_")[0]) for k in queries.QUERIES} == set(range(1, 11))
+        "op10_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
+        "op11_centroid_clustering": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+        "op12_source_divergence": "lang source part item value rank", "op13_embedding_near_dedup": "vec_id n_links component_id kept"}
+    assert {int(k[2:].split("_")[0]) for k in queries.QUERIES} == set(range(1, 14))
     for name in ("op2_exact_dedup", "op6_source_mixing", "op9_chat_formatting"):
         assert set(columns[name].split()) <= set(queries.QUERIES[name](spark, sf).columns)
     probe = queries.op9(spark, sf).filter("conv_id = -1").first()
@@ -88,7 +90,7 @@ def value(x):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql_twins(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     cursor = con.execute(queries.SQL[name])
     names = [d[0] for d in cursor.description]
