@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import WORD, released, small_enough, written
+from lendwise.llm.common import WORD, discard_written, numbered, released, small_enough, written
 
 FOLDS, HELD = 7, 2
 LEAST, CLASSES, UNSEEN, SMOOTH = 5, 64, 0.5, 10.0
@@ -51,6 +50,8 @@ END = b"\n"
 BAND, ONCE, UNKNOWN, OTHERS = -100, -2, -1, 100
 #: Bigrams that a task counts at a time.
 SPAN = 1 << 20
+#: Counts up to this have their gains in a table.
+FEW = 8
 
 
 def held_out(doc_id, folds: int = FOLDS, held: int = HELD) -> bool:
@@ -66,11 +67,11 @@ def staged(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int, b
     def run(batches):
         words_of = re.compile(WORD.encode()).findall
         task, blocks = TaskContext.get().partitionId() << 24, 0
-        numbers, counts, size = {END: 0}, Counter(), 0
+        numbers, learnt, size = {END: 0}, [np.zeros(0, np.uint32)], 0
 
         def block_words():
             names = list(numbers)
-            n = [counts[k] for k in range(len(names))]
+            n = np.bincount(np.concatenate(learnt), minlength=len(names))
             for at in range(0, len(names), 50_000):
                 part = names[at:at + 50_000]
                 yield pa.RecordBatch.from_arrays(
@@ -90,15 +91,14 @@ def staged(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int, b
                 seq = np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))
                 out = held_out(b.column(0)[row].as_py(), folds, held)
                 if not out:
-                    for k, n in zip(*np.unique(seq, return_counts=True), strict=True):
-                        counts[int(k)] += int(n)
+                    learnt.append(seq)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([task + blocks]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()),
                      b.column(0).slice(row, 1), pa.array([out]), pa.array([zlib.compress(seq.tobytes(), 1)])], names=columns)
                 size += len(raw)
                 if size >= block_bytes:
                     yield from block_words()
-                    numbers, counts, size, blocks = {END: 0}, Counter(), 0, blocks + 1
+                    numbers, learnt, size, blocks = {END: 0}, [np.zeros(0, np.uint32)], 0, blocks + 1
         if id_type is not None:
             yield from block_words()
 
@@ -112,20 +112,6 @@ def symbol(c: np.ndarray) -> np.ndarray:
     return np.where(c == 0, UNKNOWN, np.where(c == 1, ONCE, band))
 
 
-def numbered(common: DataFrame) -> DataFrame:
-    """Written (word, symbol) from rows (word, c): 1, 2, ... by falling count, then word. Only a
-    count per partition reaches the driver."""
-    ranked = common.repartitionByRange(F.desc("c"), F.asc("word")).sortWithinPartitions(F.desc("c"), F.asc("word"))
-    ranked = written(ranked.select("word", F.monotonically_increasing_id().alias("at")), "ranked")
-    part, before, starts = F.shiftright("at", 33), 0, []
-    for r in ranked.groupBy(part.alias("part")).count().orderBy("part").collect():
-        starts.append((r["part"], before + 1))
-        before += r["count"]
-    offsets = common.sparkSession.createDataFrame(starts, "part long, start long")
-    symbol = (F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).cast("int")
-    return ranked.withColumn("part", part).join(F.broadcast(offsets), "part").select("word", symbol.alias("symbol"))
-
-
 def encoded(rows: DataFrame, frequent: int | None = None, least: int = LEAST) -> tuple[DataFrame, dict]:
     """(written documents as symbols with their count sums; totals)."""
     words = rows.filter("number is not null").select("block", "number", "word", "n")
@@ -138,7 +124,8 @@ def encoded(rows: DataFrame, frequent: int | None = None, least: int = LEAST) ->
     is_end, clustered = F.col("word") == END.decode(), F.col("c") >= least
     if frequent is not None:
         clustered = clustered & (F.col("c") * frequent >= totals["tokens"])
-    ids = numbered(once.filter(clustered & ~is_end).select("word", "c"))
+    ids = numbered(once.filter(clustered & ~is_end).select("word", "c"), [F.desc("c"), F.asc("word")], "ranked") \
+        .select("word", F.col("rank").cast("int").alias("symbol"))
     n_words = ids.count()
     side = F.broadcast(ids) if small_enough(ids, "word") else ids
     # A rarer word that no other block has needs no answer: its corpus count is its count here.
@@ -146,12 +133,11 @@ def encoded(rows: DataFrame, frequent: int | None = None, least: int = LEAST) ->
     answers = words.filter(clustered & ~is_end).join(side, "word").select(columns).unionByName(
         words.filter(is_end | ~clustered & (F.col("c") != F.col("n"))).withColumn("symbol", F.when(is_end, 0)).select(columns))
     documents = rows.filter("number is null").select("block", "id", "held_out", "numbers")
+
     def encode(docs: pa.Table, known: pa.Table) -> pa.Table:
         texts = [np.frombuffer(zlib.decompress(x), np.uint32) for x in docs.column("numbers").to_pylist()]
-        c = np.zeros(1 + max(int(t.max()) for t in texts), np.int64)
-        for seq, out in zip(texts, docs.column("held_out").to_pylist(), strict=True):
-            if not out:
-                np.add.at(c, seq, 1)
+        learnt = [seq for seq, out in zip(texts, docs.column("held_out").to_pylist(), strict=True) if not out]
+        c = np.bincount(np.concatenate([np.zeros(0, np.uint32), *learnt]), minlength=1 + max(int(t.max()) for t in texts))
         n = known.column("number").to_numpy()
         c[n] = known.column("c").to_numpy()
         own = symbol(c)
@@ -168,8 +154,9 @@ def encoded(rows: DataFrame, frequent: int | None = None, least: int = LEAST) ->
         return pa.table([docs.column("id"), docs.column("held_out"), *columns], names=["id", "held_out", *made])
 
     schema = f"id {dict(rows.dtypes)['id']}, held_out boolean, n_tokens long, n_known long, log_c double, log_c1 double, symbols binary"
-    return written(documents.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(encode, schema), "encoded"), \
-        totals | {"frequent": n_words + 1}
+    made = written(documents.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(encode, schema), "encoded")
+    discard_written(words)
+    return made, totals | {"frequent": n_words + 1}
 
 
 def bigrams(documents: DataFrame) -> DataFrame:
@@ -194,7 +181,8 @@ def bigrams(documents: DataFrame) -> DataFrame:
             yield counted()
 
     rows = documents.filter("not held_out").select("symbols").mapInArrow(released(run), "pair long, n long")
-    return written(rows.groupBy("pair").agg(F.sum("n").alias("n")), "bigrams")
+    # In order of the previous word within each part, so that a span's contexts of a word after it merge.
+    return written(rows.groupBy("pair").agg(F.sum("n").alias("n")).sortWithinPartitions("pair"), "bigrams")
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
@@ -230,6 +218,21 @@ def split(batches: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return pair >> 32, pair.astype(np.int32).astype(np.int64), n
 
 
+def merged(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order, sum of n of each). Keys are sorted with their places as low bits."""
+    if not len(key):
+        return key, n
+    bits, least = max(len(key) - 1, 1).bit_length(), key.min()
+    if int(key.max() - least) >> (63 - bits):
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    else:
+        both = np.sort((key - least) << bits | np.arange(len(key)))
+        key, order = (both >> bits) + least, both & ((1 << bits) - 1)
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[starts], np.add.reduceat(n[order], starts)
+
+
 def own_turn(words: np.ndarray, turn: int) -> np.ndarray:
     """Which words may move: each in every second round."""
     return (words * 2654435761 >> 7) + turn & 1 == 0
@@ -249,8 +252,7 @@ def class_counts(pairs: DataFrame, classes: np.ndarray, top: int, frequent: int,
         for v, w, n in spans(batches):
             after, before = (v > 0) & own_turn(v, turn), (w > 0) & own_turn(w, turn)
             key = np.concatenate([v[after] * (2 * top) + classes[w[after]], w[before] * (2 * top) + top + classes[v[before]]])
-            own, at = np.unique(key, return_inverse=True)
-            n = np.bincount(at, np.concatenate([n[after], n[before]]), minlength=len(own)).astype(np.int64)
+            own, n = merged(key, np.concatenate([n[after], n[before]]))
             for k in range(0, len(own), 1 << 16):
                 part = own[k:k + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(part // (2 * top)), pa.array((part % (2 * top)).astype(np.int32)),
@@ -273,6 +275,8 @@ def best_classes(words: np.ndarray, k: np.ndarray, n: np.ndarray, classes: np.nd
     top, word_class = len(matrix), np.arange(1, n_classes + 1)
     cells = np.concatenate([matrix[1:n_classes + 1].T, matrix[:, 1:n_classes + 1]])  # by k: cells of each class
     table = xlogx(cells)
+    # Most contexts are of one or a few occurrences: what so many add to a cell is computed once per cell.
+    few = np.stack([xlogx(cells + m) - table for m in range(1, FEW + 1)]) if len(words) else None
     starts = np.flatnonzero(np.append(True, words[1:] != words[:-1])) if len(words) else np.zeros(0, np.int64)
     ends, best = np.append(starts[1:], len(words)), []
     sums = [matrix.sum(axis=1)[1:n_classes + 1], matrix.sum(axis=0)[1:n_classes + 1]]
@@ -283,25 +287,32 @@ def best_classes(words: np.ndarray, k: np.ndarray, n: np.ndarray, classes: np.nd
         first, kk, nn = starts[a:b] - starts[a], k[rows], n[rows].astype(float)
         word = np.repeat(np.arange(b - a), ends[a:b] - starts[a:b])
         own, at, before = classes[words[starts[a:b]]].astype(np.int64), np.arange(len(kk)), kk >= top
-        base, old = cells[kk], table[kk]
-        base[at, own[word] - 1] -= nn  # without the word itself in its class
+        added, many = np.empty((len(kk), n_classes)), np.flatnonzero(nn > FEW)
+        small = np.flatnonzero(nn <= FEW)
+        added[small] = few[nn[small].astype(np.int64) - 1, kk[small]]
+        added[many] = xlogx(cells[kk[many]] + nn[many, None]) - table[kk[many]]
         other = kk - top * before
         hit = np.full((2, b - a), -1)
         mine = other == own[word]
         hit[before[mine].astype(int), word[mine]] = at[mine]
         facing = hit[1 - before.astype(int), word]
         cross = (facing >= 0) & (other >= 1) & (other <= n_classes)
-        base[facing[cross], other[cross] - 1] -= nn[cross]
-        np.maximum(base, 0, out=base)
-        old[at, own[word] - 1] = xlogx(base[at, own[word] - 1])
-        old[facing[cross], other[cross] - 1] = xlogx(base[facing[cross], other[cross] - 1])
-        gain = np.add.reduceat(xlogx(base + nn[:, None]) - old, first, axis=0)
+        # Cells that hold the word's own counts, which are taken out: the word's class in each row, and where it stands on the other side.
+        spot, taken = merged(np.concatenate([at * n_classes + own[word] - 1, facing[cross] * n_classes + other[cross] - 1]),
+                             np.concatenate([nn, nn[cross]]))
+        row, column = spot // n_classes, spot % n_classes
+        base = np.maximum(cells[kk[row], column] - taken, 0)
+        added[row, column] = xlogx(base + nn[row]) - xlogx(base)
+        gain = np.add.reduceat(added, first, axis=0)
         # A class both before and after the word: its own cell grows by both counts at once.
         mid = (other >= 1) & (other <= n_classes)
         right, left = np.flatnonzero(mid & ~before), np.flatnonzero(mid & before)
         _, r, l = np.intersect1d((word * top + other)[right], (word * top + other)[left], assume_unique=True, return_indices=True)
         right, left = right[r], left[l]
-        cell = base[right, other[right] - 1]
+        cell = cells[kk[right], other[right] - 1]
+        where = np.searchsorted(spot, right * n_classes + other[right] - 1)
+        held = spot[np.minimum(where, len(spot) - 1)] == right * n_classes + other[right] - 1
+        cell[held] = base[where[held]]
         both = xlogx(cell + nn[right] + nn[left]) - xlogx(cell + nn[right]) - xlogx(cell + nn[left]) + xlogx(cell)
         gain[word[right], other[right] - 1] += both
         for side in (0, 1):
@@ -318,8 +329,7 @@ def moves(contexts: DataFrame, classes: np.ndarray, matrix: np.ndarray, n_classe
     top = len(matrix)
 
     def decide(table: pa.Table) -> pa.Table:
-        key, at = np.unique(table.column("word").to_numpy() * (2 * top) + table.column("k").to_numpy(), return_inverse=True)
-        n = np.bincount(at, table.column("n").to_numpy(), minlength=len(key))
+        key, n = merged(table.column("word").to_numpy() * (2 * top) + table.column("k").to_numpy(), table.column("n").to_numpy())
         words, best = best_classes(key // (2 * top), key % (2 * top), n, classes, matrix, n_classes)
         moved = best != classes[words]
         return pa.table([pa.array(words[moved]), pa.array(best[moved])], names=["word", "class"])
@@ -368,8 +378,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
           classes: int | None = None, rounds: int | None = None, least: int = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigrams), score (log10), perplexity of the class model."""
-    documents, totals = encoded(staged(docs, id_col, text_col, folds, held, block_bytes), frequent, least)
-    class_of, matrix = exchanged(bigrams(documents), totals["frequent"], classes or class_number(totals["frequent"]), rounds)
+    rows = staged(docs, id_col, text_col, folds, held, block_bytes)
+    documents, totals = encoded(rows, frequent, least)
+    discard_written(rows)
+    pairs = bigrams(documents)
+    class_of, matrix = exchanged(pairs, totals["frequent"], classes or class_number(totals["frequent"]), rounds)
+    discard_written(pairs)
     # Emissions by class; those of words seen once and of unknown ones are the last two.
     transition, emission = probabilities(matrix, np.append(np.arange(len(matrix)), [0, 0]), totals["once"])
 

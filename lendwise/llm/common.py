@@ -76,6 +76,13 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def discard_written(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that no result reads any more."""
+    for table in tables:
+        for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            discard(table.sparkSession, path)
+
+
 def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``rows`` (without columns at, part, start) written in the order, with ``rank`` 1, 2, ...: ranges of
     the order are sorted in their tasks, and only a count per range reaches the driver."""
