@@ -23,7 +23,7 @@ documents whose crc32(id as text) mod ``folds`` is not ``held``.
    smoothed with the class frequencies; in the class of words seen once, ``unseen`` of
    the mass is the unknown word's. It sums to one over known words, the end and one unknown word.
 
-Defined results: null and empty texts are the end alone; a null id has remainder
+Defined results: null and empty texts are the end alone; very long texts are learnt and scored whole, within one block; a null id has remainder
 0; repeated rows count repeatedly; without training tokens every word
 is unknown; an empty table gives an empty result; extra columns do not matter.
 """

@@ -17,7 +17,7 @@
    looked up without a shuffle. Should two different texts ever share hash and
    SHA-256, their documents are looked up by text instead.
 
-Defined results: null text counts as empty text; the row with the largest id
+Defined results: null text counts as empty text; very long texts are hashed and compared whole; the row with the largest id
 of a group stays, null ids rank lowest; of rows repeated with the same id and
 text one stays; an empty table gives an empty result; extra columns do not matter.
 """

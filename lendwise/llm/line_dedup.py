@@ -17,7 +17,7 @@ a Jaccard similarity of at least ``similar``. All sets are of 64-bit hashes.
    filters. The join is an equi-join on the token, whose hot keys Spark splits.
 4. Places of lines that are not their class's first, or whose class has an earlier match, are removed.
 
-Defined results: null and empty texts have no lines; lines without a word
+Defined results: null and empty texts have no lines; very long texts are read whole, one span each; lines without a word
 always stay; rows repeated with the same id and text get the same decision; null ids rank last; an
 empty table gives an empty result; extra columns may have any name. Ids are integers.
 """

@@ -6,7 +6,7 @@ the repetition rate of a source is target / size, and each document is emitted
 fraction. The coin is a hash of (seed, id, text), so reruns agree and no
 partitioning or order enters.
 
-Defined results: null text has size 0; a null source is a source of its own,
+Defined results: null text has size 0; very long texts are counted whole; a null source is a source of its own,
 ranked last; a source of size 0 has target and rate 0 (its documents carry no
 words, none is emitted); repeated rows are tossed alike; an empty table gives
 an empty result. Extra columns are carried along and may have any name.

@@ -13,7 +13,7 @@ Windows of words repeated within a text are found inside the row: 64-bit window
 hashes are sorted, neighbours compared, covered words counted. Nothing is
 exploded or shuffled, however long a text.
 
-Defined results: null and empty texts have no words and fail the base; repeated
+Defined results: null and empty texts have no words and fail the base; very long texts are measured whole; repeated
 rows and ids are judged alike; an empty table gives an empty result; extra
 columns do not matter.
 """

@@ -15,7 +15,7 @@ emits a spanning forest of the links that it finds (fewer rows than members), ne
 all pairs, which keeps every connection. Components are found by rounds of joins.
 
 Defined results: texts without words (null, empty) have fingerprint zero and
-are linked like any other; repeated rows are linked; null ids never name a component unless
+are linked like any other; a very long text is one fingerprint of all its shingles; repeated rows are linked; null ids never name a component unless
 all its ids are null; an empty table gives an empty result; extra columns do not matter.
 """
 

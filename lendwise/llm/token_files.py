@@ -15,7 +15,7 @@ ids is unpacked by numpy from the blocks that hold it. Shards are range
 partitions of the id, written by their tasks to the shared folder under a
 temporary name and renamed, so that a repeated task replaces its own file.
 
-Defined results: null and empty texts are the end id alone; null document ids
+Defined results: null and empty texts are the end id alone; very long texts are encoded whole; null document ids
 come first; equal ids are ordered by text; an empty table gives no shards; extra columns do not matter.
 """
 

@@ -147,6 +147,98 @@ def test_best_classes_against_brute_force():
         assert math.isclose(values[chosen - 1], max(values), rel_tol=1e-12)
 
 
+def test_scores_by_brute_force(spark, sf):
+    """Class bigrams are counted again from the words; the operator's own part in it is the classes alone."""
+    df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    rounds, n_classes = 2, 5
+    got = {r.doc_id: r.score for r in class_lm.score(df, classes=n_classes, rounds=rounds).collect()}
+    documents, totals = class_lm.encoded(class_lm.staged(df, "doc_id", "text", 7, 2, 1 << 20))
+    class_of, _ = class_lm.exchanged(class_lm.bigrams(documents), totals["frequent"], n_classes, rounds)
+    rows = df.collect()
+    symbols = {r.id: np.frombuffer(zlib.decompress(r.symbols), "<i4").tolist() for r in documents.collect()}
+    known = collections.Counter(w for r in rows if not is_out(r.doc_id) for w in tokens(r.text))
+    word_class = {}
+    for r in rows:
+        for w, s in zip(tokens(r.text), symbols[r.doc_id], strict=True):
+            assert word_class.setdefault(w, int(class_of[s])) == class_of[s]
+    assert len({word_class[w] for w, c in known.items() if c >= 5 and w != "\n"}) == n_classes and word_class["\n"] == 0
+    follow, size = collections.Counter(), collections.Counter()
+    for r in rows:
+        if not is_out(r.doc_id):
+            line = [0] + [word_class[w] for w in tokens(r.text)]
+            follow.update(zip(line[:-1], line[1:]))
+            size.update(line[1:])
+    top, once = 1 + n_classes + 64, sum(c == 1 for c in known.values())
+    total = sum(size.values())
+    leaving = collections.Counter()
+    for (v, _), n in follow.items():
+        leaving[v] += n
+
+    def log_p(v, w):
+        k, c = word_class[w], known[w]
+        step = (follow[v, k] + 10.0 * (size[k] + 1) / (total + top)) / (leaving[v] + 10.0)
+        return math.log10(step * (c / size[k] if c > 1 else 0.5 / once if c == 1 else 0.5))
+
+    for r in rows:
+        words = tokens(r.text)
+        want = sum(log_p(v, w) for v, w in zip([0] + [word_class[w] for w in words[:-1]], words, strict=True))
+        assert math.isclose(got[r.doc_id], want, rel_tol=1e-9), r.doc_id
+
+
+def test_merged_counts():
+    rng = np.random.default_rng(12)
+    for low, high in ((-50, 50), (-(1 << 62), 1 << 62), (7, 8)):
+        key, n = rng.integers(low, high, 3_000), rng.integers(1, 1 << 40, 3_000)
+        own, sums = class_lm.merged(key, n)
+        want = collections.Counter()
+        for k, m in zip(key.tolist(), n.tolist(), strict=True):
+            want[k] += m
+        assert own.tolist() == sorted(want) and sums.tolist() == [want[k] for k in sorted(want)]
+    assert [len(x) for x in class_lm.merged(key[:0], n[:0])] == [0, 0]
+
+
+@pytest.mark.parametrize("times", [1, 7, 8, 9, 40])
+def test_gains_of_few_and_many_occurrences(times):
+    """Counts on both sides of FEW: the best class against the likelihood of each move."""
+    rng = np.random.default_rng(times)
+    n_classes, v = 4, 14
+    top, classes = 1 + n_classes + 64, class_lm.first_classes(v, n_classes)
+    pairs = {(a, b): times * int(rng.integers(1, 4)) for a in range(v) for b in range(v) if a != b and rng.random() < 0.4}
+
+    def matrix_of(classes):
+        m = np.zeros((top, top))
+        for (a, b), n in pairs.items():
+            m[classes[a], classes[b]] += n
+        return m
+
+    around = collections.Counter()
+    for (a, b), n in pairs.items():
+        if a:
+            around[a, int(classes[b])] += n
+        if b:
+            around[b, top + int(classes[a])] += n
+    word, k, n = (np.array(x) for x in zip(*[(*key, n) for key, n in sorted(around.items())]))
+    for w, chosen in zip(*class_lm.best_classes(word, k, n, classes, matrix_of(classes), n_classes), strict=True):
+        values = []
+        for c in range(1, n_classes + 1):
+            other = classes.copy()
+            other[w] = c
+            values.append(class_lm.likelihood(matrix_of(other)))
+        assert math.isclose(values[chosen - 1], max(values), rel_tol=1e-12)
+
+
+def test_tables_that_are_read_are_deleted(spark, sf):
+    import pathlib
+    root = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "lendwise-llm"
+
+    def held(*names):
+        return {p for name in names for p in root.glob(f"*/{name}")}
+
+    before = held("staged", "words", "bigrams", "encoded")
+    assert class_lm.score(spark.read.parquet(f"{sf}/documents.parquet").limit(30), rounds=1).count() == 30
+    assert {p.name for p in held("staged", "words", "bigrams", "encoded") - before} == {"encoded"}
+
+
 def test_token_hashes_depend_on_tokens_only():
     hasher = TokenHasher()
     texts = ["Ab, ab!! x", "zz AB,ab !! x", "", None, "ab"]
