@@ -16,6 +16,7 @@ from lendwise.functions import features as fx
 from lendwise.operators import ordered
 from lendwise.operators.joins import join_fitted
 from lendwise.schema import nan_to_null
+from lendwise.sources.files import scratch_path
 
 
 # One rule for NaN: it is missing, as null is, in every report here (``nan_to_null``).
@@ -86,17 +87,22 @@ def duplicate_rows(df: DataFrame, key: str, columns: Sequence[str] | None = None
     """Q4: rows that repeat an earlier row (by ``key`` order) on ``columns`` (default: all but the key).
 
     128-bit fingerprints are counted first (slim rows, combined map-side). Only rows whose
-    fingerprint occurs twice are looked at in full: the first key per combination of values, compared exactly,
-    then the rows that are not the first. Both small tables are broadcast behind a size check (``join_fitted``), so
-    full rows do not move at all in the common case, else the suspected ones once. A hot group is one
-    combined row per task, never one task."""
+    fingerprint occurs twice are looked at in full. They are written to the shared folder, so that what follows is planned
+    on a plain table: over many computed columns the optimizer's constraints would else multiply with every column.
+    Then the first key per combination of values, compared exactly, and the rows that are not the first. Fingerprints and
+    first keys are broadcast behind a size check (``join_fitted``), so full rows do not move at all in the common case,
+    else the suspected ones by their fingerprint. A hot group is one combined row per task, never one task."""
     cols = _cols(columns) or [c for c in df.columns if c != key]
     f1, f2 = "_lw_print1", "_lw_print2"
     rows = df.withColumns({f1: F.xxhash64(*cols), f2: F.xxhash64(F.lit(1), *cols)})
     repeated = rows.groupBy(f1, f2).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
-    suspects = join_fitted(rows, repeated, [f1, f2])
-    first = suspects.groupBy(f1, f2, *cols).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
-    return join_fitted(suspects, first, [f1, f2, *cols]).where(F.col(key) != F.col("_first")).select(*df.columns)
+    suspects, path = join_fitted(rows, repeated, [f1, f2]), scratch_path(df.sparkSession, "suspects")
+    suspects.write.parquet(path)
+    suspects = df.sparkSession.read.schema(suspects.schema).parquet(path)
+    values = F.struct(*cols)
+    first = suspects.groupBy(f1, f2, values.alias("_values")).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    same = join_fitted(suspects, first, [f1, f2]).where(values.eqNullSafe(F.col("_values")))
+    return same.where(F.col(key) != F.col("_first")).select(*df.columns)
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:

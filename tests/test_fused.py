@@ -105,6 +105,24 @@ def test_duplicates_by_fingerprint(spark):
     assert "SortMergeJoin" not in plan and "Window" not in plan
 
 
+def test_duplicates_of_many_computed_columns_are_planned_on_a_plain_table(spark, monkeypatch):
+    """The optimizer's constraints grew with every computed column where the first rows were too many to broadcast."""
+    from lendwise.operators import joins
+
+    base = spark.range(400).select("id", *[(F.col("id") % 50 + i).alias(f"x{i}") for i in range(6)])
+    wide = base.select("id", *[F.when(F.col(f"x{i % 6}") % (i + 2) == 0, F.col(f"x{i % 6}")).alias(f"c{i}") for i in range(12)])
+    wide = wide.unionByName(wide.where("c0 > 10").withColumn("id", F.col("id") + 1_000))
+    rows, small, seen, want = wide.collect(), joins.join_fitted, {}, []
+    for r in sorted(rows):
+        want += [r["id"]] if tuple(r)[1:] in seen else []
+        seen.setdefault(tuple(r)[1:], r["id"])
+    monkeypatch.setattr(profile, "join_fitted", lambda big, fit, on: small(big, fit, on, max_rows=5))
+    got = profile.duplicate_rows(wide, "id")
+    plan = got._jdf.queryExecution().optimizedPlan()
+    assert "CASE WHEN" not in plan.toString() and sorted(r["id"] for r in got.collect()) == want
+    assert got.columns == wide.columns
+
+
 def test_density_of_a_heavy_tail(spark):
     x = np.concatenate([np.random.default_rng(5).lognormal(0, 1.5, 4_000), [900.0]])
     df = spark.createDataFrame([(float(v),) for v in x], "x double")
