@@ -26,40 +26,60 @@ from lendwise.sources.files import scratch_path
 
 @dataclass(frozen=True)
 class Keyed:
-    """One report: SQL text of its key columns, up to two measures, and the rows that count."""
+    """One report: SQL text of its key columns (up to KEYS), up to two measures, the rows that count, and the measures ("x",
+    "y" or "xy") whose exact sums it needs."""
 
     name: str
     key: tuple[str, ...] = ()
     x: str = "NULL"
     y: str = "NULL"
     where: str = "TRUE"
+    sums: str = ""
 
 
+#: Key columns of a keyed pass.
+KEYS = 3
 #: Aggregates of a keyed pass; sums are exact (money), averages plain.
-MEASURES = {"n": "count(1)", "x_n": "count(x)", "x_sum": f"CAST(sum(CAST(x AS {MONEY_TYPE})) AS DOUBLE)", "x_avg": "avg(x)", "x_min": "min(x)",
-            "x_max": "max(x)", "y_n": "count(y)", "y_sum": f"CAST(sum(CAST(y AS {MONEY_TYPE})) AS DOUBLE)"}
+MEASURES = {"n": "count(1)", "x_n": "count(x)", "x_sum": "CAST(sum(x_money) AS DOUBLE)", "x_avg": "avg(x)", "x_min": "min(x)",
+            "x_max": "max(x)", "y_n": "count(y)", "y_sum": "CAST(sum(y_money) AS DOUBLE)"}
 
 
 def keyed_pass(df: DataFrame, reports: Sequence[Keyed]) -> "KeyedTable":
-    def entry(r: Keyed) -> str:
-        key = ", ".join(f"CAST({k} AS STRING)" for k in r.key) or "CAST(NULL AS STRING)"
-        return (f"CASE WHEN {r.where} THEN named_struct('report', '{r.name}', 'key', array({key}), 'x', CAST({r.x} AS DOUBLE), "
-                f"'y', CAST({r.y} AS DOUBLE)) END")
+    """Money values, dear to convert, are made once per row and measure, whatever the number of reports that sum it, and only for those."""
+    needed: dict[str, list[str]] = {}  # measure -> rows that some report sums
+    for r in reports:
+        for m in r.sums:
+            needed.setdefault(getattr(r, m), []).append(f"({r.where})")
+    money = {m: f"_lw_money{i}" for i, m in enumerate(needed)}
 
-    entries = F.expr(f"explode(filter(array({', '.join(map(entry, reports))}), e -> e IS NOT NULL))").alias("e")
-    table = df.select(entries).select("e.*").groupBy("report", "key").agg(*[F.expr(sql).alias(name) for name, sql in MEASURES.items()])
+    def entry(r: Keyed) -> str:
+        keys = [f"CAST({k} AS STRING)" for k in r.key] + ["CAST(NULL AS STRING)"] * (KEYS - len(r.key))
+        sums = [money[getattr(r, m)] if m in r.sums else f"CAST(NULL AS {MONEY_TYPE})" for m in "xy"]
+        fields = ", ".join(f"'k{i}', {k}" for i, k in enumerate(keys))
+        return (f"CASE WHEN {r.where} THEN named_struct('report', '{r.name}', {fields}, 'x', CAST({r.x} AS DOUBLE), 'y', CAST({r.y} AS DOUBLE), "
+                f"'x_money', {sums[0]}, 'y_money', {sums[1]}) END")
+
+    rows = df.withColumns({name: F.expr(f"CASE WHEN {' OR '.join(dict.fromkeys(needed[m]))} THEN CAST(CAST({m} AS DOUBLE) AS {MONEY_TYPE}) END")
+                           for m, name in money.items()})
+    entries = F.expr(f"explode(array({', '.join(map(entry, reports))}))").alias("e")
+    table = rows.select(entries).where("e IS NOT NULL").select("e.*")
+    table = table.groupBy("report", *[f"k{i}" for i in range(KEYS)]).agg(*[F.expr(sql).alias(name) for name, sql in MEASURES.items()])
     path = scratch_path(df.sparkSession, "reports")
     table.write.parquet(path)
-    return KeyedTable(df.sparkSession.read.schema(table.schema).parquet(path))
+    return KeyedTable(df.sparkSession.read.schema(table.schema).parquet(path), {r.name: r.sums for r in reports})
 
 
 @dataclass
 class KeyedTable:
     rows: DataFrame
+    sums: dict[str, str]
 
     def of(self, name: str, key: dict[str, str] | None = None, **columns: str) -> DataFrame:
         """A report's rows: key columns (name -> type) and columns (name -> SQL text over the measures)."""
-        keys = [F.expr(f"CAST(key[{i}] AS {kind})").alias(k) for i, (k, kind) in enumerate((key or {}).items())]
+        missing = [m for m in "xy" if m not in self.sums[name] and any(f"{m}_sum" in sql for sql in columns.values())]
+        if missing:
+            raise ValueError(f"report {name!r} was not asked for sums of {missing}")
+        keys = [F.expr(f"CAST(k{i} AS {kind})").alias(k) for i, (k, kind) in enumerate((key or {}).items())]
         return self.rows.where(F.col("report") == name).select(*keys, *[F.expr(sql).alias(k) for k, sql in columns.items()])
 
 

@@ -142,7 +142,7 @@ def dashboard_tables(transformed: DataFrame, state: str | None = None,
     kind = dict(df.dtypes)[grade]
     counts = cached(lambda: fused.keyed_pass(df, [
         Keyed("grade", (grade,)), Keyed("month", ("year(issue_date)", "month(issue_date)"), where="issue_date IS NOT NULL"),
-        Keyed("state", ("addr_state",), x="loan_amount", where="addr_state IS NOT NULL")]))
+        Keyed("state", ("addr_state",), x="loan_amount", where="addr_state IS NOT NULL", sums="x")]))
 
     def share() -> DataFrame:
         rows = counts().of("grade", {grade: kind}, _n="n")
@@ -214,12 +214,12 @@ def eda_report(loans: DataFrame) -> "Frames":
         *[Keyed(f"values_{c}", (c,)) for c in CATEGORIES],
         Keyed("emp_length", ("emp_length",)),
         Keyed("pairs", ("home_ownership", "loan_status")),
-        Keyed("tokens", (), x=f"coalesce(CAST({a} = {b} AS INT), 0)"),
-        Keyed("state_year", ("addr_state", "year(issue_date)"), x="annual_inc", where=f"{state} AND issue_date IS NOT NULL"),
-        Keyed("year", ("year(issue_date)",), x="annual_inc", where="issue_date IS NOT NULL"),
-        Keyed("state", ("addr_state",), x="loan_amount", y="loan_id", where=state),
-        Keyed("title", ("emp_title",), x="annual_inc", where=title),
-        Keyed("title_home", ("emp_title", "home_ownership"), x="annual_inc", y="loan_amount", where=f"{title} AND {home}"),
+        Keyed("tokens", (), x=f"coalesce(CAST({a} = {b} AS INT), 0)", sums="x"),
+        Keyed("state_year", ("addr_state", "year(issue_date)"), x="annual_inc", where=f"{state} AND issue_date IS NOT NULL", sums="x"),
+        Keyed("year", ("year(issue_date)",), x="annual_inc", where="issue_date IS NOT NULL", sums="x"),
+        Keyed("state", ("addr_state",), x="loan_amount", y="loan_id", where=state, sums="x"),
+        Keyed("title", ("emp_title",), x="annual_inc", where=title, sums="x"),
+        Keyed("title_home", ("emp_title", "home_ownership"), x="annual_inc", y="loan_amount", where=f"{title} AND {home}", sums="xy"),
     ]))
 
     def second() -> fused.KeyedTable:

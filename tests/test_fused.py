@@ -130,3 +130,15 @@ def test_density_of_a_heavy_tail(spark):
     got = sorted(profile.kde(df, "x", 50).collect())
     want = [np.exp(-0.5 * ((r["x"] - x) / h) ** 2).sum() / (len(x) * h * math.sqrt(2 * math.pi)) for r in got]
     assert len(got) == 50 and max(abs(r["density"] - w) for r, w in zip(got, want)) < 1e-3 * max(want)
+
+
+def test_sums_are_made_only_for_the_reports_that_need_them(spark):
+    """A value beyond the money type counts in reports without sums, and outside the rows that a report sums."""
+    df = spark.createDataFrame([("a", 1.25, 1), ("a", 1e30, 2), ("b", 2.5, 1), (None, None, 1), ("a", 0.25, 1)], "g string, x double, k int")
+    t = fused.keyed_pass(df, [fused.Keyed("most", ("g",), x="x"), fused.Keyed("all", (), x="x", y="k"),
+                              fused.Keyed("sum", ("g", "k"), x="x", where="k = 1 AND g IS NOT NULL", sums="x")])
+    assert {tuple(r) for r in t.of("most", {"g": "STRING"}, n="n", m="x_max").collect()} == {("a", 3, 1e30), ("b", 1, 2.5), (None, 1, None)}
+    assert [tuple(r) for r in t.of("all", n="n", x="x_n", y="y_n").collect()] == [(5, 4, 5)]
+    assert {tuple(r) for r in t.of("sum", {"g": "STRING", "k": "INT"}, s="x_sum").collect()} == {("a", 1, 1.5), ("b", 1, 2.5)}
+    with pytest.raises(ValueError):
+        t.of("most", {"g": "STRING"}, s="x_sum")
