@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
 import sys
+from collections.abc import Callable
+from functools import lru_cache
 from types import ModuleType
 
 from lendwise.llm.common import HELD, WORD
@@ -29,6 +32,12 @@ PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTE_LEVEL = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
 
+@lru_cache(maxsize=256)
+def packer(n: int) -> Callable[..., bytes]:
+    """Packs ``n`` ids as little-endian unsigned 32-bit numbers."""
+    return struct.Struct(f"<{n}I").pack
+
+
 class Recent(dict):
     """A memory of about ``2 * keep`` entries in two generations: what is not
     used while ``keep`` others come is forgotten."""
@@ -81,14 +90,24 @@ class WordEncoder:
         for p in self.parts.unknown(parts):
             if p.isalpha() and (p.isascii() or max(p) < "\u0100"):  # split() made it: lower case, one piece of letters
                 ids = [x.id for x in self.merge(p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_LEVEL))]
-                self.parts[p] = struct.pack(f"<{len(ids)}I", *ids)
+                self.parts[p] = packer(len(ids))(*ids)
             else:
                 other.append(p)
         for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.parts[p] = struct.pack(f"<{len(e)}I", *e.ids)
+            self.parts[p] = packer(len(e))(*e.ids)
 
     def encode(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids of the whole text."""
+        """Little-endian unsigned 32-bit ids of the whole text. Python's cyclic collector pauses meanwhile: nothing here
+        makes cycles, and it would walk all words held each time that new ones come."""
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(text)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, text: str | None) -> bytes:
         words, known, parts = self.words(text or ""), self.known, self.parts
         known.age()
         new = known.unknown(set(words))

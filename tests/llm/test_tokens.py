@@ -184,3 +184,25 @@ def test_equal_long_pieces_get_sequences_of_their_own(spark):
     random.seed(1)
     df = spark.createDataFrame([(1, "a " * 500)] * 6 + [(2, "b " * 64)], "doc_id long, text string").repartition(3)
     check_packing(df, 32)
+
+
+def test_the_collector_rests_while_words_are_learned():
+    import gc
+
+    encoder, runs = WordEncoder(tokenizer_path()), []
+    count = lambda phase, info: runs.append(phase)
+    text = " ".join(f"{a}{b}{c}{d}" for a in "abcdefghij" for b in "klmnopqrst" for c in "aeiouy" for d in ("u", "v,", "é.", "w9"))
+    gc.collect()
+    gc.callbacks.append(count)
+    try:
+        found = encoder.encode(text)
+    finally:
+        gc.callbacks.remove(count)
+    whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert not runs and gc.isenabled() and np.frombuffer(found, "<u4").tolist() == whole
+    gc.disable()
+    try:
+        encoder.encode("one more")
+        assert not gc.isenabled()
+    finally:
+        gc.enable()
