@@ -33,6 +33,8 @@ from lendwise.llm.common import numbered, released, written
 from lendwise.llm.tokenization import END_ID, tokenizer_path, worker_encoder
 
 CAPACITY = 4096
+#: Text bytes encoded at a time: few, as packing follows other stages in the same workers.
+SPAN = 1 << 20
 
 
 class RoomTree:
@@ -126,14 +128,12 @@ def place(runs: list[tuple[int, int, int, int, int]]) -> Callable[[Iterator[pa.R
 def cut(path: str, end_id: int, capacity: int, keep_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Batches of (id, text) to pieces (id, piece, start, length, ids_crc32, whole, row[, ids]); ``row``
     is the piece's own number, ``whole`` that of a full one."""
-    end = end_id.to_bytes(4, "little")
-
     def run(batches):
         encoder, made = worker_encoder(path), TaskContext.get().partitionId() << 36
         for batch in batches:
             rows, out = [], {k: [] for k in ("piece", "start", "length", "ids_crc32", "whole", "row", "ids")}
-            for row, text in enumerate(batch.column(1)):
-                ids = memoryview(encoder.encode(text.as_py()) + end)
+            for row, document in enumerate(encoder.documents(batch.column(1), end_id, SPAN)):
+                ids = memoryview(document).cast("B")
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     full = len(part) == 4 * capacity

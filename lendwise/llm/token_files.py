@@ -156,20 +156,19 @@ class ShardReader:
 
 
 def shard_writer(uri: str, tokenizer: str, end_id: int, bits: int, block: int) -> Callable:
-    end = end_id.to_bytes(4, "little")
-
     def run(batches):
         store, folder = file_system(uri)
         task = TaskContext.get()
         name = f"shard-{task.partitionId():06d}.tok"
         temporary, writer, encoder = f"{folder}/.{name}.{uuid.uuid4().hex}", None, None
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if writer is None:
-                    encoder = worker_encoder(tokenizer)
-                    out = store.open_output_stream(temporary)
-                    writer = ShardWriter(out, bits, block)
-                writer.add(doc_id, np.frombuffer(encoder.encode(text.as_py()) + end, "<u4"))
+            if writer is None and batch.num_rows:
+                encoder = worker_encoder(tokenizer)
+                out = store.open_output_stream(temporary)
+                writer = ShardWriter(out, bits, block)
+            if batch.num_rows:
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.documents(batch.column(1), end_id), strict=True):
+                    writer.add(doc_id, ids)
         if writer is not None:
             writer.close()
             out.close()

@@ -1,21 +1,27 @@
-"""Token ids of whole texts, word by word, inside Spark tasks."""
+"""Token ids of whole texts, inside Spark tasks: the words of some texts at a
+time are numbered by Arrow, and only distinct words are looked up or encoded."""
 
 from __future__ import annotations
 
 import gc
 import os
-import re
 import struct
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from types import ModuleType
 
-from lendwise.llm.common import HELD, WORD
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from lendwise.llm.common import HELD
 
 #: Vocabulary size of the production tokenizer and the id that ends a document.
 VOCABULARY, END_ID = 49_408, 1
 TOKENIZER = "word_bpe_49k.json"
+#: Text bytes encoded at a time; a longer text is encoded by itself. More are faster, fewer take less memory.
+SPAN = 4 << 20
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -23,10 +29,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-#: Marks that the production tokenizer always makes a piece of their own after letters.
-MARKS = frozenset(".,;:!?")
-
-
+#: Fixed rule: a word of Latin-1 letters, and a mark that the production tokenizer always makes a piece of its own after letters.
+LETTERS = "A-Za-z" + "".join(chr(c) for c in range(0x80, 0x100) if chr(c).isalpha())
+MARKS = ".,;:!?"
+LETTERS_AND_MARK = f"^(?P<letters>[{LETTERS}]+)(?P<mark>[{MARKS}]?)$"
 #: Byte-level alphabet (fixed rule): printable bytes stand for themselves, the others for 256, 257, ... in order.
 PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTE_LEVEL = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
@@ -51,7 +57,7 @@ class Recent(dict):
             self.old = dict(self)
             self.clear()
 
-    def unknown(self, keys: set) -> list:
+    def unknown(self, keys: list) -> list:
         """The keys that are in neither generation; the others are made young."""
         missing, old = [k for k in keys if k not in self], self.old
         if old:
@@ -65,63 +71,95 @@ class WordEncoder:
     never merges across it, nor across letters and a closing mark. So the ids
     of a text are those of its words in a row, and those of a word of
     Latin-1 letters are those of its lower-case letters and its mark (checked
-    against whole-text encoding in the tests). Only bounded memories of recent
-    words are kept, however many there are."""
+    against whole-text encoding in the tests). Only a bounded memory of recent
+    words is kept, however many there are."""
 
-    def __init__(self, path: str, keep: int = 200_000, longest: int = 64):
+    def __init__(self, path: str, keep: int = 50_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
-        self.words = re.compile(WORD).findall
         self.longest = longest
-        self.known, self.parts = Recent(keep), Recent(keep)
-
-    @staticmethod
-    def split(word: str) -> tuple[str, str]:
-        """(part, mark): encoding both in a row encodes the word."""
-        letters, mark = (word[:-1], word[-1]) if word[-1] in MARKS else (word, "")
-        if letters.isalpha() and (letters.isascii() or max(letters) < "\u0100"):
-            return letters.lower(), mark
-        return word, ""
-
-    def _learn_parts(self, parts: set[str]) -> None:
-        other = []
-        for p in self.parts.unknown(parts):
-            if p.isalpha() and (p.isascii() or max(p) < "\u0100"):  # split() made it: lower case, one piece of letters
-                ids = [x.id for x in self.merge(p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_LEVEL))]
-                self.parts[p] = packer(len(ids))(*ids)
-            else:
-                other.append(p)
-        for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.parts[p] = packer(len(e))(*e.ids)
+        self.known = Recent(keep)
 
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids of the whole text. Python's cyclic collector pauses meanwhile: nothing here
-        makes cycles, and it would walk all words held each time that new ones come."""
+    def _blobs(self, parts: list[str], letters: bool) -> list[bytes]:
+        """Packed ids of distinct parts: lower-case Latin-1 letters, each one piece, or any words. Python's cyclic
+        collector pauses meanwhile: nothing here makes cycles, and it would walk all that is held again and again."""
         collects = gc.isenabled()
         gc.disable()
         try:
-            return self._encode(text)
+            return self._learnt(parts, letters)
         finally:
             if collects:
                 gc.enable()
 
-    def _encode(self, text: str | None) -> bytes:
-        words, known, parts = self.words(text or ""), self.known, self.parts
-        known.age()
-        new = known.unknown(set(words))
-        if new:
-            parts.age()
-            split = {w: self.split(w) for w in new}
-            self._learn_parts({p for s in split.values() for p in s if p})
-            known.update((w, parts[p] + parts[mark] if mark else parts[p]) for w, (p, mark) in split.items())
-        ids = b"".join(map(known.__getitem__, words))
-        for w in new:
-            if len(w) > self.longest:  # rare, and large: not kept
-                del known[w]
-                parts.pop(split[w][0], None)
-        return ids
+    def _learnt(self, parts: list[str], letters: bool) -> list[bytes]:
+        known = self.known
+        new = known.unknown(parts)
+        if letters:
+            for p in new:
+                ids = [x.id for x in self.merge(p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_LEVEL))]
+                known[p] = packer(len(ids))(*ids)
+        else:
+            for at in range(0, len(new), 10_000):
+                some = new[at:at + 10_000]
+                for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                    known[p] = packer(len(e))(*e.ids)
+        out = [known[p] for p in parts]
+        for p in new:
+            if len(p) > self.longest:  # rare, and large: not kept
+                del known[p]
+        return out
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Lists of ids of distinct words."""
+        found = pc.extract_regex(words, LETTERS_AND_MARK)
+        plain = found.is_valid()
+        letters = pc.utf8_lower(found.field("letters").filter(plain)).dictionary_encode()
+        marks, odd = pc.index_in(found.field("mark").filter(plain), pa.array(list(MARKS), pa.large_string())), words.filter(pc.invert(plain))
+        names = letters.dictionary.to_pylist()
+        blobs = self._blobs(names, True)
+        blobs += self._blobs(odd.to_pylist(), False) + self._blobs(list(MARKS), False) + [b""]
+        lists = lists_of(np.frombuffer(b"".join(blobs), "<u4"), np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4)
+        # Each word is two parts: its letters and its mark or nothing, or all of it and nothing.
+        part = np.full((len(words), 2), len(blobs) - 1, np.int64)
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        part[is_plain, 0] = letters.indices.to_numpy()
+        part[is_plain, 1] = len(names) + len(odd) + marks.fill_null(len(MARKS)).to_numpy()
+        part[~is_plain, 0] = len(names) + np.arange(len(odd))
+        both = lists.take(pa.array(part.reshape(-1)))
+        return pa.LargeListArray.from_arrays(pa.array(both.offsets.to_numpy()[::2]), both.values)
+
+    def spans(self, texts: pa.Array, span: int = SPAN) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Yields (ids, offsets of each text and the end) of some texts at a time; null texts are empty."""
+        size = np.append(0, np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy().astype(np.int64)))
+        a = 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(size, size[a] + span, "right")) - 1)
+            self.known.age()
+            # An empty word, before or after white space, has no ids.
+            words = pc.ascii_split_whitespace(texts.slice(a, b - a).cast(pa.large_string()).fill_null(""))
+            first, flat = words.offsets.to_numpy(), words.values.dictionary_encode()
+            ids = self._words(flat.dictionary).take(flat.indices)
+            yield ids.values.to_numpy(), ids.offsets.to_numpy()[first]
+            a = b
+
+    def documents(self, texts: pa.Array, end_id: int, span: int = SPAN) -> Iterator[np.ndarray]:
+        """The ids of each text and an end."""
+        for ids, offsets in self.spans(texts, span):
+            ends = offsets[1:] + np.arange(len(offsets) - 1)
+            out, own = np.full(len(ids) + len(ends), end_id, "<u4"), np.ones(len(ids) + len(ends), bool)
+            own[ends] = False
+            out[own] = ids
+            yield from np.split(out, ends[:-1] + 1)
+
+    def encode(self, text: str | None) -> bytes:
+        """Little-endian unsigned 32-bit ids of the whole text."""
+        return b"".join(ids.tobytes() for ids, _ in self.spans(pa.array([text], pa.large_string())))
+
+
+def lists_of(values: np.ndarray, lengths: np.ndarray) -> pa.LargeListArray:
+    return pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths))), pa.array(values, pa.uint32()))
 
 
 def worker_encoder(path: str) -> WordEncoder:

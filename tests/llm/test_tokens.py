@@ -39,6 +39,29 @@ def test_bounded_memory_gives_the_same_ids(spark, sf):
     assert len(encoder.known) + len(encoder.known.old) < 20_000
 
 
+def test_a_word_is_encoded_once_for_many_texts():
+    encoder, merged = WordEncoder(tokenizer_path(), keep=1), []
+    merge = encoder.merge
+    encoder.merge = lambda p: merged.append(p) or merge(p)
+    texts = ["Loan loan, \n déjà", None, "", " LOAN! x9 &&", "loan" * 30 + " loan."] * 200
+    got = list(encoder.documents(pa.array(texts), 1))
+    assert [d.tobytes() for d in got] == [ids_of(t).tobytes() for t in texts]
+    assert len(merged) == 3 and {"loan", "loan" * 30} < set(merged)  # the third in the byte-level alphabet
+    small = [d.tobytes() for d in encoder.documents(pa.array(["x", *texts])[1:], 1, span=20)]
+    assert small == [d.tobytes() for d in got]
+
+
+def test_word_memory_stays_small_over_new_words():
+    encoder = WordEncoder(tokenizer_path())
+    letters = "abcdefghijklmnop"
+    words = ["".join(letters[n >> 4 * k & 15] for k in range(5)) + "." for n in range(400_000)]
+    texts = [" ".join(words[a:a + 10_000]) for a in range(0, len(words), 10_000)]
+    for t in texts:
+        encoder.encode(t)
+    held = [m for m in vars(encoder).values() if isinstance(m, dict)]
+    assert sum(len(m) + len(m.old) for m in held) < 150_000
+
+
 @pytest.mark.parametrize("bits", [1, 5, 8, 12, 16, 17, 24, 31, 32])
 def test_packing_round_trip(bits):
     for n in (0, 1, 7, 1_000):
