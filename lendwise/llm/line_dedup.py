@@ -4,8 +4,8 @@ A line (of those with a word) is the set of its 5-word shingles, A-Z lowered;
 a line of fewer words is one token. A line is removed if an earlier one, in order of (id, line number), has
 a Jaccard similarity of at least ``similar``. All sets are of 64-bit hashes.
 
-1. ``lines``: every line's key (128-bit hash of its words), size and place;
-   counts of shingles per hash cell. Equal lines form a class, and only a class's first line
+1. ``lines``: every line's key (128-bit hash of its words) and place, the line numbers of each
+   document, and counts of shingles per hash cell. Equal lines form a class, and only a class's first line
    goes on, so copies never meet pairwise.
 2. Order tokens by rarity: (count of the token's cell, hash). Any order shared by all lines
    gives the exact join; rare tokens first keep the posting lists short. Two
@@ -15,7 +15,8 @@ a Jaccard similarity of at least ``similar``. All sets are of 64-bit hashes.
    settles groups of near copies in one row per line. Lines not settled so are joined with all
    earlier lines of their postings, behind length, positional and bitmap
    filters. The join is an equi-join on the token, whose hot keys Spark splits.
-4. Places of lines that are not their class's first, or whose class has an earlier match, are removed.
+4. Lines stay that are their class's first and whose class has no earlier match. They meet their
+   document's line numbers, of which the others are removed.
 
 Defined results: null and empty texts have no lines; very long texts are read whole, one span each; lines without a word
 always stay; rows repeated with the same id and text get the same decision; null ids rank last; an
@@ -24,7 +25,7 @@ empty table gives an empty result; extra columns may have any name. Ids are inte
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import forget_held, looked_up, new_names, released, written
+from lendwise.llm.common import forget_held, new_names, released, written
 from lendwise.llm.ngrams import SPACE, TokenHasher, buffer, mixed
 
 SHINGLE, SIMILAR = 5, Fraction(4, 5)
@@ -50,20 +51,22 @@ class LineHasher(TokenHasher):
         self.kinds = np.ones(256, np.uint8)
         self.kinds[SPACE] = 0
         self.shingle = shingle
+        self.line_powers = [(np.ones(1, np.uint64),) * 2 for _ in LINE_BASES]
 
-    def lines(self, texts: pa.Array, span: int = 1 << 20) -> Iterator[tuple]:
-        """Yields (text row, line number, h1, h2, first token of each line, tokens) of some texts at a time."""
+    def lines(self, texts: pa.Array, chosen: Callable[[np.ndarray], np.ndarray] | None = None, span: int = 1 << 18) -> Iterator[tuple]:
+        """Yields (text row, line number, h1, h2, first token of each line, tokens) of some texts at a time.
+        ``chosen`` maps the h1 of lines to a mask of those whose tokens are asked for, else all are."""
         data, offsets = buffer(texts)
         a = 0
         while a < len(texts):
             b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + span, "right")) - 1)
             part = data[offsets[a]:offsets[b]]
-            found = self._lines(part, offsets[a:b + 1] - offsets[a])
+            found = self._lines(part, offsets[a:b + 1] - offsets[a], chosen)
             if found:
                 yield (found[0] + a, *found[1:])
             a = b
 
-    def _lines(self, data, offsets):
+    def _lines(self, data, offsets, chosen):
         h, first = self.tokens(data, offsets)
         if not len(h):
             return None
@@ -74,18 +77,21 @@ class LineHasher(TokenHasher):
         fresh = np.append(True, line[1:] != line[:-1])
         at = np.flatnonzero(fresh)
         ends = np.append(at[1:], len(h))
-        number = (before - np.searchsorted(breaks, offsets[:-1])[doc])[at]
+        number = (before[at] - np.searchsorted(breaks, offsets[:-1])[doc[at]])
         n = ends - at
         keys = []
-        for base in LINE_BASES:
-            powers = np.cumprod(np.append(np.uint64(1), np.full(len(h), base, np.uint64)))
-            sums = np.append(np.uint64(0), np.cumsum(mixed(h ^ np.uint64(base)) * powers[1:]))
-            back = np.cumprod(np.append(np.uint64(1), np.full(len(h), pow(base, -1, 1 << 64), np.uint64)))
+        for j, base in enumerate(LINE_BASES):
+            if len(self.line_powers[j][0]) <= len(h):
+                self.line_powers[j] = tuple(np.cumprod(np.append(np.uint64(1), np.full(len(h), x, np.uint64))) for x in (base, pow(base, -1, 1 << 64)))
+            powers, back = self.line_powers[j]
+            sums = np.append(np.uint64(0), np.cumsum(mixed(h ^ np.uint64(base)) * powers[1:len(h) + 1]))
             keys.append(mixed((sums[ends] - sums[at]) * back[at] + n.astype(np.uint64)))
+        mine = None if chosen is None else chosen(keys[0])
         k, own = self.shingle, np.cumsum(fresh) - 1
-        whole = np.flatnonzero(n < k)
+        whole = np.flatnonzero(n < k if mine is None else (n < k) & mine)
         if len(h) >= k:
-            inside = np.flatnonzero(own[k - 1:] == own[:len(h) - k + 1])
+            inside = own[k - 1:] == own[:len(h) - k + 1]
+            inside = np.flatnonzero(inside if mine is None else inside & mine[own[k - 1:]])
             s = h[inside]
             for j in range(1, k):
                 s = s * np.uint64(LINE_BASES[0]) + h[inside + j]
@@ -95,11 +101,41 @@ class LineHasher(TokenHasher):
         return doc[at], number, keys[0], keys[1], owner, token
 
 
-def ranked(owner: np.ndarray, token: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(owner, token, position, size): distinct tokens of each line, the rarest first."""
-    order = np.lexsort((token, cells[token >> np.uint64(64 - CELL_BITS)], owner))
+class FirstSeen:
+    """Masks of the lines that a task meets for the first time."""
+
+    def __init__(self) -> None:
+        self.seen = np.zeros(0, np.uint64)
+
+    def __call__(self, h1: np.ndarray, among: np.ndarray | None = None) -> np.ndarray:
+        own, first = np.unique(h1, return_index=True)
+        new = np.ones(len(own), bool) if among is None else among[first]
+        if len(self.seen):
+            new &= self.seen[np.minimum(np.searchsorted(self.seen, own), len(self.seen) - 1)] != own
+        self.seen = np.sort(np.concatenate([self.seen, own[new]]), kind="stable")
+        mask = np.zeros(len(h1), bool)
+        mask[first[new]] = True
+        return mask
+
+
+def rarity(cells: np.ndarray) -> np.ndarray:
+    """The rank of each cell by (count, number)."""
+    out = np.empty(len(cells), np.uint64)
+    out[np.argsort(cells, kind="stable")] = np.arange(len(cells), dtype=np.uint64)
+    return out
+
+
+def ranked(owner: np.ndarray, token: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, token, position, size): distinct tokens of each line, the rarest first: in order of (rarity of
+    the cell, rest of the token)."""
+    low = np.uint64(64 - CELL_BITS)
+    order = np.argsort(rarity[token >> low] << low | token & ((np.uint64(1) << low) - np.uint64(1)))
+    lines = owner[order]
+    if len(owner) and owner.max() < 1 << 16:
+        lines = lines.astype(np.uint16)  # sorted by their digits
+    order = order[np.argsort(lines, kind="stable")]
     owner, token = owner[order], token[order]
-    once = np.append(True, (owner[1:] != owner[:-1]) | (token[1:] != token[:-1]))
+    once = np.append(True, (owner[1:] != owner[:-1]) | (token[1:] != token[:-1]))[:len(owner)]
     owner, token = owner[once], token[once]
     size = np.bincount(owner)
     start = np.cumsum(size) - size
@@ -125,10 +161,16 @@ class _Join:
                                 F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0)).alias("text_hash"),
                                 F.col(text_col).cast("string").alias("text"))
 
-    def lines(self) -> tuple[DataFrame, np.ndarray]:
-        """(written places of lines, shingles per cell)"""
+    def lines(self) -> tuple[DataFrame, DataFrame, np.ndarray]:
+        """(written places of lines, line numbers of each document with a line, shingles per cell)"""
         shingle = self.shingle
 
+        def rows(**columns):
+            some = next(iter(columns.values()))
+            return batch({c: columns.get(c, pa.nulls(len(some), t)) for c, t in types.items()})
+
+        types = {"cell": pa.int32()} | dict.fromkeys(("h1", "h2", "id", "text_hash", "line"), pa.int64()) | {"numbers": pa.list_(pa.int64())}
+
         def run(batches):
             forget_held()
             hasher, cells = LineHasher(shingle), np.zeros(1 << CELL_BITS, np.int64)
@@ -136,17 +178,21 @@ class _Join:
                 ids, texts = b.column(0).to_numpy(), b.column(1).to_numpy()
                 for row, number, h1, h2, _, token in hasher.lines(b.column(2)):
                     cells += np.bincount((token >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
-                    yield batch({"cell": pa.nulls(len(row), pa.int32()), "h1": h1, "h2": h2, "id": ids[row], "text_hash": texts[row],
-                                 "line": number.astype(np.int64)})
+                    number = number.astype(np.int64)
+                    first = np.append(True, row[1:] != row[:-1])  # a document's first line has the numbers of all
+                    ends = np.append(np.flatnonzero(first), len(row))
+                    offsets = np.append(ends[np.cumsum(first) - first], len(row)).astype(np.int32)
+                    numbers = pa.ListArray.from_arrays(pa.array(offsets), pa.array(number), mask=pa.array(~first))
+                    yield rows(h1=h1, h2=h2, id=ids[row], text_hash=texts[row], line=number, numbers=numbers)
             used = np.flatnonzero(cells)
-            none = pa.nulls(len(used), pa.int64())
-            yield batch({"cell": used.astype(np.int32), "h1": cells[used], "h2": none, "id": none, "text_hash": none, "line": none})
+            yield rows(cell=used.astype(np.int32), h1=cells[used])
 
-        rows = written(self.docs.mapInArrow(released(run), "cell int, h1 long, h2 long, id long, text_hash long, line long"), "lines")
+        schema = "cell int, h1 long, h2 long, id long, text_hash long, line long, numbers array<bigint>"
+        made = written(self.docs.mapInArrow(released(run), schema), "lines")
         cells = np.zeros(1 << CELL_BITS, np.int64)
-        for r in rows.filter("cell is not null").groupBy("cell").agg(F.sum("h1").alias("n")).collect():
+        for r in made.filter("cell is not null").groupBy("cell").agg(F.sum("h1").alias("n")).collect():
             cells[r["cell"]] = r["n"]
-        return rows.filter("cell is null").drop("cell"), cells
+        return made.filter("line is not null").drop("cell", "numbers"), made.filter("numbers is not null").select("id", "text_hash", "numbers"), cells
 
     def postings(self, cells: np.ndarray) -> DataFrame:
         """Written rows (token, h1, size, pos, lead, near): each line of a posting but
@@ -155,17 +201,12 @@ class _Join:
 
         def prefixes(batches):
             forget_held()
-            hasher, seen = LineHasher(shingle), np.zeros(0, np.uint64)
+            hasher, order = LineHasher(shingle), rarity(cells)
+            new = FirstSeen()  # a line once per task: copies leave it once
             for b in batches:
                 ids = b.column(0).to_numpy()
-                for row, _, h1, _, owner, token in hasher.lines(b.column(2)):
-                    own, first = np.unique(h1, return_index=True)
-                    first = first[~np.isin(own, seen)]  # a line once per task: copies leave it once
-                    seen = np.union1d(seen, own)
-                    new = np.zeros(len(h1), bool)
-                    new[first] = True
-                    mine = new[owner]
-                    owner, token, pos, size = ranked(owner[mine], token[mine], cells)
+                for row, _, h1, _, owner, token in hasher.lines(b.column(2), new):
+                    owner, token, pos, size = ranked(owner, token, order)
                     head = pos < (size - needed(size, similar) + 1)[owner]
                     owner, token, pos = owner[head], token[head], pos[head]
                     yield batch({"token": token, "id": ids[row][owner], "h1": h1[owner], "at": size[owner].astype(np.int64) << 32 | pos})
@@ -208,19 +249,17 @@ class _Join:
 
         def run(batches):
             forget_held()
-            hasher, seen = LineHasher(shingle), np.zeros(0, np.uint64)
+            hasher, order, new = LineHasher(shingle), rarity(np.zeros(1 << CELL_BITS, np.int64)), FirstSeen()
+
+            def chosen(h1):
+                slot = (h1 & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+                return new(h1, bits[slot >> 3] >> (slot & 7) & 1 > 0)
+
             for b in batches:
-                for _, _, h1, h2, owner, token in hasher.lines(b.column(2)):
-                    own, first = np.unique(h1, return_index=True)
-                    slot = (own & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-                    first = first[(bits[slot >> 3] >> (slot & 7) & 1 > 0) & ~np.isin(own, seen)]
-                    if not len(first):
+                for _, _, h1, h2, owner, token in hasher.lines(b.column(2), chosen):
+                    if not len(owner):
                         continue
-                    seen = np.union1d(seen, h1[first])
-                    new = np.zeros(len(h1), bool)
-                    new[first] = True
-                    mine = new[owner]
-                    owner, token, _, size = ranked(owner[mine], token[mine], np.zeros(1 << CELL_BITS, np.int64))
+                    owner, token, _, size = ranked(owner, token, order)
                     lines = np.flatnonzero(size)
                     flips = np.zeros((len(size), 256), np.uint8)
                     np.bitwise_xor.at(flips, (owner, (token & np.uint64(255)).astype(np.int64)), 1)
@@ -283,16 +322,15 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per distinct (id, text_hash) with a line: n_lines, removed (ascending
     line numbers, from 0, of the lines to remove). Null ids are LAST here."""
     join = _Join(docs, id_col, text_col, similar, shingle)
-    places, cells = join.lines()
-    place = F.struct("id", "text_hash", "line")
-    classes = written(places.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "classes")
+    places, documents, cells = join.lines()
+    classes = written(places.groupBy("h1", "h2").agg(F.min(F.struct("id", "text_hash", "line")).alias("first")), "classes")
     matched = join.matched(classes, cells)
-    classes = written(classes.join(matched.withColumn("gone", F.lit(True)), ["h1", "h2"], "left"), "classes")
-    seen = looked_up(places, classes, ["h1", "h2"], "n")
-    out = F.coalesce("gone", F.lit(False)) | (place != F.col("first"))
-    seen = seen.select("id", "text_hash", "line", out.alias("out")).groupBy("id", "text_hash", "line").agg(F.max("out").alias("out"))
-    return seen.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n_lines"),
-                                               F.sort_array(F.collect_list(F.when(F.col("out"), F.col("line")))).alias("removed"))
+    stays = classes.join(matched, ["h1", "h2"], "left_anti").select("first.*")
+    stays = stays.groupBy("id", "text_hash").agg(F.collect_list("line").alias("stays"))
+    found = documents.dropDuplicates(["id", "text_hash"]).join(stays, ["id", "text_hash"], "left")
+    none = F.array().cast("array<bigint>")
+    return found.select("id", "text_hash", F.size("numbers").cast("long").alias("n_lines"),
+                        F.array_except("numbers", F.coalesce("stays", none)).alias("removed"))
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -38,8 +38,8 @@ class TokenHasher:
 
     def __init__(self) -> None:
         self.kinds = byte_classes()
-        self.lower = np.arange(256, dtype=np.uint64)
-        self.lower[0x41:0x5B] += np.uint64(32)
+        self.codes = np.arange(1, 257, dtype=np.uint64)  # never zero
+        self.codes[0x41:0x5B] += np.uint64(32)
         self.inverse = np.uint64(pow(BASE, -1, 1 << 64))
         self.powers = self.inverses = np.ones(1, np.uint64)
 
@@ -66,7 +66,8 @@ class TokenHasher:
         starts, ends = starts[word], ends[word]
         self.starts = starts
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((self.lower[data] + np.uint64(1)) * self.powers[:len(data)], out=sums[1:])
+        np.multiply(self.codes[data], self.powers[:len(data)], out=sums[1:])
+        np.cumsum(sums, out=sums)
         h = mixed((sums[ends] - sums[starts]) * self.inverses[starts])
         return h, np.searchsorted(starts, offsets)
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -184,3 +185,34 @@ def test_dense_and_chained_groups_stay_connected():
     group = {int(x): int(x) for x in np.concatenate([dense, chain]).view(np.int64)}
     group.update(zip(nodes.tolist(), roots.tolist(), strict=True))
     assert len({group[int(x)] for x in dense.view(np.int64)}) == 1 and len({group[int(x)] for x in chain.view(np.int64)}) == 1
+
+
+def test_tokens_of_chosen_lines_only():
+    texts = pa.array(["a b c d e f\n\nx y\na b c d e f", None, "x y\nq r s t u v w", ""])
+    row, number, h1, _, owner, token = next(line_dedup.LineHasher().lines(texts))
+    assert row.tolist() == [0, 0, 0, 2, 2] and number.tolist() == [0, 2, 3, 0, 1]
+    new = line_dedup.FirstSeen()
+    *_, h1_again, _, own, some = next(line_dedup.LineHasher().lines(texts, new))
+    assert (h1 == h1_again).all() and sorted(own.tolist()) == [0, 0, 1, 4, 4, 4]
+    assert sorted(some) == sorted(token[np.isin(owner, [0, 1, 4])])
+    assert not new(h1).any()
+    assert new(np.array([1, 1, 2], np.uint64), np.array([False, False, True])).tolist() == [False, False, True]
+
+
+@pytest.mark.parametrize("lines", [50, 100_000])
+def test_tokens_ranked_as_by_a_full_sort(lines):
+    rng = np.random.default_rng(lines)
+    owner, token = rng.integers(0, lines, 5_000), rng.integers(0, 1 << 63, 300, dtype=np.uint64)[rng.integers(0, 300, 5_000)]
+    cells = rng.integers(0, 3, 1 << line_dedup.CELL_BITS)
+    got = line_dedup.ranked(owner, token, line_dedup.rarity(cells))
+    want = sorted({(int(o), int(cells[int(t) >> 48]), int(t)) for o, t in zip(owner, token, strict=True)})
+    assert [(o, t) for o, _, t in want] == list(zip(got[0].tolist(), got[1].tolist(), strict=True))
+
+
+def test_removed_lines_need_no_join_of_all_lines(spark, monkeypatch):
+    rows, made = [(k, "a b c d e f\nown line %d of it here" % k) for k in range(20)], []
+    written = line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: made.append(name) or written(df, name))
+    got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.removed_lines for r in got] == [[], *[[0]] * 19] and {r.n_lines for r in got} == {2}
+    assert made.count("classes") == 1
