@@ -13,8 +13,8 @@ a Jaccard similarity of at least ``similar``. All sets are of 64-bit hashes.
 3. Postings: prefix tokens meet by token. First each line is tried against the
    earliest line of the posting only (length and positional filter, then the exact Jaccard), which
    settles groups of near copies in one row per line. Lines not settled so are joined with all
-   earlier lines of their postings, behind length, positional and bitmap
-   filters. The join is an equi-join on the token, whose hot keys Spark splits.
+   earlier lines of their postings. Both are behind length, positional and bitmap
+   filters; tables that no later step reads are deleted. The join is an equi-join on the token, whose hot keys Spark splits.
 4. Lines stay that are their class's first and whose class has no earlier match. They meet their
    document's line numbers, of which the others are removed.
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import forget_held, new_names, released, written
+from lendwise.llm.common import discard_written, forget_held, new_names, released, written
 from lendwise.llm.ngrams import SPACE, TokenHasher, buffer, mixed
 
 SHINGLE, SIMILAR = 5, Fraction(4, 5)
@@ -290,20 +290,30 @@ class _Join:
         postings = self.postings(cells)
         wanted = written(postings.select("h1").union(postings.select("lead")).distinct(), "wanted")
         sets = self.sets(wanted, classes)
-        pairs = postings.filter("near").select(F.col("h1").alias("x"), F.col("lead").alias("y")).distinct()
-        settled = written(self.verified(pairs, sets), "settled")
+        discard_written(wanted)
         maps = ["b0", "b1", "b2", "b3"]
         lines = postings.select("token", "h1", "pos").distinct().join(sets.select("h1", "h2", "size", "first", *maps), "h1")
         lines = written(lines, "posted")
-        x = lines.join(settled, ["h1", "h2"], "left_anti").select(*[F.col(c).alias(f"x_{c}") for c in lines.columns])
-        y = lines.select(*[F.col(c).alias(f"y_{c}") for c in lines.columns])
         t = self.similar
         apart = sum((F.bit_count(F.col(f"x_{m}").bitwiseXOR(F.col(f"y_{m}"))) for m in maps), F.lit(0))
+        alike = apart * (t.numerator + t.denominator) <= (F.col("x_size") + F.col("y_size")) * (t.denominator - t.numerator)
+        # Pairs are written before their sets are fetched, so that few pairs are taken to the sets, not all sets to the pairs.
+        x, y = (sets.select(*[F.col(c).alias(f"{side}_{c}") for c in ("h1", "size", *maps)]) for side in "xy")
+        pairs = postings.filter("near").select("h1", "lead").distinct()
+        pairs = pairs.join(x, F.col("h1") == F.col("x_h1")).join(y, F.col("lead") == F.col("y_h1")).filter(alike)
+        pairs = written(pairs.select(F.col("x_h1").alias("x"), F.col("y_h1").alias("y")).distinct(), "pairs")
+        discard_written(postings)
+        settled = written(self.verified(pairs, sets), "settled")
+        x = lines.join(settled, ["h1", "h2"], "left_anti").select(*[F.col(c).alias(f"x_{c}") for c in lines.columns])
+        y = lines.select(*[F.col(c).alias(f"y_{c}") for c in lines.columns])
         rest = x.join(y, (F.col("x_token") == F.col("y_token")) & (F.col("y_first") < F.col("x_first"))
-                      & passes(F.col("x_size"), F.col("x_pos"), F.col("y_size"), F.col("y_pos"), t)
-                      & (apart * (t.numerator + t.denominator) <= (F.col("x_size") + F.col("y_size")) * (t.denominator - t.numerator)))
-        more = self.verified(rest.select(F.col("x_h1").alias("x"), F.col("y_h1").alias("y")).distinct(), sets)
-        return written(settled.union(more).distinct(), "matched")
+                      & passes(F.col("x_size"), F.col("x_pos"), F.col("y_size"), F.col("y_pos"), t) & alike)
+        rest = written(rest.select(F.col("x_h1").alias("x"), F.col("y_h1").alias("y")).distinct(), "rest")
+        discard_written(pairs, lines)
+        more = self.verified(rest, sets)
+        found = written(settled.union(more).distinct(), "matched")
+        discard_written(sets, settled, rest)
+        return found
 
 
 def passes(size, pos, other_size, other_pos, t: Fraction):

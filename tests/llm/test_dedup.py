@@ -216,3 +216,19 @@ def test_removed_lines_need_no_join_of_all_lines(spark, monkeypatch):
     got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
     assert [r.removed_lines for r in got] == [[], *[[0]] * 19] and {r.n_lines for r in got} == {2}
     assert made.count("classes") == 1
+
+
+def test_tables_of_the_line_join_are_deleted_once_read(spark):
+    import pathlib
+    root = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "lendwise-llm"
+    names = ("lines", "classes", "postings", "wanted", "sets", "posted", "pairs", "settled", "rest", "matched")
+
+    def held():
+        return {p for name in names for p in root.glob(f"*/{name}")}
+
+    before = held()
+    line = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, line), (2, line + " x"), (3, "y " + line), (4, "other words of a line\nand more"), (5, line)]
+    got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.removed_lines for r in got] == [[], [0], [0], [], [0]]
+    assert {p.name for p in held() - before} == {"lines", "classes", "matched"}
