@@ -17,8 +17,10 @@ documents whose crc32(id as text) mod ``folds`` is not ``held``.
    (the two halves take turns) may move, each to the class that raises the class-bigram likelihood
    most given the other words' classes. It ends when a turn of both halves brings no rise
    (or after ``rounds``, where given); the best round's classes stay. There are 64 classes, and from
-   32,768 words on twice the cube root of their number. Words, contexts and counts are tables;
-   driver and tasks hold the class of each clustered word (2 bytes) and the class bigrams.
+   32,768 words on twice the cube root of their number. Words, contexts and counts are tables: bigrams are
+   dealt by word once, before the rounds, so that a round decides on a word where its bigrams lie and shuffles only the class
+   contexts of the ``HOT`` most frequent words, whose bigrams are spread. Driver and tasks hold the class of each
+   clustered word (2 bytes) and the class bigrams.
 5. P(w | v) = P(class w | class v) * P(w | class w). Transitions are
    smoothed with the class frequencies; in the class of words seen once, ``unseen`` of
    the mass is the unknown word's. It sums to one over known words, the end and one unknown word.
@@ -30,16 +32,17 @@ is unknown; an empty table gives an empty result; extra columns do not matter.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendwise.llm.common import WORD, discard_written, numbered, released, small_enough, written
+from lendwise.llm.common import discard_written, numbered, released, small_enough, written
+from lendwise.llm.ngrams import mixed
 
 FOLDS, HELD = 7, 2
 LEAST, CLASSES, UNSEEN, SMOOTH = 5, 64, 0.5, 10.0
@@ -48,16 +51,29 @@ BLOCK_BYTES = 16 << 20
 #: words, below zero: they index the end of an array over all symbols.
 END = b"\n"
 BAND, ONCE, UNKNOWN, OTHERS = -100, -2, -1, 100
-#: Bigrams that a task counts at a time.
-SPAN = 1 << 20
 #: Counts up to this have their gains in a table.
 FEW = 8
+#: Words up to this rank have their bigrams in SPREAD parts; a part has about 2^PART_BITS tokens.
+HOT, SPREAD, PART_BITS = 64, 16, 18
 
 
 def held_out(doc_id, folds: int = FOLDS, held: int = HELD) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % folds == held
 
 
+def numbered_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(word numbers of all texts, each text ending with the end's number 0; end of each text among them; the names)."""
+    lowered = pc.ascii_lower(texts.cast(pa.large_string()).combine_chunks().fill_null(""))  # A-Z only
+    lists = pc.ascii_split_whitespace(lowered)
+    words, doc = lists.flatten(), np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    some = pc.greater(pc.binary_length(words), 0)  # white space at the ends of a text leaves empty words
+    words, doc = words.filter(some).dictionary_encode(), doc[some.to_numpy(zero_copy_only=False)]
+    seq = np.zeros(len(doc) + len(lists), np.uint32)
+    seq[np.arange(len(doc)) + doc] = words.indices.to_numpy() + 1
+    ends = np.cumsum(np.bincount(doc, minlength=len(lists)) + 1)
+    return seq, ends, pa.concat_arrays([pa.array([END.decode()], pa.large_string()), words.dictionary])
+
+
 def staged(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int, block_bytes: int) -> DataFrame:
     """Written rows, of a word (block, number, word, n) or of a document
     (block, id, held_out, numbers as unsigned 32-bit, packed)."""
@@ -65,42 +81,39 @@ def staged(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int, b
     kind = dict(rows.dtypes)["id"]
 
     def run(batches):
-        words_of = re.compile(WORD.encode()).findall
-        task, blocks = TaskContext.get().partitionId() << 24, 0
-        numbers, learnt, size = {END: 0}, [np.zeros(0, np.uint32)], 0
-
-        def block_words():
-            names = list(numbers)
-            n = np.bincount(np.concatenate(learnt), minlength=len(names))
-            for at in range(0, len(names), 50_000):
-                part = names[at:at + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), task + blocks)), pa.array(np.arange(at, at + len(part), dtype=np.int32)),
-                     pa.array(part, pa.binary()).cast(pa.string()), pa.array(n[at:at + len(part)], pa.int64()),
-                     pa.nulls(len(part), id_type), pa.nulls(len(part), pa.bool_()), pa.nulls(len(part), pa.binary())], names=columns)
-
-        id_type = None
+        task, blocks, waiting, size = TaskContext.get().partitionId() << 24, 0, [], 0
         for b in batches:
-            id_type = b.column(0).type
-            for row, text in enumerate(b.column(1)):
-                raw = (text.as_py() or "").encode().lower()  # bytes.lower() touches A-Z only
-                found = words_of(raw)
-                found.append(END)
-                for w in set(found).difference(numbers):
-                    numbers[w] = len(numbers)
-                seq = np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))
-                out = held_out(b.column(0)[row].as_py(), folds, held)
-                if not out:
-                    learnt.append(seq)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([task + blocks]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()),
-                     b.column(0).slice(row, 1), pa.array([out]), pa.array([zlib.compress(seq.tobytes(), 1)])], names=columns)
-                size += len(raw)
+            ends = np.cumsum(pc.binary_length(b.column(1)).fill_null(0).to_numpy().astype(np.int64))
+            at = 0
+            while at < b.num_rows:
+                before = ends[at - 1] if at else 0
+                end = min(b.num_rows, int(np.searchsorted(ends, before + block_bytes - size)) + 1)
+                waiting.append(b.take(pa.array(np.arange(at, end))))  # not a slice: Arrow's string functions take whole buffers
+                size, at = size + int(ends[end - 1] - before), end
                 if size >= block_bytes:
-                    yield from block_words()
-                    numbers, learnt, size, blocks = {END: 0}, [np.zeros(0, np.uint32)], 0, blocks + 1
-        if id_type is not None:
-            yield from block_words()
+                    yield from block(task + blocks, pa.Table.from_batches(waiting).combine_chunks())
+                    waiting, size, blocks = [], 0, blocks + 1
+        if waiting:
+            yield from block(task + blocks, pa.Table.from_batches(waiting).combine_chunks())
+
+    def block(number, table):
+        seq, ends, names = numbered_words(table.column("text"))
+        ids = pa.concat_arrays(table.column("id").chunks)
+        out = np.array([held_out(x.as_py(), folds, held) for x in ids], bool)
+        n = np.bincount(seq[np.repeat(~out, np.diff(ends, prepend=0))], minlength=len(names))
+        starts = np.append(0, ends[:-1])
+        for at in range(0, len(out), 1 << 12):
+            rows = range(at, min(at + (1 << 12), len(out)))
+            m = len(rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(m, number)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.string()), pa.nulls(m, pa.int64()), ids.slice(at, m),
+                 pa.array(out[at:at + m]), pa.array([zlib.compress(seq[starts[r]:ends[r]].tobytes(), 1) for r in rows], pa.binary())], names=columns)
+        for at in range(0, len(names), 50_000):
+            part = names.take(pa.array(np.arange(at, min(at + 50_000, len(names)))))
+            m = len(part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(m, number)), pa.array(np.arange(at, at + m, dtype=np.int32)), part.cast(pa.string()), pa.array(n[at:at + m], pa.int64()),
+                 pa.nulls(m, ids.type), pa.nulls(m, pa.bool_()), pa.nulls(m, pa.binary())], names=columns)
 
     columns = ["block", "number", "word", "n", "id", "held_out", "numbers"]
     return written(rows.mapInArrow(released(run), f"block long, number int, word string, n long, id {kind}, held_out boolean, numbers binary"), "staged")
@@ -159,15 +172,48 @@ def encoded(rows: DataFrame, frequent: int | None = None, least: int = LEAST) ->
     return made, totals | {"frequent": n_words + 1}
 
 
+def parts_of(word: np.ndarray, other: np.ndarray, parts: int) -> np.ndarray:
+    """The part that has a bigram of a word: one for all of a word, but of the most frequent words, the end and
+    the rarer words' symbols SPREAD ones, so that no part grows with one of them."""
+    return (mixed((word * SPREAD + np.where(word <= HOT, other % SPREAD, 0)).view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+
+
+def packed(n: np.ndarray) -> bytes:
+    """Counts in as few bytes as the largest needs."""
+    return n.astype(np.min_scalar_type(int(n.max(initial=0)))).tobytes()
+
+
+def unpacked(n: bytes, rows: int) -> np.ndarray:
+    return np.frombuffer(n, f"<u{len(n) // rows}").astype(np.int64) if rows else np.zeros(0, np.int64)
+
+
 def bigrams(documents: DataFrame) -> DataFrame:
-    """Written counts (pair, n) of symbol bigrams of training documents; a
-    document begins after an end. pair = previous << 32 | next, of signed symbols."""
+    """Written counts of symbol bigrams of training documents; a document begins after an end. They are
+    dealt by word, once by the word that stands first and once by the clustered word that stands second: each row
+    (half, hot, and of both sides word and other as packed 32-bit symbols, n) has all that some words occur with, or
+    where hot a share of it. half is the turn in which these words may move, -1 if they never do."""
+    tokens = documents.filter("not held_out").agg(F.sum("n_tokens").alias("n")).first()["n"] or 0
+    parts = max(1, tokens >> PART_BITS)
+
     def run(batches):
         waiting, held = [], 0
 
         def counted():
             pair, n = np.unique(np.concatenate(waiting), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], ["pair", "n"])
+            v, w = pair >> 32, pair.astype(np.int32).astype(np.int64)
+            for before, word, other in ((False, v, w), (True, w, v)):
+                kept = np.flatnonzero(word > 0) if before else np.arange(len(word))
+                word, other, m = word[kept], other[kept], n[kept]
+                part = parts_of(word, other, parts)
+                order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+                part, pairs, m = part[order], (word << 32 | other & 0xFFFFFFFF)[order], m[order]
+                ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)) if len(part) else []
+                starts = [0, *ends[:-1]]
+                for at in range(0, len(starts), 256):
+                    own = list(zip(starts[at:at + 256], ends[at:at + 256], strict=True))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part[[a for a, _ in own]]), pa.array([before] * len(own)), pa.array([pairs[a:b].tobytes() for a, b in own], pa.binary()),
+                         pa.array([packed(m[a:b]) for a, b in own], pa.binary())], ["part", "before", "pairs", "n"])
 
         for b in batches:
             for symbols in b.column(0):
@@ -175,14 +221,37 @@ def bigrams(documents: DataFrame) -> DataFrame:
                 waiting.append(np.append(0, seq[:-1]) << 32 | seq & 0xFFFFFFFF)
                 held += len(seq)
                 if held > 1 << 22:
-                    yield counted()
+                    yield from counted()
                     waiting, held = [], 0
         if waiting:
-            yield counted()
-
-    rows = documents.filter("not held_out").select("symbols").mapInArrow(released(run), "pair long, n long")
-    # In order of the previous word within each part, so that a span's contexts of a word after it merge.
-    return written(rows.groupBy("pair").agg(F.sum("n").alias("n")).sortWithinPartitions("pair"), "bigrams")
+            yield from counted()
+
+    def gathered(table: pa.Table) -> pa.Table:
+        sides, before = [], table.column("before").to_numpy()
+        for second in (False, True):
+            rows = table.filter(pa.array(before == second))
+            pair = [np.frombuffer(x, np.int64) for x in rows.column("pairs").to_pylist()]
+            n = [unpacked(x, len(p)) for x, p in zip(rows.column("n").to_pylist(), pair, strict=True)]
+            empty = np.zeros(0, np.int64)
+            pair, n = merged(np.concatenate([empty, *pair]), np.concatenate([empty, *n]))
+            word, other = pair >> 32, pair.astype(np.int32)
+            sides.append((word, other, n, np.where(word > 0, 1 - own_turn(word, 0), -1), word <= HOT))
+        made = {"half": [], "hot": []} | {f"{c}_{x}": [] for x in "ab" for c in ("word", "other", "n")}
+        for half, hot in ((0, False), (1, False), (0, True), (1, True), (-1, True)):
+            own = [np.flatnonzero((s[3] == half) & (s[4] == hot)) for s in sides]
+            if sum(map(len, own)):
+                made["half"].append(half)
+                made["hot"].append(hot)
+                for x, rows, (word, other, n, *_) in zip("ab", own, sides, strict=True):
+                    made[f"word_{x}"].append(word[rows].astype(np.int32).tobytes())
+                    made[f"other_{x}"].append(other[rows].tobytes())
+                    made[f"n_{x}"].append(packed(n[rows]))
+        return pa.table([pa.array(made.pop("half"), pa.int32()), pa.array(made.pop("hot"), pa.bool_()), *[pa.array(v, pa.binary()) for v in made.values()]],
+                        names=["half", "hot", *made])
+
+    rows = documents.filter("not held_out").select("symbols").mapInArrow(released(run), "part int, before boolean, pairs binary, n binary")
+    return written(rows.groupBy("part").applyInArrow(gathered, "half int, hot boolean, word_a binary, other_a binary, n_a binary, "
+                                                     "word_b binary, other_b binary, n_b binary"), "bigrams")
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
@@ -200,22 +269,10 @@ def first_classes(frequent: int, classes: int) -> np.ndarray:
     return out
 
 
-def spans(batches):
-    """(previous, next, count) of bigrams, about SPAN at a time."""
-    waiting, held = [], 0
-    for b in batches:
-        waiting.append(b)
-        held += b.num_rows
-        if held >= SPAN:
-            yield split(waiting)
-            waiting, held = [], 0
-    if held:
-        yield split(waiting)
-
-
-def split(batches: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    pair, n = (np.concatenate([b.column(k).to_numpy() for b in batches]) for k in (0, 1))
-    return pair >> 32, pair.astype(np.int32).astype(np.int64), n
+def side(word: pa.Scalar, other: pa.Scalar, n: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, other, count) of one side of a row of ``bigrams``."""
+    word, other = (np.frombuffer(x.as_buffer(), "<i4") for x in (word, other))
+    return word.astype(np.int64), other, unpacked(n.as_py(), len(word))
 
 
 def merged(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,29 +296,20 @@ def own_turn(words: np.ndarray, turn: int) -> np.ndarray:
 
 
 def class_counts(pairs: DataFrame, classes: np.ndarray, top: int, frequent: int, turn: int = 0) -> tuple[np.ndarray, DataFrame]:
-    """(class bigram counts, (word, k, n): what stands after (k < top) and before a word that may
-    move; a word's k may come in several rows)."""
+    """(class bigram counts, the rows of the words that may move)."""
     def total(batches):
         matrix = np.zeros(top * top)
-        for v, w, n in spans(batches):
-            matrix += np.bincount(classes[v].astype(np.int64) * top + classes[w], n, minlength=top * top)
+        for b in batches:
+            for row in zip(*b.columns, strict=True):
+                v, w, n = side(*row)
+                matrix += np.bincount(classes[v].astype(np.int32) * top + classes[w], n, minlength=top * top)
         k = np.flatnonzero(matrix)
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(matrix[k].astype(np.int64))], ["k", "n"])
 
-    def around(batches):
-        for v, w, n in spans(batches):
-            after, before = (v > 0) & own_turn(v, turn), (w > 0) & own_turn(w, turn)
-            key = np.concatenate([v[after] * (2 * top) + classes[w[after]], w[before] * (2 * top) + top + classes[v[before]]])
-            own, n = merged(key, np.concatenate([n[after], n[before]]))
-            for k in range(0, len(own), 1 << 16):
-                part = own[k:k + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(part // (2 * top)), pa.array((part % (2 * top)).astype(np.int32)),
-                                                  pa.array(n[k:k + (1 << 16)])], ["word", "k", "n"])
-
     matrix = np.zeros(top * top)
-    found = pairs.mapInArrow(released(total), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    found = pairs.select("word_a", "other_a", "n_a").mapInArrow(released(total), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
     matrix[found.column("k").to_numpy()] = found.column("n").to_numpy()  # at most top * top numbers
-    return matrix.reshape(top, top), pairs.mapInArrow(released(around), "word long, k int, n long")
+    return matrix.reshape(top, top), pairs.filter(F.col("half") == turn % 2)
 
 
 def likelihood(matrix: np.ndarray) -> float:
@@ -272,24 +320,23 @@ def best_classes(words: np.ndarray, k: np.ndarray, n: np.ndarray, classes: np.nd
                  n_classes: int) -> tuple[np.ndarray, np.ndarray]:
     """(words, the class of the greatest likelihood for each, the others given), from
     contexts (word, k, n) sorted by word and k, without repeats. Only cells that a word occurs in are touched."""
-    top, word_class = len(matrix), np.arange(1, n_classes + 1)
+    top = len(matrix)
     cells = np.concatenate([matrix[1:n_classes + 1].T, matrix[:, 1:n_classes + 1]])  # by k: cells of each class
     table = xlogx(cells)
     # Most contexts are of one or a few occurrences: what so many add to a cell is computed once per cell.
-    few = np.stack([xlogx(cells + m) - table for m in range(1, FEW + 1)]) if len(words) else None
+    few = np.concatenate([xlogx(cells + m) - table for m in range(1, FEW + 1)]) if len(words) else None
     starts = np.flatnonzero(np.append(True, words[1:] != words[:-1])) if len(words) else np.zeros(0, np.int64)
     ends, best = np.append(starts[1:], len(words)), []
     sums = [matrix.sum(axis=1)[1:n_classes + 1], matrix.sum(axis=0)[1:n_classes + 1]]
     a = 0
-    while a < len(starts):  # some words at a time, so that the work table stays small
-        b = max(a + 1, int(np.searchsorted(ends, starts[a] + (1 << 21) // n_classes, "right")))
+    while a < len(starts):  # some words at a time, so that the work table (2 MB) stays in the cache
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + (1 << 18) // n_classes, "right")))
         rows = slice(starts[a], ends[b - 1])
         first, kk, nn = starts[a:b] - starts[a], k[rows], n[rows].astype(float)
         word = np.repeat(np.arange(b - a), ends[a:b] - starts[a:b])
         own, at, before = classes[words[starts[a:b]]].astype(np.int64), np.arange(len(kk)), kk >= top
-        added, many = np.empty((len(kk), n_classes)), np.flatnonzero(nn > FEW)
-        small = np.flatnonzero(nn <= FEW)
-        added[small] = few[nn[small].astype(np.int64) - 1, kk[small]]
+        many = np.flatnonzero(nn > FEW)
+        added = few.take((np.minimum(n[rows], FEW) - 1) * len(cells) + kk, axis=0)
         added[many] = xlogx(cells[kk[many]] + nn[many, None]) - table[kk[many]]
         other = kk - top * before
         hit = np.full((2, b - a), -1)
@@ -315,29 +362,56 @@ def best_classes(words: np.ndarray, k: np.ndarray, n: np.ndarray, classes: np.nd
         cell[held] = base[where[held]]
         both = xlogx(cell + nn[right] + nn[left]) - xlogx(cell + nn[right]) - xlogx(cell + nn[left]) + xlogx(cell)
         gain[word[right], other[right] - 1] += both
-        for side in (0, 1):
-            weight = np.add.reduceat(nn * (before == side), first)[:, None]
-            rest = sums[side] - weight * (word_class == own[:, None])
-            gain -= xlogx(rest + weight) - xlogx(rest)
+        words_here = np.arange(b - a)
+        for place in (0, 1):  # many words have the same number of tokens there
+            weight = np.add.reduceat(nn * (before == place), first)
+            distinct, which = np.unique(weight, return_inverse=True)
+            whole = xlogx(sums[place])
+            gain_of = xlogx(sums[place] + distinct[:, None]) - whole
+            mine = own - 1
+            total = sums[place][mine]
+            kept = gain[words_here, mine] - (xlogx(total - weight + weight) - xlogx(total - weight))
+            gain -= gain_of.take(which, axis=0)
+            gain[words_here, mine] = kept
         best.append(1 + np.argmax(gain, axis=1))
         a = b
     return words[starts], np.concatenate([np.zeros(0, np.int64), *best])
 
 
-def moves(contexts: DataFrame, classes: np.ndarray, matrix: np.ndarray, n_classes: int) -> np.ndarray:
-    """Classes after one exchange round; collects one narrow row per word that moves."""
+def moves(pairs: DataFrame, classes: np.ndarray, matrix: np.ndarray, n_classes: int) -> np.ndarray:
+    """Classes after one exchange round of the words of ``pairs``; collects one narrow row per word that moves.
+    Words whose bigrams are all in one row are decided there; only the contexts of the others (hot) are shuffled."""
     top = len(matrix)
 
-    def decide(table: pa.Table) -> pa.Table:
-        key, n = merged(table.column("word").to_numpy() * (2 * top) + table.column("k").to_numpy(), table.column("n").to_numpy())
+    def contexts(row):
+        """(key, n) in order: what stands after (k < top) and before the words; key = word * 2 * top + k"""
+        (v, w, n), (word, before, m) = side(*row[:3]), side(*row[3:])
+        return merged(np.concatenate([v * (2 * top) + classes[w], word * (2 * top) + top + classes[before]]), np.concatenate([n, m]))
+
+    def moved(key, n):
         words, best = best_classes(key // (2 * top), key % (2 * top), n, classes, matrix, n_classes)
-        moved = best != classes[words]
-        return pa.table([pa.array(words[moved]), pa.array(best[moved])], names=["word", "class"])
+        new = best != classes[words]
+        return [pa.array(words[new], pa.int64()), pa.array(best[new], pa.int64())]
+
+    def decide(batches):
+        for b in batches:
+            for row in zip(*b.columns, strict=True):
+                yield pa.RecordBatch.from_arrays(moved(*contexts(row)), ["word", "class"])
+
+    def around(batches):
+        for b in batches:
+            for row in zip(*b.columns, strict=True):
+                key, n = contexts(row)
+                yield pa.RecordBatch.from_arrays([pa.array(key // (2 * top)), pa.array(key), pa.array(n)], ["word", "key", "n"])
+
+    def decide_hot(table: pa.Table) -> pa.Table:
+        return pa.table(moved(*merged(table.column("key").to_numpy(), table.column("n").to_numpy())), names=["word", "class"])
 
-    parts = max(64, len(classes) >> 12)
-    part = F.pmod(F.xxhash64("word"), F.lit(parts)).alias("part")
+    sides, schema = [f"{c}_{x}" for x in "ab" for c in ("word", "other", "n")], "word long, class long"
+    hot = pairs.filter("hot").select(sides).mapInArrow(released(around), "word long, key long, n long")
+    found = pairs.filter("not hot").select(sides).mapInArrow(released(decide), schema) \
+        .unionByName(hot.groupBy("word").applyInArrow(decide_hot, schema)).toArrow()
     out = classes.copy()
-    found = contexts.select("word", "k", "n", part).groupBy("part").applyInArrow(decide, "word long, class long").toArrow()
     out[found.column("word").to_numpy()] = found.column("class").to_numpy()
     return out
 
@@ -351,14 +425,14 @@ def exchanged(pairs: DataFrame, frequent: int, n_classes: int, rounds: int | Non
     top = 1 + n_classes + 64
     classes, best, turn, without = first_classes(frequent, n_classes), None, 0, 0
     while True:
-        matrix, contexts = class_counts(pairs, classes, top, frequent, turn)
+        matrix, moving = class_counts(pairs, classes, top, frequent, turn)
         value = likelihood(matrix)
         without = 0 if best is None or value > best[0] else without + 1
         if not without:
             best = (value, classes, matrix)
         if turn == rounds or without == 2 or frequent < 2:
             return best[1], best[2]
-        classes = moves(contexts, classes, matrix, n_classes)
+        classes = moves(moving, classes, matrix, n_classes)
         turn += 1
 
 

@@ -340,3 +340,37 @@ def test_classifier_on_hard_rows(spark):
     assert quality_classifier.accepted(df, labels.limit(0)).count() == df.count()  # nothing is known, nothing rejected
     assert quality_classifier.resample(edge.empty(spark), labels).count() == 0
     assert quality_classifier.accepted(edge.empty(spark), labels).count() == 0
+
+
+def test_words_numbered_as_the_pattern_finds_them():
+    texts = ["".join(f"A{chr(c)}Bq" for c in range(256)), None, "", " \t x", "\u00c9 b\x1c\x85\u00c4  ", "\n\n", "x X x"]
+    for chunks in ([texts], [texts[:3], texts[3:]]):
+        seq, ends, names = class_lm.numbered_words(pa.chunked_array(chunks, pa.string()))
+        names = names.to_pylist()
+        got = [[names[k] for k in seq[a:b]] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        assert got == [tokens(t) for t in texts] and len(set(names)) == len(names)
+
+
+def test_bigrams_of_a_word_lie_together(spark, monkeypatch):
+    """All that a word occurs with is in one row, so that rounds shuffle no contexts but those of the most frequent words."""
+    rng = np.random.default_rng(3)
+    rows = [(k, " ".join(f"w{x}" for x in rng.integers(0, 300, 200))) for k in range(60)]
+    documents, totals = class_lm.encoded(class_lm.staged(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 7, 2, 4_000))
+    assert totals["frequent"] == 301
+    want = collections.Counter()
+    for r in documents.filter("not held_out").collect():
+        seq = [0, *np.frombuffer(zlib.decompress(r.symbols), "<i4").tolist()]
+        want.update(zip(seq[:-1], seq[1:]))
+    monkeypatch.setattr(class_lm, "PART_BITS", 9)
+    made = class_lm.bigrams(documents).collect()
+    assert len(made) > 20
+    first, second, places = collections.Counter(), collections.Counter(), collections.defaultdict(set)
+    for at, r in enumerate(made):
+        for word, other, n, found in ((r.word_a, r.other_a, r.n_a, first), (r.word_b, r.other_b, r.n_b, second)):
+            word, other = (np.frombuffer(x, "<i4").tolist() for x in (word, other))
+            for v, w, m in zip(word, other, class_lm.unpacked(bytes(n), len(word)).tolist(), strict=True):
+                assert r.hot == (v <= class_lm.HOT) and r.half == (-1 if v <= 0 else 0 if class_lm.own_turn(np.array([v]), 0)[0] else 1)
+                found[(v, w) if found is first else (w, v)] += m
+                places[v].add(at)
+    assert first == want and second == {k: n for k, n in want.items() if k[1] > 0}
+    assert all(len(places[v]) == 1 for v in range(class_lm.HOT + 1, 301)) and len(places[1]) > 1
