@@ -46,7 +46,7 @@ from lendwise.llm.ngrams import mixed
 
 FOLDS, HELD = 7, 2
 LEAST, CLASSES, UNSEEN, SMOOTH = 5, 64, 0.5, 10.0
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES, SPAN = 16 << 20, 2 << 20
 #: The end's name among words (no word holds a line break); symbols of rarer and unknown
 #: words, below zero: they index the end of an array over all symbols.
 END = b"\n"
@@ -62,16 +62,46 @@ def held_out(doc_id, folds: int = FOLDS, held: int = HELD) -> bool:
 
 
 def numbered_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """(word numbers of all texts, each text ending with the end's number 0; end of each text among them; the names)."""
-    lowered = pc.ascii_lower(texts.cast(pa.large_string()).combine_chunks().fill_null(""))  # A-Z only
-    lists = pc.ascii_split_whitespace(lowered)
-    words, doc = lists.flatten(), np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
-    some = pc.greater(pc.binary_length(words), 0)  # white space at the ends of a text leaves empty words
-    words, doc = words.filter(some).dictionary_encode(), doc[some.to_numpy(zero_copy_only=False)]
-    seq = np.zeros(len(doc) + len(lists), np.uint32)
-    seq[np.arange(len(doc)) + doc] = words.indices.to_numpy() + 1
-    ends = np.cumsum(np.bincount(doc, minlength=len(lists)) + 1)
-    return seq, ends, pa.concat_arrays([pa.array([END.decode()], pa.large_string()), words.dictionary])
+    """(word numbers of all texts, each text ending with the end's number 0; end of each text among them; the names).
+    Words stand beside their texts only for SPAN bytes of text at a time."""
+    found, counts = [pa.array([END.decode()], pa.large_string()).dictionary_encode()], []
+    for part in spans(texts):
+        lowered = pc.ascii_lower(part.cast(pa.large_string()).fill_null(""))  # A-Z only
+        lists = pc.ascii_split_whitespace(lowered)
+        words, doc = lists.flatten(), np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+        some = pc.greater(pc.binary_length(words), 0)  # white space at the ends of a text leaves empty words
+        found.append(words.filter(some).dictionary_encode())
+        counts.append(np.bincount(doc[some.to_numpy(zero_copy_only=False)], minlength=len(lists)))
+    found = pa.chunked_array(found).unify_dictionaries()  # in the order in which words come first
+    ends = np.cumsum(np.concatenate([np.zeros(0, np.int64), *counts]) + 1)
+    seq, at = np.zeros(ends[-1] if len(ends) else 0, np.uint32), 0
+    for words, n in zip(found.chunks[1:], counts, strict=True):
+        own = seq[at:at + len(words) + len(n)]
+        own[np.arange(len(words)) + np.repeat(np.arange(len(n)), n)] = words.indices.to_numpy()
+        at += len(own)
+    return seq, ends, found.chunk(0).dictionary
+
+
+def spans(texts: pa.ChunkedArray):
+    """The texts in order, some at a time: about SPAN bytes, or one longer text."""
+    for chunk in texts.chunks:
+        ends, at = np.cumsum(pc.binary_length(chunk).fill_null(0).to_numpy().astype(np.int64)), 0
+        while at < len(chunk):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SPAN, "right")))
+            yield chunk.take(pa.array(np.arange(at, end)))  # not a slice: Arrow's string functions take whole buffers
+            at = end
+
+
+def counted(texts, size: int) -> np.ndarray:
+    """How often each number below ``size`` occurs in texts of numbers."""
+    c, waiting, held = np.zeros(size, np.int64), [], 0
+    for seq in texts:
+        waiting.append(seq)
+        held += len(seq)
+        if held >= max(size, 1 << 19):
+            c += np.bincount(np.concatenate(waiting), minlength=size)
+            waiting, held = [], 0
+    return c + np.bincount(np.concatenate([np.zeros(0, np.uint32), *waiting]), minlength=size)
 
 
 def staged(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int, block_bytes: int) -> DataFrame:
@@ -88,20 +118,21 @@ def staged(docs: DataFrame, id_col: str, text_col: str, folds: int, held: int, b
             while at < b.num_rows:
                 before = ends[at - 1] if at else 0
                 end = min(b.num_rows, int(np.searchsorted(ends, before + block_bytes - size)) + 1)
-                waiting.append(b.take(pa.array(np.arange(at, end))))  # not a slice: Arrow's string functions take whole buffers
+                waiting.append(b.take(pa.array(np.arange(at, end))))  # not a slice, which would hold all of the batch
                 size, at = size + int(ends[end - 1] - before), end
                 if size >= block_bytes:
-                    yield from block(task + blocks, pa.Table.from_batches(waiting).combine_chunks())
+                    yield from block(task + blocks, waiting)
                     waiting, size, blocks = [], 0, blocks + 1
         if waiting:
-            yield from block(task + blocks, pa.Table.from_batches(waiting).combine_chunks())
+            yield from block(task + blocks, waiting)
 
-    def block(number, table):
-        seq, ends, names = numbered_words(table.column("text"))
-        ids = pa.concat_arrays(table.column("id").chunks)
+    def block(number, waiting):
+        ids = pa.concat_arrays([b.column(0) for b in waiting])
+        seq, ends, names = numbered_words(pa.chunked_array([b.column(1) for b in waiting]))
+        waiting.clear()  # the texts are not needed any more
         out = np.array([held_out(x.as_py(), folds, held) for x in ids], bool)
-        n = np.bincount(seq[np.repeat(~out, np.diff(ends, prepend=0))], minlength=len(names))
         starts = np.append(0, ends[:-1])
+        n = counted((seq[starts[r]:ends[r]] for r in np.flatnonzero(~out)), len(names))
         for at in range(0, len(out), 1 << 12):
             rows = range(at, min(at + (1 << 12), len(out)))
             m = len(rows)
@@ -149,8 +180,8 @@ def encoded(rows: DataFrame, frequent: int | None = None, least: int = LEAST) ->
 
     def encode(docs: pa.Table, known: pa.Table) -> pa.Table:
         texts = [np.frombuffer(zlib.decompress(x), np.uint32) for x in docs.column("numbers").to_pylist()]
-        learnt = [seq for seq, out in zip(texts, docs.column("held_out").to_pylist(), strict=True) if not out]
-        c = np.bincount(np.concatenate([np.zeros(0, np.uint32), *learnt]), minlength=1 + max(int(t.max()) for t in texts))
+        learnt = (seq for seq, out in zip(texts, docs.column("held_out").to_pylist(), strict=True) if not out)
+        c = counted(learnt, 1 + max(int(t.max()) for t in texts))
         n = known.column("number").to_numpy()
         c[n] = known.column("c").to_numpy()
         own = symbol(c)
@@ -178,6 +209,11 @@ def parts_of(word: np.ndarray, other: np.ndarray, parts: int) -> np.ndarray:
     return (mixed((word * SPREAD + np.where(word <= HOT, other % SPREAD, 0)).view(np.uint64)) % np.uint64(parts)).astype(np.int32)
 
 
+def turned(pair: np.ndarray, before: bool) -> np.ndarray:
+    """Packed bigrams (first << 32 | second), or where ``before`` with the second word first."""
+    return pair.astype(np.int32).astype(np.int64) << 32 | pair >> 32 & 0xFFFFFFFF if before else pair
+
+
 def packed(n: np.ndarray) -> bytes:
     """Counts in as few bytes as the largest needs."""
     return n.astype(np.min_scalar_type(int(n.max(initial=0)))).tobytes()
@@ -187,6 +223,36 @@ def unpacked(n: bytes, rows: int) -> np.ndarray:
     return np.frombuffer(n, f"<u{len(n) // rows}").astype(np.int64) if rows else np.zeros(0, np.int64)
 
 
+def dealt(pair: np.ndarray, parts: int):
+    """Batches (part, before, pairs, n) of packed bigrams, which this sorts and counts in their place: memory grows
+    with no more than a few numbers for each."""
+    pair.sort()
+    starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])).astype(np.uint32)
+    n = np.diff(starts, append=np.uint32(len(pair)))
+    pair[:len(starts)] = pair[starts]
+    pair = pair[:len(starts)]
+    for before in (False, True):
+        part = np.empty(len(pair), np.uint16 if parts < 1 << 16 else np.int32)
+        for at in range(0, len(pair), 1 << 17):
+            some = turned(pair[at:at + (1 << 17)], before)
+            word, other = some >> 32, some.astype(np.int32).astype(np.int64)
+            part[at:at + (1 << 17)] = np.where((word <= 0) & before, parts, parts_of(word, other, parts))  # no part has these
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        order = order[:np.searchsorted(part, parts)]
+        part = part[:len(order)]
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(part))
+        step = max(1, (len(starts) << 18) // max(1, len(part)))
+        for at in range(0, len(starts), step):
+            a, b = starts[at:at + step], ends[at:at + step]
+            own = order[a[0]:b[-1]]
+            pairs, m, rows = turned(pair[own], before), n[own], list(zip(a - a[0], b - a[0], strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[a].astype(np.int32)), pa.array([before] * len(rows)), pa.array([pairs[i:j].tobytes() for i, j in rows], pa.binary()),
+                 pa.array([packed(m[i:j]) for i, j in rows], pa.binary())], ["part", "before", "pairs", "n"])
+
+
 def bigrams(documents: DataFrame) -> DataFrame:
     """Written counts of symbol bigrams of training documents; a document begins after an end. They are
     dealt by word, once by the word that stands first and once by the clustered word that stands second: each row
@@ -196,35 +262,20 @@ def bigrams(documents: DataFrame) -> DataFrame:
     parts = max(1, tokens >> PART_BITS)
 
     def run(batches):
-        waiting, held = [], 0
-
-        def counted():
-            pair, n = np.unique(np.concatenate(waiting), return_counts=True)
-            v, w = pair >> 32, pair.astype(np.int32).astype(np.int64)
-            for before, word, other in ((False, v, w), (True, w, v)):
-                kept = np.flatnonzero(word > 0) if before else np.arange(len(word))
-                word, other, m = word[kept], other[kept], n[kept]
-                part = parts_of(word, other, parts)
-                order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
-                part, pairs, m = part[order], (word << 32 | other & 0xFFFFFFFF)[order], m[order]
-                ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)) if len(part) else []
-                starts = [0, *ends[:-1]]
-                for at in range(0, len(starts), 256):
-                    own = list(zip(starts[at:at + 256], ends[at:at + 256], strict=True))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(part[[a for a, _ in own]]), pa.array([before] * len(own)), pa.array([pairs[a:b].tobytes() for a, b in own], pa.binary()),
-                         pa.array([packed(m[a:b]) for a, b in own], pa.binary())], ["part", "before", "pairs", "n"])
-
+        waiting, held = np.empty(1 << 22, np.int64), 0
         for b in batches:
             for symbols in b.column(0):
-                seq = np.frombuffer(zlib.decompress(symbols.as_py()), "<i4").astype(np.int64)
-                waiting.append(np.append(0, seq[:-1]) << 32 | seq & 0xFFFFFFFF)
-                held += len(seq)
-                if held > 1 << 22:
-                    yield from counted()
-                    waiting, held = [], 0
-        if waiting:
-            yield from counted()
+                seq, at = np.frombuffer(zlib.decompress(symbols.as_py()), "<i4").astype(np.int64), 0
+                seq = np.append(0, seq[:-1]) << 32 | seq & 0xFFFFFFFF
+                while at < len(seq):
+                    some = seq[at:at + len(waiting) - held]
+                    waiting[held:held + len(some)] = some
+                    held, at = held + len(some), at + len(some)
+                    if held == len(waiting):
+                        yield from dealt(waiting, parts)
+                        held = 0
+        if held:
+            yield from dealt(waiting[:held], parts)
 
     def gathered(table: pa.Table) -> pa.Table:
         sides, before = [], table.column("before").to_numpy()
@@ -251,7 +302,7 @@ def bigrams(documents: DataFrame) -> DataFrame:
 
     rows = documents.filter("not held_out").select("symbols").mapInArrow(released(run), "part int, before boolean, pairs binary, n binary")
     return written(rows.groupBy("part").applyInArrow(gathered, "half int, hot boolean, word_a binary, other_a binary, n_a binary, "
-                                                     "word_b binary, other_b binary, n_b binary"), "bigrams")
+                                                     "word_b binary, other_b binary, n_b binary"), "bigrams", "half", "hot")  # a round reads its half only
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:

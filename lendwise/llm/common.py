@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import sys
 import tempfile
 import uuid
@@ -61,12 +62,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/lendwise-llm/{uuid.uuid4().hex}/{name}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts the
-    lineage, survives lost executors, and is computed once."""
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder (in folders of each value of ``by``) and read it
+    back: cuts the lineage, survives lost executors, and is computed once."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(by) or None)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -79,7 +80,7 @@ def discard(spark: SparkSession, path: str) -> None:
 def discard_written(*tables: DataFrame) -> None:
     """Delete tables made by ``written`` that no result reads any more."""
     for table in tables:
-        for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        for path in {re.sub("(/[^/=]+=[^/]*)*/[^/]*$", "", f) for f in table.inputFiles()}:
             discard(table.sparkSession, path)
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -374,3 +375,57 @@ def test_bigrams_of_a_word_lie_together(spark, monkeypatch):
                 places[v].add(at)
     assert first == want and second == {k: n for k, n in want.items() if k[1] > 0}
     assert all(len(places[v]) == 1 for v in range(class_lm.HOT + 1, 301)) and len(places[1]) > 1
+
+
+def peak_of(run):
+    tracemalloc.start()
+    try:
+        made = run()
+        return made, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_numbering_a_block_holds_little_beside_its_numbers():
+    texts = pa.chunked_array([[f"abcdefg {k} " * 1000 for k in range(500)], [f"hijklmn {k} " * 1000 for k in range(500)]], pa.string())
+    (seq, ends, names), peak = peak_of(lambda: class_lm.numbered_words(texts))
+    assert len(seq) == 2_001_000 and len(ends) == 1000 and len(names) == 503
+    assert peak < 16 * len(seq)  # it was 28 bytes a token
+    n, peak = peak_of(lambda: class_lm.counted((seq[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)), len(names)))
+    assert n.tolist() == np.bincount(seq).tolist() and peak < 8 * len(seq)
+
+
+def test_dealing_bigrams_holds_little_beside_them():
+    rng = np.random.default_rng(5)
+    pair = rng.integers(-5, 2000, 1 << 20) << 32 | rng.integers(-5, 2000, 1 << 20) & 0xFFFFFFFF
+    want = collections.Counter(zip((pair >> 32).tolist(), pair.astype(np.int32).tolist()))
+    held = pair.nbytes
+    batches, peak = peak_of(lambda: sum(b.num_rows for b in class_lm.dealt(pair.copy(), 300)))
+    assert batches > 500 and peak < 5.5 * held
+    first, second = collections.Counter(), collections.Counter()
+    for b in class_lm.dealt(pair, 300):
+        for r in b.to_pylist():
+            pairs = np.frombuffer(r["pairs"], np.int64)
+            word, other = pairs >> 32, pairs.astype(np.int32).astype(np.int64)
+            assert set(class_lm.parts_of(word, other, 300)) == {r["part"]} and (not r["before"] or word.min() > 0)
+            own = zip(other.tolist(), word.tolist()) if r["before"] else zip(word.tolist(), other.tolist())
+            (second if r["before"] else first).update(dict(zip(own, class_lm.unpacked(r["n"], len(pairs)).tolist())))
+    assert first == want and second == {k: n for k, n in want.items() if k[1] > 0}
+
+
+def test_bigrams_are_read_by_half(spark):
+    """A round opens the files of the words that may move in it, and no others; all files go in the end."""
+    df = spark.createDataFrame([(k, " ".join(f"w{x % 150}" for x in range(k, k + 200))) for k in range(40)], "doc_id long, text string")
+    documents, totals = class_lm.encoded(class_lm.staged(df, "doc_id", "text", 7, 2, 4_000))
+    pairs = class_lm.bigrams(documents)
+    _, moving = class_lm.class_counts(pairs, class_lm.first_classes(totals["frequent"], 3), 68, totals["frequent"], 1)
+    assert {(r.half, r.hot) for r in moving.filter("hot").collect()} == {(1, True)}
+    read = moving.select("half", "hot", F.input_file_name().alias("file")).collect()
+    assert read and all(f"/half={r.half}/hot={str(r.hot).lower()}/" in r.file for r in read)
+    class_lm.discard_written(pairs)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(pairs_path(read[0].file)).count()
+
+
+def pairs_path(file):
+    return file.rsplit("/half=", 1)[0]
